@@ -11,29 +11,34 @@ from pyspark.sql import types as T
 ARRIVAL_ORDER = ("ingestion_timestamp", "_source_file")
 
 
-def _sortable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(dtype, T.ArrayType):
-        return _sortable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_sortable(f.dataType) for f in dtype.fields)
-    return True
+def _hashable(field: T.StructField) -> Column:
+    """The column itself, or its JSON text where the hash function takes no such type."""
+
+    def plain(dtype: T.DataType) -> bool:
+        if isinstance(dtype, T.ArrayType):
+            return plain(dtype.elementType)
+        if isinstance(dtype, T.StructType):
+            return all(plain(f.dataType) for f in dtype.fields)
+        return not isinstance(dtype, (T.MapType, T.VariantType))
+
+    c = F.col(f"`{field.name}`")
+    return c if plain(field.dataType) else F.to_json(F.struct(c))
+
+
+def content_hash(df: DataFrame, leave_out: Sequence[str] = ()) -> Column:
+    """A 64-bit hash of a row's content. Column order and NULL columns do not matter."""
+    fields = sorted((f for f in df.schema.fields if f.name not in set(leave_out)), key=lambda f: f.name)
+    return F.xxhash64(*[_hashable(f) for f in fields]) if fields else F.lit(0).cast("long")
 
 
 def arrival_ordering(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list[Column]:
-    """Newest first, with every other column as the last tie-break.
+    """Newest first; rows of one file and time are told apart by their content.
 
-    Listing the columns themselves, rather than a hash of them, adds nothing to
-    the rows that are sorted and only costs comparisons where all else ties.
+    The tie-break is one number per row, so that a consumer that needs two of
+    twenty columns still shuffles two columns and not twenty.
     """
     named = [c for c in order if c in df.columns]
-    rest = [f for f in df.schema.fields if f.name not in set(named) | set(keys)]
-    ties = [
-        F.col(f"`{f.name}`").desc() if _sortable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))).desc()
-        for f in rest
-    ]
-    return [F.col(f"`{c}`").desc() for c in named] + ties
+    return [F.col(f"`{c}`").desc() for c in named] + [content_hash(df, [*keys, *named]).desc()]
 
 
 def latest_records(

@@ -16,9 +16,9 @@ OPPORTUNITY_TRACKED = ("name", "amount", "stage_name", "close_date", "source_att
 
 def dim_customer(bronze_users: DataFrame) -> DataFrame:
     """One row per customer id, nested address and company flattened."""
-    # Projecting first keeps unused and unread nested fields out of the shuffle.
+    # Flattening first keeps unread nested fields out of the shuffle; the
+    # surrogate key is only computed for the rows that stay.
     flat = bronze_users.select(
-        hash_key("id").alias("customer_sk"),
         F.col("id").alias("customer_id"),
         F.col("name").alias("customer_name"),
         "username",
@@ -39,13 +39,13 @@ def dim_customer(bronze_users: DataFrame) -> DataFrame:
         "ingestion_timestamp",
         "_source_file",
     )
-    return with_processed_time(latest_records(flat, ["customer_id"]).drop("_source_file"))
+    newest = latest_records(flat, ["customer_id"]).drop("_source_file")
+    return with_processed_time(newest.select(hash_key("customer_id").alias("customer_sk"), "*"))
 
 
 def dim_product(bronze_products: DataFrame) -> DataFrame:
     """One row per product id, rating flattened."""
     flat = bronze_products.select(
-        hash_key("id").alias("product_sk"),
         F.col("id").alias("product_id"),
         "title",
         "description",
@@ -57,7 +57,8 @@ def dim_product(bronze_products: DataFrame) -> DataFrame:
         "ingestion_timestamp",
         "_source_file",
     )
-    return with_processed_time(latest_records(flat, ["product_id"]).drop("_source_file"))
+    newest = latest_records(flat, ["product_id"]).drop("_source_file")
+    return with_processed_time(newest.select(hash_key("product_id").alias("product_sk"), "*"))
 
 
 def latest_orders(bronze_orders: DataFrame) -> DataFrame:

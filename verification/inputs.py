@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores.
+
+    A small file that cannot be split would keep all work up to the next
+    shuffle in one task. A large table has splits enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def cents(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("bigint")
 
@@ -50,7 +60,7 @@ def orders_with_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = order_lines(spark, sf)
     empty = F.array().cast(lines.schema["products"].dataType)
     return (
-        table(spark, sf, "orders")
+        spread(table(spark, sf, "orders"), "o_orderkey")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .withColumn("products", F.coalesce("products", empty))
         .drop("l_orderkey")
