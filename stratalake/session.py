@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -27,7 +27,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = 8, app: str = "stratalake", memory: str = "12g") -> SparkSession:
+def local_session(
+    cpus: int | str = 8, app: str = "stratalake", memory: str = "12g", scratch: str | None = None
+) -> SparkSession:
     """A local session for tests and benchmarks. A cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -39,6 +41,8 @@ def local_session(cpus: int | str = 8, app: str = "stratalake", memory: str = "1
     )
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -56,11 +60,12 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = os.environ.setdefault(
-        "STRATALAKE_LOCAL_SCRATCH", tempfile.mkdtemp(prefix="stratalake-")
-    )
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_scratch()
+
+
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="stratalake-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
