@@ -193,17 +193,38 @@ def extract_envelope(documents: DataFrame, payload: str = "payload", keep: Seque
     )
 
 
-def split_records(documents: DataFrame, payload: str = "payload", keep: Sequence[str] = ("file",)) -> DataFrame:
-    """One JSON text per record or page object of a landed document.
+def record_values(documents: DataFrame, payload: str = "payload", keep: Sequence[str] = ("file",)) -> DataFrame:
+    """One row per record or page object: the kept columns, page_no, record_no,
+    ``record`` (VARIANT) and ``raw``, the text of a document that does not parse.
 
     Arrays are opened twice, which covers plain objects, lists of records,
-    lists of pages and lists of lists. Written out, this is the compaction of a
-    landed document to JSON lines, which later readers can split. Unparsable
-    text stays as it is, one row per document.
+    lists of pages and lists of lists. The document's text does not travel with
+    its records; only an unparsable one, which is a single row, keeps it.
+    """
+    parsed = documents.select(
+        *keep, F.try_parse_json(F.col(payload)).alias("_doc"), F.col(payload).alias("_text")
+    ).select(*keep, "_doc", F.when(F.col("_doc").isNull(), F.col("_text")).alias("raw"))
+
+    def opened(value: Column) -> Column:
+        # An empty array has no records and gives no row.
+        return F.coalesce(items_of(value), F.array(value))
+
+    pages = parsed.select(*keep, "raw", F.posexplode(opened(F.col("_doc"))).alias("_page", "_value"))
+    records = pages.select(*keep, "raw", "_page", F.posexplode(opened(F.col("_value"))).alias("_record", "record"))
+    return records.select(
+        *keep,
+        (F.col("_page") + 1).cast("int").alias("page_no"),
+        (F.col("_record") + 1).cast("int").alias("record_no"),
+        "record",
+        "raw",
+    )
+
+
+def split_records(documents: DataFrame, payload: str = "payload", keep: Sequence[str] = ("file",)) -> DataFrame:
+    """The same with ``record`` as JSON text.
+
+    Written out, this is the compaction of landed documents to JSON lines,
+    which later readers can split.
     """
-    pages = explode_pages(documents, payload, [*keep, payload])
-    page = F.col("page")
-    inner = F.coalesce(items_of(page), F.array(page))
-    opened = pages.select(*keep, "page_no", payload, F.posexplode(inner).alias("_pos", "_value"))
-    text = F.when(F.col("_value").isNull(), F.col(payload)).otherwise(F.to_json(F.col("_value")))
-    return opened.select(*keep, "page_no", (F.col("_pos") + 1).cast("int").alias("record_no"), text.alias("record"))
+    values = record_values(documents, payload, keep)
+    return values.withColumn("record", F.coalesce("raw", F.to_json("record"))).drop("raw")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,38 +52,90 @@ def _absent_or_fits(value: Column, dtype: T.DataType) -> Column:
     return F.when(absent, F.lit(True)).otherwise(F.coalesce(_fits(value, dtype), F.lit(False)))
 
 
-def typed_with_rescue(df: DataFrame, schema: T.StructType, payload: str = "record") -> DataFrame:
-    """Replace a JSON text column by the schema's columns and ``_rescued_data``.
+def _clean_pattern(dtype: T.DataType) -> str | None:
+    """A pattern for ``schema_of_variant`` that only values without misfits match.
+
+    None where the type text alone cannot tell, such as for timestamps.
+    """
+    if isinstance(dtype, T.StringType):
+        return "(STRING|BIGINT|DOUBLE|BOOLEAN|VOID)"
+    if isinstance(dtype, T.LongType):
+        return "(BIGINT|VOID)"
+    if isinstance(dtype, T.DoubleType):
+        return r"(DOUBLE|BIGINT|DECIMAL\(\d+,\d+\)|VOID)"
+    if isinstance(dtype, T.BooleanType):
+        return "(BOOLEAN|VOID)"
+    if isinstance(dtype, T.ArrayType):
+        element = _clean_pattern(dtype.elementType)
+        return element and f"(ARRAY<{element}>|VOID)"
+    if isinstance(dtype, T.StructType):
+        # A variant keeps its keys sorted, and each may be absent.
+        parts = []
+        for f in sorted(dtype.fields, key=lambda f: f.name):
+            inner = _clean_pattern(f.dataType)
+            if inner is None or not re.fullmatch(r"\w+", f.name):
+                return None
+            parts.append(f"(`?{f.name}`?: {inner}(, |(?=>)))?")
+        return f"(OBJECT<{''.join(parts)}>|VOID)"
+    return None
+
+
+def typed_with_rescue(
+    df: DataFrame, schema: T.StructType, payload: str = "record", raw: str | None = None
+) -> DataFrame:
+    """Replace a JSON column, text or VARIANT, by the schema's columns and ``_rescued_data``.
 
     A key the schema does not know, and a value its column cannot hold (at any
     depth), is kept under its top-level key as JSON text. Text that is not an
     object is kept whole. NULL when nothing had to be rescued. Numbers do not
-    become shorter: 1.5 in an integer column is rescued, not cut.
+    become shorter: 1.5 in an integer column is rescued, not cut. ``raw`` names
+    the column with the text of records that did not parse into a VARIANT.
     """
-    names = {f.name for f in schema.fields}
-    others = [c for c in df.columns if c != payload]
-    clashes = names & set(others)
+    others = [c for c in df.columns if c not in (payload, raw)]
+    if isinstance(df.schema[payload].dataType, T.VariantType):
+        parsed, text = F.col(payload), F.to_json(payload)
+    else:
+        parsed, text = F.try_parse_json(F.col(payload)), F.col(payload)
+    if raw:
+        text = F.coalesce(F.col(raw), text)
+    clashes = set(schema.fieldNames()) & set(others)
     if clashes:
         raise ValueError(f"record fields clash with columns: {sorted(clashes)}")
-    fields = F.col("_fields")
-    parsed = df.withColumn("_fields", F.try_parse_json(F.col(payload)).try_cast("map<string,variant>"))
-    typed = []
-    misfits = []
+    if not schema.fields:
+        return df.select(*others, text.alias(RESCUED))
+    value, fields = F.col("_value"), F.col("_value").try_cast("map<string,variant>")
+    # Most records have no misfit, which their type text shows. Only the
+    # others are taken apart key by key.
+    pattern = _clean_pattern(schema)
+    kind = F.schema_of_variant(value)
+    clean = F.coalesce(kind.rlike(f"^{pattern}$") & (kind != "VOID"), F.lit(False)) if pattern else F.lit(False)
+    checked = [
+        F.struct(_absent_or_fits(F.col("_fields")[f.name], f.dataType).alias("fits")).alias(f.name) for f in schema.fields
+    ]
+    typed, misfits = [], []
     for f in schema.fields:
-        value = fields[f.name]
-        fits = _absent_or_fits(value, f.dataType)
-        best = value.try_cast(f.dataType)
+        fits = F.col(f"_checked.`{f.name}`.fits")
+        best = F.col("_fields")[f.name].try_cast(f.dataType)
         # A nested value keeps the parts that do convert; a scalar is all or nothing.
         nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
         typed.append((best if nested else F.when(fits, best)).alias(f.name))
         misfits.append(F.when(~fits, F.lit(f.name)))
-    known = F.array(*[F.lit(n) for n in schema.fieldNames()]).cast("array<string>")
+    known = F.array(*[F.lit(n) for n in schema.fieldNames()])
     kept = F.map_filter(
-        fields,
-        lambda k, v: ~F.array_contains(known, k) | F.array_contains(F.col("_misfits"), k),
+        F.col("_fields"),
+        lambda k, v: ~F.array_contains(known, k) | F.array_contains(F.array_compact(F.array(*misfits)), k),
+    )
+    leftover = F.when(F.col("_fields").isNull(), text).when(F.size("_kept") > 0, F.to_json("_kept"))
+    staged = (
+        df.withColumn("_value", parsed)
+        .withColumn("_clean", clean)
+        .withColumn("_fields", F.when(~F.col("_clean"), fields))
+        .withColumn("_checked", F.when(~F.col("_clean"), F.struct(*checked)))
+        .withColumn("_kept", F.when(~F.col("_clean"), kept))
+        .withColumn("_row", F.when(F.col("_clean"), value.try_cast(schema)).otherwise(F.struct(*typed)))
     )
-    rescued = F.when(fields.isNull(), F.col(payload)).when(
-        F.size(kept) > 0, F.to_json(kept)
+    return staged.select(
+        *others,
+        *[F.col(f"_row.`{n}`").alias(n) for n in schema.fieldNames()],
+        F.when(~F.col("_clean"), leftover).alias(RESCUED),
     )
-    misfit_names = F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
-    return parsed.withColumn("_misfits", misfit_names).select(*others, *typed, rescued.alias(RESCUED))

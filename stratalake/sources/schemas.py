@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,13 +97,19 @@ def merge_schemas(known: T.DataType, seen: T.DataType, widen: bool = False) -> T
 
 
 def infer_schema(records: DataFrame, payload: str = "record", sampling: float = 1.0) -> T.StructType:
-    """The schema of a column of JSON object texts, fields sorted by name.
+    """The schema of a column of JSON objects (text or VARIANT), fields sorted by name.
 
     Inference is a distributed aggregation. ``sampling`` below 1 reads fewer
     records; what the sample missed is rescued, not lost.
     """
     picked = records if sampling >= 1.0 else records.sample(sampling, seed=7)
-    inferred = picked.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(payload))).alias("s")).first()["s"]
+    value = F.col(payload)
+    if not isinstance(records.schema[payload].dataType, T.VariantType):
+        value = F.try_parse_json(value)
+    inferred = _schema_of(picked, value)
+    if inferred and not inferred.startswith("OBJECT<"):
+        # Stray scalars or lists blur the picture; look at the objects alone.
+        inferred = _schema_of(picked, F.when(F.schema_of_variant(value).startswith("OBJECT"), value))
     if not inferred or not inferred.startswith("OBJECT<"):
         return T.StructType([])
     ddl = inferred.replace("OBJECT<", "STRUCT<")
@@ -111,6 +117,10 @@ def infer_schema(records: DataFrame, payload: str = "record", sampling: float =
     return _plain(dtype)
 
 
+def _schema_of(records: DataFrame, value: Column) -> str | None:
+    return records.agg(F.schema_of_variant_agg(value).alias("s")).first()["s"]
+
+
 def _plain(dtype: T.DataType) -> T.DataType:
     """Long for integers, double for fractions, string for what was only ever null."""
     if isinstance(dtype, T.StructType):

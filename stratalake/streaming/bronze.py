@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.shape import TECHNICAL_COLUMNS, extract_records
 from stratalake.sources.config import Route, bronze_routes
-from stratalake.sources.landing import split_records
+from stratalake.sources.landing import record_values
 from stratalake.sources.rescue import typed_with_rescue
 from stratalake.sources.schemas import SchemaStore, infer_schema
 
@@ -35,8 +36,8 @@ def fixed_schema_stream(spark: SparkSession, path: str, schema: T.StructType, mu
 
 
 def _records(lines: DataFrame, api_id: str) -> DataFrame:
-    """Landed text rows to one JSON object text per row, with lineage."""
-    return split_records(with_lineage(lines, api_id), "value", TECHNICAL_COLUMNS).drop("page_no", "record_no")
+    """Landed text rows to one record per row, with lineage."""
+    return record_values(with_lineage(lines, api_id), "value", TECHNICAL_COLUMNS).drop("page_no", "record_no")
 
 
 def json_stream(
@@ -56,7 +57,7 @@ def json_stream(
     reader = spark.readStream.option("wholetext", whole_document)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    typed = typed_with_rescue(_records(reader.text(path), api_id), schema)
+    typed = typed_with_rescue(_records(reader.text(path), api_id), schema, raw="raw")
     if record_path:
         return extract_records(typed, record_path)
     ordered = [*schema.fieldNames(), "_rescued_data", *TECHNICAL_COLUMNS]
@@ -141,26 +142,22 @@ def bronze_tables(
     the first error is raised, so one bad source does not stop the others.
     """
     routes = bronze_routes(config)
-    failures = []
-    for first in range(0, len(routes), at_once):
-        started = []
-        for route in routes[first : first + at_once]:
-            started.append(
-                start_bronze(
-                    spark,
-                    f"{landing_root}/{route.api_id}",
-                    table_path(table_root, route),
-                    f"{table_root}/_state/{route.api_id}",
-                    route.api_id,
-                    record_path=route.record_path,
-                    **options,
-                )
-            )
-        for query in started:
-            try:
-                query.awaitTermination()
-            except Exception as error:  # noqa: BLE001 - reported once all have ended
-                failures.append(error)
+
+    def ingest(route: Route) -> None:
+        start_bronze(
+            spark,
+            f"{landing_root}/{route.api_id}",
+            table_path(table_root, route),
+            f"{table_root}/_state/{route.api_id}",
+            route.api_id,
+            record_path=route.record_path,
+            **options,
+        ).awaitTermination()
+
+    # The threads only start and watch Spark jobs.
+    with ThreadPoolExecutor(at_once) as pool:
+        runs = [pool.submit(ingest, route) for route in routes]
+    failures = [run.exception() for run in runs if run.exception()]
     if failures:
         raise failures[0]
     return {r.api_id: read_bronze(spark, table_path(table_root, r)) for r in routes}

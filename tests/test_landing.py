@@ -143,6 +143,13 @@ def test_schema_inference(spark):
         "a": "string", "b": "double", "n": "string", "odd name": "boolean", "s": "struct<k:array<bigint>>",
     }
     assert schemas.infer_schema(df.limit(0)).fields == []
+    mixed = df.union(spark.createDataFrame([("5",), ("[1]",)], "record string"))
+    assert schemas.infer_schema(mixed) == found
+
+
+def test_empty_lists_give_no_record(spark):
+    docs = documents(spark, [], [[], [{"a": 1}]], {"a": 2})
+    assert rows(landing.split_records(docs)) == [("f1", 2, 1, '{"a":1}'), ("f2", 1, 1, '{"a":2}')]
 
 
 def test_schema_store_versions(spark, tmp_path):

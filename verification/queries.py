@@ -480,8 +480,8 @@ def incomplete_pulls(spark, sf):
 def split_landed_records(spark, sf):
     """Landed documents to one record per row, whatever their paging."""
     schema = T.StructType([T.StructField("productId", T.LongType()), T.StructField("quantity", T.LongType())])
-    records = landing.split_records(inputs.landed_pulls(spark, sf), "payload", ["run_id"])
-    return rescue.typed_with_rescue(records, schema).select(
+    records = landing.record_values(inputs.landed_pulls(spark, sf), "payload", ["run_id"])
+    return rescue.typed_with_rescue(records, schema, raw="raw").select(
         "run_id",
         "page_no",
         "record_no",
