@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.operators.aggregates import require_unique
-from stratalake.operators.history import apply_versions
+from stratalake.operators.history import apply_versions, scd2_from_snapshot
 from stratalake.operators.latest import latest_records
+from stratalake.sources.config import ChangeSettings
 
 NEW, CHANGED, UNCHANGED, DELETED = "new", "changed", "unchanged", "deleted"
 
@@ -184,3 +185,30 @@ def apply_changes(
     if handling == "HARD":
         return last.filter(~F.col("is_deleted")).drop("is_deleted")
     return last
+
+
+def apply_configured(
+    target: DataFrame | None, incoming: DataFrame, keys: Sequence[str], settings: ChangeSettings
+) -> DataFrame:
+    """Apply a source's changes the way its configuration asks for.
+
+    Mode FEED applies operations (:func:`apply_changes`); mode SNAPSHOT upserts
+    one row per key, or folds it into a history when the strategy is TYPE2, and
+    then tracks every column but the keys and the sequence. The sequence is
+    cast to its configured type first, so that numbers do not compare as text.
+    """
+    mode = settings.cdc_mode.strip().upper()
+    sequence = settings.sequence_column
+    typed = incoming.withColumn(sequence, F.col(sequence).cast(settings.sequence_type))
+    if mode == "FEED":
+        return apply_changes(
+            target, typed, keys, settings.operation_column, sequence, settings.delete_handling
+        )
+    if mode != "SNAPSHOT":
+        raise ValueError(f"unknown CDC mode: {settings.cdc_mode!r}")
+    keys = [settings.snapshot_key_column] if settings.snapshot_key_column else list(keys)
+    newest = latest_records(typed, keys, [sequence])
+    if settings.snapshot_strategy.strip().upper() == "TYPE2":
+        tracked = [c for c in newest.columns if c not in {*keys, sequence}]
+        return scd2_from_snapshot(target, newest, keys, tracked, sequence)
+    return newest if target is None else scd1_upsert(target, newest, keys, check_unique=False)

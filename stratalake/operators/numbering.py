@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.session import materialize
+from stratalake.session import materialize, partitions_for
 
 # monotonically_increasing_id() keeps the row position in the low 33 bits and
 # the partition number above them.
@@ -30,9 +30,8 @@ def global_row_number(
 
     The order is total when the sort key is unique.
     """
-    spark = df.sparkSession
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(df)
     placed = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

@@ -50,7 +50,8 @@ def orders_without_lines(bronze_orders: DataFrame, fact: DataFrame) -> DataFrame
     latest = latest_records(
         bronze_orders.select("id", "status", "total", "ingestion_timestamp", "_source_file"), ["id"]
     ).select(F.col("id").alias("order_id"), "status", F.col("total").alias("order_total"))
-    lines = fact.select(F.col("order_id").alias("_id"))
+    # One row per order before the shuffle, however many lines an order has.
+    lines = fact.select(F.col("order_id").alias("_id")).distinct()
     return latest.join(lines, F.col("order_id") == F.col("_id"), "left_anti")
 
 

@@ -20,6 +20,10 @@ SQL_SETTINGS = {
 }
 
 
+# Bounds what the driver keeps per shuffle.
+MAX_PARTITIONS = 100_000
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the library relies on to an existing session."""
     for key, value in SQL_SETTINGS.items():
@@ -48,6 +52,32 @@ def local_session(
     return spark
 
 
+def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions for a full shuffle of ``df``: the session's setting, or
+    more when the files read would overfill them.
+
+    The scanned sizes are summed, because estimates further up a plan multiply
+    the sides of a join.
+    """
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    estimate = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(configured, min(MAX_PARTITIONS, -(-estimate // target_bytes)))
+
+
+def size_shuffles(*inputs: DataFrame) -> int:
+    """Raise the session's shuffle partitions to what its largest input needs.
+
+    Too many are harmless, because adaptive execution merges small ones; too
+    few cannot be repaired at run time.
+    """
+    spark = inputs[0].sparkSession
+    wanted = max(partitions_for(df) for df in inputs)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 

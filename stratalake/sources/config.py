@@ -153,3 +153,23 @@ def route_for(routes: list[Route], api_id: str) -> Route:
     if len(found) != 1:
         raise LookupError(f"expected exactly one route for {api_id!r}, found {len(found)}")
     return found[0]
+
+
+@dataclass(frozen=True)
+class ChangeSettings:
+    """How one source's changes are applied to its table."""
+
+    source_id: str
+    cdc_mode: str
+    operation_column: str | None
+    sequence_column: str
+    sequence_type: str
+    delete_handling: str
+    snapshot_key_column: str | None
+    snapshot_strategy: str
+
+
+def change_settings(config: DataFrame, source_id: str) -> ChangeSettings:
+    """The one enabled change configuration of a source; none or several raise."""
+    row = single_source(config, F.col("source_id") == source_id, f"changes of {source_id!r}")
+    return ChangeSettings(**{name: row[name] for name in ChangeSettings.__dataclass_fields__})

@@ -8,6 +8,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from stratalake.session import local_session  # noqa: E402
 
 TESTDATA = "/root/testdata/sf0.001"
@@ -15,6 +17,8 @@ TESTDATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    # Read by the builder of the session below.
+    SparkSession.builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     session = local_session(4, "tests", "4g", scratch=str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()

@@ -186,3 +186,30 @@ def test_public_view_numbers_the_whole_history(spark):
     assert rows(out, "sk", "id", "effective_start_ts", "is_active") == [
         (1, "a", 1, False), (2, "a", 5, True), (3, "b", 1, False), (4, "b", 2, True),
     ]
+
+
+def test_configured_changes(spark):
+    from stratalake.sources.config import change_settings
+
+    schema = (
+        "source_id string, cdc_mode string, operation_column string, sequence_column string, sequence_type string,"
+        "delete_handling string, snapshot_key_column string, snapshot_strategy string, enabled boolean"
+    )
+    conf = spark.createDataFrame(
+        [("feed", "feed", "op", "seq", "bigint", "HARD", None, "NONE", True), ("snap", "SNAPSHOT", None, "seq", "int", "NONE", "k", "TYPE1", True),
+         ("hist", "SNAPSHOT", None, "seq", "int", "NONE", "k", "type2", True), ("off", "FEED", "op", "seq", "int", "HARD", None, "NONE", False)],
+        schema,
+    )
+    # As text, "9" would come after "10".
+    feed = spark.createDataFrame([(1, "U", "9", "old"), (1, "U", "10", "new"), (2, "D", "1", None)], "k int, op string, seq string, v string")
+    assert rows(changes.apply_configured(None, feed, ["k"], change_settings(conf, "feed")), "k", "seq", "v") == [(1, 10, "new")]
+    snap = feed.drop("op")
+    first = changes.apply_configured(None, snap, [], change_settings(conf, "snap"))
+    assert rows(first, "k", "v") == [(1, "new"), (2, None)]
+    after = changes.apply_configured(first, snap.filter("seq = '9'"), [], change_settings(conf, "snap"))
+    assert rows(after, "k", "v") == [(1, "old"), (2, None)]
+    hist = changes.apply_configured(None, snap.filter("seq <> '10'"), [], change_settings(conf, "hist"))
+    hist = changes.apply_configured(hist, snap.filter("seq = '10'"), [], change_settings(conf, "hist"))
+    assert rows(hist, "k", "v", history.START, history.END) == [(1, "new", 10, None), (1, "old", 9, 10), (2, None, 1, None)]
+    with pytest.raises(LookupError):
+        change_settings(conf, "off")

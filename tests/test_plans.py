@@ -87,3 +87,11 @@ def test_hot_lookup_keys_are_split_at_run_time(spark, skewed_settings):
     collected = out.select(F.count(F.lit(1)), F.count("sk"))
     collected.collect()
     assert "skew=true" in plan(collected)
+
+
+def test_shuffles_grow_with_the_input_and_not_with_joins(spark):
+    from stratalake.session import partitions_for
+
+    orders = inputs.bronze_orders(spark, SF)
+    assert partitions_for(orders) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(orders, target_bytes=1000) > 100

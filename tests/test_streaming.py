@@ -114,6 +114,13 @@ def test_load_modes(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "new")).columns == ["ingestion_timestamp"]
 
 
+def test_catalog_table_load_modes(spark):
+    for load, expected in ((None, 3), ("INCREMENTAL", 6), ("FULL", 3)):
+        sinks.save_table_by_load_type(spark.range(3), "load_modes", load)
+        assert spark.table("load_modes").count() == expected
+    spark.sql("DROP TABLE load_modes")
+
+
 def test_a_version_that_breaks_a_rule_is_never_read(spark, tmp_path):
     root = str(tmp_path / "t")
     rules = {"small": "id < 5"}
