@@ -32,6 +32,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "row_count")
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)).filter(F.col(alias) > 1)
 
 
+def duplicate_flags(df: DataFrame, keys: Sequence[str], alias: str = "_repeated") -> DataFrame:
+    """Every key once, with 1 when it repeats and 0 when it does not."""
+    return df.groupBy(*keys).agg((F.count(F.lit(1)) > 1).cast("int").alias(alias))
+
+
 def duplicate_key_count(df: DataFrame, keys: Sequence[str], alias: str = "duplicate_count") -> DataFrame:
     return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias(alias))
 

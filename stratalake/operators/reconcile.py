@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.aggregates import duplicate_key_count, sum_at_grain
+from stratalake.operators.aggregates import duplicate_flags, sum_at_grain
 from stratalake.operators.latest import latest_records
 
 
@@ -33,9 +33,14 @@ def bronze_to_silver(bronze_orders: DataFrame, fact: DataFrame) -> DataFrame:
     # The latest row of a key exists exactly once, NULL key included: counting
     # keys needs no ranking.
     left = bronze_orders.select("id").distinct().agg(F.count(F.lit(1)).alias("bronze_orders"))
-    right = fact.agg(F.count_distinct("order_id").alias("silver_orders"))
-    duplicates = duplicate_key_count(fact, ["order_id", "line_number"])
-    one = left.crossJoin(right).crossJoin(duplicates)
+    # Both Silver figures come from one scan: lines per key, then keys per order.
+    right = (
+        duplicate_flags(fact, ["order_id", "line_number"])
+        .groupBy("order_id")
+        .agg(F.sum("_repeated").alias("_repeated"))
+        .agg(F.count("order_id").alias("silver_orders"), F.coalesce(F.sum("_repeated"), F.lit(0)).alias("duplicate_count"))
+    )
+    one = left.crossJoin(right)
     return _rows(
         one,
         [
@@ -72,12 +77,17 @@ def order_metrics(fact: DataFrame) -> DataFrame:
 def silver_to_gold(fact: DataFrame, kpis: DataFrame) -> DataFrame:
     """Orders, units and sales of Silver against Gold, and Gold key uniqueness."""
     silver = order_metrics(fact).toDF("s_orders", "s_units", "s_sales")
-    gold = kpis.agg(
-        F.count(F.lit(1)).alias("g_orders"),
-        F.sum("units_sold").alias("g_units"),
-        F.sum("order_total").alias("g_sales"),
+    # One row per order again, so repeated orders show in the same pass.
+    per_order = kpis.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("units_sold").alias("_units"), F.sum("order_total").alias("_sales")
+    )
+    gold = per_order.agg(
+        F.sum("_rows").alias("g_orders"),
+        F.sum("_units").alias("g_units"),
+        F.sum("_sales").alias("g_sales"),
+        F.count_if(F.col("_rows") > 1).alias("duplicate_count"),
     )
-    one = silver.crossJoin(gold).crossJoin(duplicate_key_count(kpis, ["order_id"]))
+    one = silver.crossJoin(gold)
     return _rows(
         one,
         [

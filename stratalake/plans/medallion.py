@@ -53,8 +53,10 @@ def run_batch(
         customers = published("dim_customer", silver.dim_customer(users))
         items = published("dim_product", silver.dim_product(products))
         fact = published("fact_order", silver.fact_order(orders, customers, items), FACT_ORDER_RULES)
-        kpis = published("order_kpis", gold.order_kpis(fact))
-        by_customer = published("customer_sales", gold.customer_sales(kpis, customers))
+        # The dimensions have one row per key, so lines are unique; the
+        # reconciliation below counts any that are not.
+        kpis = published("order_kpis", gold.order_kpis(fact, unique_lines=True))
+        by_customer = published("customer_sales", gold.customer_sales(kpis, customers, unique_orders=True))
         by_product = published("product_sales", gold.product_sales(fact, items))
         run["stage"] = "reconciliation"
         checks = published(

@@ -99,16 +99,22 @@ def start_bronze(
     whole_document: bool = True,
     sampling: float = 1.0,
     max_files: int | None = None,
+    by_day: bool = False,
 ) -> StreamingQuery:
     """Start one triggered run that appends everything new to a Bronze table.
 
     ``state`` holds the schema versions and the stream checkpoint. The file
-    sink makes the append exactly-once.
+    sink makes the append exactly-once. ``by_day`` partitions the table by
+    ``ingestion_date``, so that readers of recent loads skip the rest.
     """
     _, schema = evolve_schema(spark, landing, SchemaStore(spark, f"{state}/schema"), whole_document, sampling)
     rows = json_stream(spark, landing, schema, api_id, record_path, whole_document, max_files)
+    days = ["ingestion_date"] if by_day else []
+    if by_day:
+        rows = rows.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
     return (
         rows.writeStream.format("parquet")
+        .partitionBy(*days)
         .outputMode("append")
         .option("path", table)
         .option("checkpointLocation", f"{state}/checkpoint")

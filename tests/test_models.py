@@ -127,6 +127,10 @@ def test_order_kpis_do_not_sum_the_total(spark):
     lines = [line(1, 1, 1, 1, 1082), line(1, 2, 2, 2, 1082), line(1, 3, 3, 2, 1082), line(2, 1, 1, 3, 589), line(2, 2, 2, 2, 589)]
     out = gold.order_kpis(spark.createDataFrame(lines, FACT))
     assert rows(out, "order_id", "line_count", "units_sold", "order_total") == [(1, 3, 5, 1082), (2, 2, 5, 589)]
+    unique = gold.order_kpis(spark.createDataFrame(lines, FACT), unique_lines=True)
+    assert rows(unique.drop("processed_timestamp")) == rows(out.drop("processed_timestamp"))
+    repeated = gold.order_kpis(spark.createDataFrame(lines + lines[:1], FACT))
+    assert rows(repeated.filter("order_id = 1"), "line_count", "units_sold") == [(3, 6)]
 
 
 def test_customer_sales(spark):

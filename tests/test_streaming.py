@@ -50,6 +50,14 @@ def test_unknown_keys_after_inference_are_rescued(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "t")), "id", "_rescued_data") == [(1, '{"late":[1]}')]
 
 
+def test_bronze_by_day_prunes(spark, tmp_path):
+    land(tmp_path / "in", "1.json", {"id": 1})
+    table = bronze.run_bronze(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "s"), "api", by_day=True)
+    assert table.filter("ingestion_date >= date '2020-01-01'").count() == 1
+    pruned = table.filter("ingestion_date < date '2020-01-01'")
+    assert "PartitionFilters: [isnotnull(ingestion_date" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fan_out_isolates_a_bad_source(spark, tmp_path):
     land(tmp_path / "landing" / "good", "1.json", {"payload": {"items": [{"id": 1}, {"id": 2}]}})
     land(tmp_path / "landing" / "off", "1.json", {"payload": {"items": [{"id": 9}]}})
