@@ -8,6 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fields stay when NULL, and times keep their microseconds.
+_HASHED_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def as_column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -29,4 +37,4 @@ def record_hash(columns: Sequence[str]) -> Column:
     not guarantee.
     """
     row = F.struct(*[F.col(f"`{c}`").alias(c) for c in columns])
-    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
+    return F.sha2(F.to_json(row, _HASHED_JSON), 256)

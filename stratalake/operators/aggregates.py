@@ -27,6 +27,14 @@ def sum_at_grain(
     )
 
 
+def one_row(*parts: DataFrame) -> DataFrame:
+    """Put one-row results with different columns side by side."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "row_count") -> DataFrame:
     """Keys that occur more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)).filter(F.col(alias) > 1)

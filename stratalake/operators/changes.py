@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.aggregates import require_unique
+from stratalake.operators.aggregates import one_row, require_unique
 from stratalake.operators.history import apply_versions, scd2_from_snapshot
 from stratalake.operators.latest import latest_records
 from stratalake.sources.config import ChangeSettings
@@ -73,7 +73,7 @@ def change_metrics(changes: DataFrame, target: DataFrame) -> DataFrame:
         rows_of(UNCHANGED).alias("unchanged_rows"),
     )
     sized = target.agg(F.count(F.lit(1)).alias("target_rows"))
-    return counted.crossJoin(sized).select(
+    return one_row(counted, sized).select(
         "source_rows", "target_rows", "new_rows", "changed_rows", "unchanged_rows"
     )
 

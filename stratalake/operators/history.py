@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.functions.keys import record_hash
 from stratalake.operators.numbering import global_row_number
 from stratalake.operators.skew import bucketed_by_sequence
 
@@ -40,7 +41,7 @@ def apply_versions(
 
     Intervals are half-open.
     """
-    history = _ordered(history, incoming, end, current)
+    _require_columns(history, incoming, [c for c in (end, current) if c])
     is_open = F.col(current) if current else F.col(end).isNull()
     closed = history.filter(~F.coalesce(is_open, F.lit(False)))
     open_rows = history.filter(is_open)
@@ -84,23 +85,13 @@ def apply_versions(
     return closed.unionByName(moved)
 
 
-def _ordered(history: DataFrame, incoming: DataFrame, end: str, current: str | None) -> DataFrame:
+def _require_columns(history: DataFrame, incoming: DataFrame, interval: Sequence[str]) -> None:
     extra = [c for c in incoming.columns if c not in history.columns]
     if extra:
         raise ValueError(f"incoming rows have columns the history lacks: {extra}")
-    missing = [c for c in [end, current] if c and c not in history.columns]
+    missing = [c for c in interval if c not in history.columns]
     if missing:
         raise ValueError(f"history lacks {missing}")
-    return history
-
-
-def empty_history(snapshot: DataFrame, start: str = START, end: str = END) -> DataFrame:
-    """A history without rows, shaped for ``snapshot``."""
-    return (
-        snapshot.limit(0)
-        .withColumn(start, F.lit(None).cast("timestamp"))
-        .withColumn(end, F.lit(None).cast("timestamp"))
-    )
 
 
 def scd2_from_snapshot(
@@ -153,7 +144,9 @@ def scd2_from_log(
     group = [*keys, "_bucket"]
     ordered = [F.col(s) for s in sequence]
     within = Window.partitionBy(*group).orderBy(*ordered)
-    state = F.struct(*[F.col(f"`{c}`") for c in tracked])
+    # Ranges hand each other a hash, so what is broadcast stays small however
+    # wide the tracked columns are.
+    state = F.struct(*[F.col(f"`{c}`") for c in tracked]) if hot is None else record_hash(tracked)
     previous = F.lag(state).over(within)
 
     if hot is None:
@@ -175,7 +168,7 @@ def scd2_from_log(
             .withColumn("_previous", F.when(F.col("_first") & F.col("_hot"), F.col("_carried")).otherwise(F.col("_previous")))
             .drop("_first", "_carried")
         )
-    # A missing previous row is a NULL struct, which differs from any state.
+    # A missing previous row is NULL, which differs from any state.
     changes = rows.filter(~F.col("_previous").eqNullSafe(state)).drop("_previous")
     versions = changes.withColumn(start, F.col(time)).withColumn(end, F.lead(F.col(time)).over(within))
     if hot is not None:

@@ -39,10 +39,9 @@ def heavy_keys(df: DataFrame, on: str, share: float = 0.01) -> list[tuple]:
     """
     if not 0.0 < share < 1.0:
         raise ValueError("share must lie between 0 and 1")
-    counts = df.groupBy(F.col(on).alias("key")).count()
-    total = counts.agg(F.sum("count").alias("total"))
-    heavy = counts.crossJoin(total).filter(F.col("count") > F.col("total") * share)
-    return [(r["key"], r["count"] / r["total"]) for r in heavy.collect()]
+    total = df.count()
+    heavy = df.groupBy(F.col(on).alias("key")).count().filter(F.col("count") > total * share)
+    return [(r["key"], r["count"] / total) for r in heavy.collect()]
 
 
 def salted_lookup(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.aggregates import duplicate_flags, sum_at_grain
+from stratalake.operators.aggregates import duplicate_flags, one_row, sum_at_grain
 from stratalake.operators.latest import latest_records
 
 
@@ -40,7 +40,7 @@ def bronze_to_silver(bronze_orders: DataFrame, fact: DataFrame) -> DataFrame:
         .agg(F.sum("_repeated").alias("_repeated"))
         .agg(F.count("order_id").alias("silver_orders"), F.coalesce(F.sum("_repeated"), F.lit(0)).alias("duplicate_count"))
     )
-    one = left.crossJoin(right)
+    one = one_row(left, right)
     return _rows(
         one,
         [
@@ -87,7 +87,7 @@ def silver_to_gold(fact: DataFrame, kpis: DataFrame) -> DataFrame:
         F.sum("_sales").alias("g_sales"),
         F.count_if(F.col("_rows") > 1).alias("duplicate_count"),
     )
-    one = silver.crossJoin(gold)
+    one = one_row(silver, gold)
     return _rows(
         one,
         [
@@ -103,4 +103,4 @@ def fan_out_error(fact: DataFrame) -> DataFrame:
     """Sales summed at order grain next to the same sum at line grain."""
     right = sum_at_grain(fact, ["order_id"], "order_total", alias="order_grain_sales", count_alias="order_count")
     wrong = fact.agg(F.sum("order_total").alias("line_grain_sales"), F.count(F.lit(1)).alias("line_count"))
-    return right.crossJoin(wrong)
+    return one_row(right, wrong)

@@ -45,15 +45,8 @@ def bucketed_by_sequence(
     Without hot keys the second result is None and ``_bucket`` is constant.
     """
     plain = df.withColumn("_bucket", F.lit(0)).withColumn("_hot", F.lit(False))
-    counts = df.groupBy(*keys).count()
-    total = counts.agg(F.sum("count").alias("_total"))
-    limit = F.greatest(F.lit(max_rows), (F.col("_total") / MAX_HOT_KEYS).cast("long"))
-    found = (
-        counts.crossJoin(total)
-        .withColumn("_limit", limit)
-        .filter(F.col("count") > F.col("_limit"))
-        .collect()
-    )
+    limit = max(max_rows, df.count() // MAX_HOT_KEYS)
+    found = df.groupBy(*keys).count().filter(F.col("count") > limit).collect()
     if not found:
         return plain, None
 
@@ -69,7 +62,7 @@ def bucketed_by_sequence(
         return condition
 
     pieces = [
-        (*[r[k] for k in keys], min(MAX_RANGES_PER_KEY, -(-r["count"] // r["_limit"]))) for r in found
+        (*[r[k] for k in keys], min(MAX_RANGES_PER_KEY, -(-r["count"] // limit))) for r in found
     ]
     wanted = spark.createDataFrame(pieces, T.StructType([*key_fields, T.StructField("_pieces", T.LongType())]))
     number = _as_number(sequence, dtype)

@@ -22,6 +22,8 @@ SQL_SETTINGS = {
 
 # Bounds what the driver keeps per shuffle.
 MAX_PARTITIONS = 100_000
+# What one task should get to see.
+TARGET_BYTES = 128 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -52,18 +54,21 @@ def local_session(
     return spark
 
 
-def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
-    """Shuffle partitions for a full shuffle of ``df``: the session's setting, or
-    more when the files read would overfill them.
+def scanned_bytes(df: DataFrame) -> int:
+    """The planner's estimate of what ``df`` reads.
 
-    The scanned sizes are summed, because estimates further up a plan multiply
-    the sides of a join.
+    The leaves are summed, because estimates further up a plan multiply the
+    sides of a join.
     """
-    spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    estimate = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return max(configured, min(MAX_PARTITIONS, -(-estimate // target_bytes)))
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
+    """Shuffle partitions for a full shuffle of ``df``: the session's setting, or
+    more when the files read would overfill them."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, min(MAX_PARTITIONS, -(-scanned_bytes(df) // target_bytes)))
 
 
 def size_shuffles(*inputs: DataFrame) -> int:

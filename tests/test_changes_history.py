@@ -30,6 +30,8 @@ def test_record_hash_tells_nulls_and_columns_apart(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("", "a"), ("a", None)], "x string, y string")
     hashes = [r.record_hash for r in with_record_hash(df, ["x", "y"]).collect()]
     assert len(set(hashes)) == 3 and hashes[0] == hashes[3]
+    times = spark.createDataFrame([(at("2026-01-01T00:00:00.000001"),), (at("2026-01-01T00:00:00.000002"),)], "t timestamp")
+    assert with_record_hash(times, ["t"]).select("record_hash").distinct().count() == 2
 
 
 def test_scd1_replaces_inserts_and_rejects_duplicates(spark):

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.session import TARGET_BYTES, scanned_bytes
+
 SLOTS = 7
 PAGE_SIZE = 2
 
@@ -19,13 +21,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores.
+    """Spread a scan too small to give every core a split.
 
     A small file that cannot be split would keep all work up to the next
     shuffle in one task. A large table has splits enough and stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if scanned_bytes(df) < cores * TARGET_BYTES else df
 
 
 def cents(column: str) -> Column:
