@@ -41,7 +41,7 @@ def apply_versions(
 
     Intervals are half-open.
     """
-    _require_columns(history, incoming, [c for c in (end, current) if c])
+    history = _with_new_columns(history, incoming, [c for c in (end, current) if c])
     is_open = F.col(current) if current else F.col(end).isNull()
     closed = history.filter(~F.coalesce(is_open, F.lit(False)))
     open_rows = history.filter(is_open)
@@ -85,13 +85,15 @@ def apply_versions(
     return closed.unionByName(moved)
 
 
-def _require_columns(history: DataFrame, incoming: DataFrame, interval: Sequence[str]) -> None:
-    extra = [c for c in incoming.columns if c not in history.columns]
-    if extra:
-        raise ValueError(f"incoming rows have columns the history lacks: {extra}")
+def _with_new_columns(history: DataFrame, incoming: DataFrame, interval: Sequence[str]) -> DataFrame:
+    """The history with NULL in columns that only the incoming rows have yet."""
     missing = [c for c in interval if c not in history.columns]
     if missing:
         raise ValueError(f"history lacks {missing}")
+    for f in incoming.schema.fields:
+        if f.name not in history.columns:
+            history = history.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return history
 
 
 def scd2_from_snapshot(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
@@ -47,16 +48,17 @@ def json_stream(
     api_id: str,
     record_path: str | None = None,
     whole_document: bool = True,
-    max_files: int | None = None,
+    source_options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Stream new landed files as typed rows with ``_rescued_data`` and lineage.
 
     With ``record_path`` the rows are the records inside the documents, and
-    neither their siblings nor the rescued data are kept.
+    neither their siblings nor the rescued data are kept. ``source_options`` go
+    to the file source: ``maxFilesPerTrigger`` bounds a micro-batch, and
+    ``cleanSource`` moves finished files away, which keeps listing a long-lived
+    landing folder cheap.
     """
-    reader = spark.readStream.option("wholetext", whole_document)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.options(**(source_options or {})).option("wholetext", whole_document)
     typed = typed_with_rescue(_records(reader.text(path), api_id), schema, raw="raw")
     if record_path:
         return extract_records(typed, record_path)
@@ -98,21 +100,22 @@ def start_bronze(
     record_path: str | None = None,
     whole_document: bool = True,
     sampling: float = 1.0,
-    max_files: int | None = None,
+    source_options: Mapping[str, str] | None = None,
     by_day: bool = False,
-) -> StreamingQuery:
+) -> tuple[StreamingQuery, T.StructType]:
     """Start one triggered run that appends everything new to a Bronze table.
 
-    ``state`` holds the schema versions and the stream checkpoint. The file
-    sink makes the append exactly-once. ``by_day`` partitions the table by
+    Returns the running query and the table's schema from now on. ``state``
+    holds the schema versions and the stream checkpoint. The file sink makes
+    the append exactly-once. ``by_day`` partitions the table by
     ``ingestion_date``, so that readers of recent loads skip the rest.
     """
     _, schema = evolve_schema(spark, landing, SchemaStore(spark, f"{state}/schema"), whole_document, sampling)
-    rows = json_stream(spark, landing, schema, api_id, record_path, whole_document, max_files)
+    rows = json_stream(spark, landing, schema, api_id, record_path, whole_document, source_options)
     days = ["ingestion_date"] if by_day else []
     if by_day:
         rows = rows.withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
-    return (
+    query = (
         rows.writeStream.format("parquet")
         .partitionBy(*days)
         .outputMode("append")
@@ -121,17 +124,25 @@ def start_bronze(
         .trigger(availableNow=True)
         .start()
     )
+    return query, rows.schema
 
 
 def run_bronze(spark: SparkSession, landing: str, table: str, state: str, api_id: str, **options) -> DataFrame:
     """Ingest everything new and return the Bronze table."""
-    start_bronze(spark, landing, table, state, api_id, **options).awaitTermination()
-    return read_bronze(spark, table)
+    query, schema = start_bronze(spark, landing, table, state, api_id, **options)
+    query.awaitTermination()
+    return read_bronze(spark, table, schema)
+
 
+def read_bronze(spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """A Bronze table with the columns of all its schema versions.
 
-def read_bronze(spark: SparkSession, table: str) -> DataFrame:
-    """A Bronze table with the columns of all its schema versions."""
-    return spark.read.option("mergeSchema", True).parquet(table)
+    Files older than a column read as NULL there. Without a schema all file
+    footers have to be read to find the columns.
+    """
+    if schema is None:
+        return spark.read.option("mergeSchema", True).parquet(table)
+    return spark.read.schema(schema).parquet(table)
 
 
 def bronze_tables(
@@ -149,8 +160,8 @@ def bronze_tables(
     """
     routes = bronze_routes(config)
 
-    def ingest(route: Route) -> None:
-        start_bronze(
+    def ingest(route: Route) -> DataFrame:
+        return run_bronze(
             spark,
             f"{landing_root}/{route.api_id}",
             table_path(table_root, route),
@@ -158,15 +169,15 @@ def bronze_tables(
             route.api_id,
             record_path=route.record_path,
             **options,
-        ).awaitTermination()
+        )
 
     # The threads only start and watch Spark jobs.
     with ThreadPoolExecutor(at_once) as pool:
-        runs = [pool.submit(ingest, route) for route in routes]
-    failures = [run.exception() for run in runs if run.exception()]
-    if failures:
-        raise failures[0]
-    return {r.api_id: read_bronze(spark, table_path(table_root, r)) for r in routes}
+        runs = {route.api_id: pool.submit(ingest, route) for route in routes}
+    for run in runs.values():
+        if run.exception():
+            raise run.exception()
+    return {api_id: run.result() for api_id, run in runs.items()}
 
 
 def table_path(table_root: str, route: Route) -> str:

@@ -114,6 +114,13 @@ def test_snapshot_history(spark):
     assert fold(spark, one, two, two, one) == fold(spark, one, two)
 
 
+def test_new_columns_join_the_history(spark):
+    old = history.scd2_from_snapshot(None, snapshot(spark, 1, (1, "a", 0), (2, "b", 0)), ["k"], ["name"])
+    wider = snapshot(spark, 2, (1, "A", 0)).withColumn("extra", F.lit("x"))
+    out = history.scd2_from_snapshot(old, wider, ["k"], ["name"])
+    assert rows(out, "k", "name", "extra") == [(1, "A", "x"), (1, "a", None), (2, "b", None)]
+
+
 def test_untracked_change_keeps_the_open_row(spark):
     out = None
     for s in (snapshot(spark, 1, (1, "a", 0)), snapshot(spark, 2, (1, "a", 9))):

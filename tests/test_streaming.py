@@ -50,6 +50,17 @@ def test_unknown_keys_after_inference_are_rescued(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "t")), "id", "_rescued_data") == [(1, '{"late":[1]}')]
 
 
+def test_finished_files_can_be_archived(spark, tmp_path):
+    options = {"cleanSource": "archive", "sourceArchiveDir": str(tmp_path / "done"), "maxFilesPerTrigger": "1"}
+    for i in range(3):
+        land(tmp_path / "in", f"{i}.json", {"id": i})
+        table = bronze.run_bronze(
+            spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "s"), "api", source_options=options
+        )
+        assert table.count() == i + 1
+    assert bronze.read_bronze(spark, str(tmp_path / "t")).count() == 3
+
+
 def test_bronze_by_day_prunes(spark, tmp_path):
     land(tmp_path / "in", "1.json", {"id": 1})
     table = bronze.run_bronze(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "s"), "api", by_day=True)
