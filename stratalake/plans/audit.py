@@ -9,36 +9,72 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratalake.functions import or_na
 from stratalake.operators.latest import latest_records
 from stratalake.sources.sinks import append_rows
 
-# The audit table.
-AUDIT_SCHEMA = T.StructType(
-    [
-        T.StructField("run_id", T.StringType(), False),
-        T.StructField("job_run_id", T.StringType()),
-        T.StructField("api_name", T.StringType(), False),
-        T.StructField("job_name", T.StringType(), False),
-        T.StructField("start_time", T.TimestampType(), False),
-        T.StructField("end_time", T.TimestampType(), False),
-        T.StructField("status", T.StringType(), False),
-        T.StructField("records_read", T.IntegerType()),
-        T.StructField("records_written", T.IntegerType()),
-        T.StructField("pages_read", T.IntegerType()),
-        T.StructField("schema_version", T.IntegerType()),
-        T.StructField("duration_seconds", T.DoubleType(), False),
-        T.StructField("landing_file", T.StringType()),
-        T.StructField("landing_file_size_bytes", T.LongType()),
-        T.StructField("failure_stage", T.StringType()),
-        T.StructField("failure_type", T.StringType()),
-        T.StructField("http_status", T.IntegerType()),
-        T.StructField("retry_count", T.IntegerType()),
-        T.StructField("total_attempts", T.IntegerType()),
-        T.StructField("error_message", T.StringType()),
-    ]
+# The columns of the audit table.
+AUDIT_COLUMNS = {
+    "run_id": "STRING NOT NULL",
+    "job_run_id": "STRING",
+    "api_name": "STRING NOT NULL",
+    "job_name": "STRING NOT NULL",
+    "start_time": "TIMESTAMP NOT NULL",
+    "end_time": "TIMESTAMP NOT NULL",
+    "status": "STRING NOT NULL",
+    "records_read": "INT",
+    "records_written": "INT",
+    "pages_read": "INT",
+    "schema_version": "INT",
+    "duration_seconds": "DOUBLE NOT NULL",
+    "landing_file": "STRING",
+    "landing_file_size_bytes": "BIGINT",
+    "failure_stage": "STRING",
+    "failure_type": "STRING",
+    "http_status": "INT",
+    "retry_count": "INT",
+    "total_attempts": "INT",
+    "error_message": "STRING",
+}
+AUDIT_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in AUDIT_COLUMNS.items())
+
+# The summary text, line by line; a column name fills its line.
+SUMMARY_SUBJECT = "API Ingestion Run Summary"
+SUMMARY_LINES = (
+    ("Job: ", "job_name"),
+    ("Run ID: ", "job_run_id"),
+    ("Overall Status: ", "overall_status"),
+    ("", None),
+    ("Ingestion", None),
+    ("---------", None),
+    ("API records read: ", "records_read"),
+    ("Pages read: ", "pages_read"),
+    ("Landing file: ", "landing_file"),
+    ("Landing file size (bytes): ", "landing_file_size_bytes"),
+    ("Ingestion status: ", "ingestion_status"),
+    ("", None),
+    ("Pipeline", None),
+    ("--------", None),
+    ("Bronze: ", "bronze_status"),
+    ("Silver: ", "silver_status"),
+    ("Gold: ", "gold_status"),
+    ("", None),
+    ("Data Quality", None),
+    ("-----------", None),
+    ("DQ status: ", "dq_status"),
+    ("", None),
+    ("Reconciliation", None),
+    ("--------------", None),
+    ("Status: ", "reconciliation_status"),
+    ("", None),
+    ("Failure Diagnostics", None),
+    ("--------------------", None),
+    ("Failure stage: ", "failure_stage"),
+    ("Failure type: ", "failure_type"),
+    ("Retry count: ", "retry_count"),
+    ("Total attempts: ", "total_attempts"),
+    ("Error message: ", "error_message"),
 )
 
 
@@ -74,7 +110,7 @@ def audited(
             status=status,
             duration_seconds=(end - start).total_seconds(),
         )
-        append_rows(spark, [tuple(row.get(f.name) for f in AUDIT_SCHEMA.fields)], AUDIT_SCHEMA, path)
+        append_rows(spark, [tuple(row.get(c) for c in AUDIT_COLUMNS)], AUDIT_SCHEMA, path)
 
 
 def run_summary(audit: DataFrame, stages: DataFrame) -> DataFrame:
@@ -87,43 +123,8 @@ def run_summary(audit: DataFrame, stages: DataFrame) -> DataFrame:
     """
     runs = latest_records(audit, ["job_run_id"], ["end_time", "run_id"])
     joined = stages.join(runs, "job_run_id", "left")
-    text = F.concat_ws(
-        "\n",
-        F.concat(F.lit("Job: "), or_na("job_name")),
-        F.concat(F.lit("Run ID: "), or_na("job_run_id")),
-        F.concat(F.lit("Overall Status: "), or_na("overall_status")),
-        F.lit(""),
-        F.lit("Ingestion"),
-        F.lit("---------"),
-        F.concat(F.lit("API records read: "), or_na("records_read")),
-        F.concat(F.lit("Pages read: "), or_na("pages_read")),
-        F.concat(F.lit("Landing file: "), or_na("landing_file")),
-        F.concat(F.lit("Landing file size (bytes): "), or_na("landing_file_size_bytes")),
-        F.concat(F.lit("Ingestion status: "), or_na("ingestion_status")),
-        F.lit(""),
-        F.lit("Pipeline"),
-        F.lit("--------"),
-        F.concat(F.lit("Bronze: "), or_na("bronze_status")),
-        F.concat(F.lit("Silver: "), or_na("silver_status")),
-        F.concat(F.lit("Gold: "), or_na("gold_status")),
-        F.lit(""),
-        F.lit("Data Quality"),
-        F.lit("-----------"),
-        F.concat(F.lit("DQ status: "), or_na("dq_status")),
-        F.lit(""),
-        F.lit("Reconciliation"),
-        F.lit("--------------"),
-        F.concat(F.lit("Status: "), or_na("reconciliation_status")),
-        F.lit(""),
-        F.lit("Failure Diagnostics"),
-        F.lit("--------------------"),
-        F.concat(F.lit("Failure stage: "), or_na("failure_stage")),
-        F.concat(F.lit("Failure type: "), or_na("failure_type")),
-        F.concat(F.lit("Retry count: "), or_na("retry_count")),
-        F.concat(F.lit("Total attempts: "), or_na("total_attempts")),
-        F.concat(F.lit("Error message: "), or_na("error_message")),
-    )
-    subject = F.concat(
-        F.lit("API Ingestion Run Summary - "), or_na("overall_status"), F.lit(" - "), or_na("job_run_id")
-    )
-    return joined.select("job_run_id", subject.alias("subject"), text.alias("body"))
+    lines = [
+        F.concat(F.lit(label), or_na(column)) if column else F.lit(label) for label, column in SUMMARY_LINES
+    ]
+    subject = F.concat_ws(" - ", F.lit(SUMMARY_SUBJECT), or_na("overall_status"), or_na("job_run_id"))
+    return joined.select("job_run_id", subject.alias("subject"), F.concat_ws("\n", *lines).alias("body"))

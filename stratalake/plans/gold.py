@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from stratalake.operators.shape import with_processed_time
 
 
+# Columns that repeat on every line of an order, and how they reduce to one value.
+ORDER_LEVEL = {
+    "customer_sk": F.max,
+    "customer_id": F.max,
+    "order_date": F.min,
+    "status": F.max,
+    "order_total": F.max,
+}
+
+
 def order_kpis(fact: DataFrame, unique_lines: bool = False) -> DataFrame:
     """One row per order. The order total repeats per line and is never summed.
 
@@ -16,17 +26,9 @@ def order_kpis(fact: DataFrame, unique_lines: bool = False) -> DataFrame:
     needs no distinct step, which saves a shuffle at line grain.
     """
     lines = F.count("line_number") if unique_lines else F.count_distinct("line_number")
-    return with_processed_time(
-        fact.groupBy("order_id").agg(
-            F.max("customer_sk").alias("customer_sk"),
-            F.max("customer_id").alias("customer_id"),
-            F.min("order_date").alias("order_date"),
-            F.max("status").alias("status"),
-            F.max("order_total").alias("order_total"),
-            lines.alias("line_count"),
-            F.sum("quantity").alias("units_sold"),
-        )
-    )
+    kept = [reduce_to_one(c).alias(c) for c, reduce_to_one in ORDER_LEVEL.items()]
+    units = F.sum("quantity").alias("units_sold")
+    return with_processed_time(fact.groupBy("order_id").agg(*kept, lines.alias("line_count"), units))
 
 
 def _with_attributes(metrics: DataFrame, dim: DataFrame, surrogate: str, key: str, *attributes) -> DataFrame:

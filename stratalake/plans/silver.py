@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,51 +16,57 @@ from stratalake.operators.shape import with_processed_time
 OPPORTUNITY_TRACKED = ("name", "amount", "stage_name", "close_date", "source_attributes")
 
 
+# Dimension columns and the document fields they come from.
+CUSTOMER_FIELDS = {
+    "customer_id": "id",
+    "customer_name": "name",
+    "username": "username",
+    "email": "email",
+    "avatar": "avatar",
+    "role": "role",
+    "phone": "phone",
+    "website": "website",
+    "address_street": "address.street",
+    "address_suite": "address.suite",
+    "address_city": "address.city",
+    "address_zipcode": "address.zipcode",
+    "address_lat": "address.geo.lat",
+    "address_lng": "address.geo.lng",
+    "company_name": "company.name",
+    "company_catch_phrase": "company.catchPhrase",
+    "company_bs": "company.bs",
+}
+PRODUCT_FIELDS = {
+    "product_id": "id",
+    "title": "title",
+    "description": "description",
+    "category": "category",
+    "price": "price",
+    "image": "image",
+    "rating_rate": "rating.rate",
+    "rating_count": "rating.count",
+}
+
+
+def _dimension(bronze: DataFrame, fields: Mapping[str, str], key: str, surrogate: str) -> DataFrame:
+    """The newest document per key, flattened, behind its surrogate key.
+
+    Flattening first keeps unread nested fields out of the shuffle; the
+    surrogate key is only computed for the rows that stay.
+    """
+    flat = bronze.select(*[F.col(path).alias(name) for name, path in fields.items()], *ARRIVAL_ORDER)
+    newest = latest_records(flat, [key]).drop("_source_file")
+    return with_processed_time(newest.select(hash_key(key).alias(surrogate), "*"))
+
+
 def dim_customer(bronze_users: DataFrame) -> DataFrame:
     """One row per customer id, nested address and company flattened."""
-    # Flattening first keeps unread nested fields out of the shuffle; the
-    # surrogate key is only computed for the rows that stay.
-    flat = bronze_users.select(
-        F.col("id").alias("customer_id"),
-        F.col("name").alias("customer_name"),
-        "username",
-        "email",
-        "avatar",
-        "role",
-        "phone",
-        "website",
-        F.col("address.street").alias("address_street"),
-        F.col("address.suite").alias("address_suite"),
-        F.col("address.city").alias("address_city"),
-        F.col("address.zipcode").alias("address_zipcode"),
-        F.col("address.geo.lat").alias("address_lat"),
-        F.col("address.geo.lng").alias("address_lng"),
-        F.col("company.name").alias("company_name"),
-        F.col("company.catchPhrase").alias("company_catch_phrase"),
-        F.col("company.bs").alias("company_bs"),
-        "ingestion_timestamp",
-        "_source_file",
-    )
-    newest = latest_records(flat, ["customer_id"]).drop("_source_file")
-    return with_processed_time(newest.select(hash_key("customer_id").alias("customer_sk"), "*"))
+    return _dimension(bronze_users, CUSTOMER_FIELDS, "customer_id", "customer_sk")
 
 
 def dim_product(bronze_products: DataFrame) -> DataFrame:
     """One row per product id, rating flattened."""
-    flat = bronze_products.select(
-        F.col("id").alias("product_id"),
-        "title",
-        "description",
-        "category",
-        "price",
-        "image",
-        F.col("rating.rate").alias("rating_rate"),
-        F.col("rating.count").alias("rating_count"),
-        "ingestion_timestamp",
-        "_source_file",
-    )
-    newest = latest_records(flat, ["product_id"]).drop("_source_file")
-    return with_processed_time(newest.select(hash_key("product_id").alias("product_sk"), "*"))
+    return _dimension(bronze_products, PRODUCT_FIELDS, "product_id", "product_sk")
 
 
 def latest_orders(bronze_orders: DataFrame) -> DataFrame:

@@ -9,62 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The declared schema of the user feed.
-USER_FEED = T.StructType(
-    [
-        T.StructField("@odata.context", T.StringType()),
-        T.StructField(
-            "value",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("businessPhones", T.ArrayType(T.StringType())),
-                        T.StructField("displayName", T.StringType()),
-                        T.StructField("givenName", T.StringType()),
-                        T.StructField("id", T.StringType()),
-                        T.StructField("jobTitle", T.StringType()),
-                        T.StructField("mail", T.StringType()),
-                        T.StructField("mobilePhone", T.StringType()),
-                        T.StructField("officeLocation", T.StringType()),
-                        T.StructField("preferredLanguage", T.StringType()),
-                        T.StructField("surname", T.StringType()),
-                        T.StructField("userPrincipalName", T.StringType()),
-                    ]
-                )
-            ),
-        ),
-    ]
+# The declared schemas of the user feed and of the news feed.
+USER_FEED = (
+    "`@odata.context` STRING, value ARRAY<STRUCT<businessPhones: ARRAY<STRING>, displayName: STRING, givenName: STRING,"
+    " id: STRING, jobTitle: STRING, mail: STRING, mobilePhone: STRING, officeLocation: STRING, preferredLanguage: STRING,"
+    " surname: STRING, userPrincipalName: STRING>>"
 )
-
-# The declared schema of the news feed.
-NEWS_FEED = T.StructType(
-    [
-        T.StructField(
-            "articles",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("author", T.StringType()),
-                        T.StructField("content", T.StringType()),
-                        T.StructField("description", T.StringType()),
-                        T.StructField("publishedAt", T.StringType()),
-                        T.StructField(
-                            "source",
-                            T.StructType(
-                                [T.StructField("id", T.StringType()), T.StructField("name", T.StringType())]
-                            ),
-                        ),
-                        T.StructField("title", T.StringType()),
-                        T.StructField("url", T.StringType()),
-                        T.StructField("urlToImage", T.StringType()),
-                    ]
-                )
-            ),
-        ),
-        T.StructField("status", T.StringType()),
-        T.StructField("totalResults", T.LongType()),
-        T.StructField("ingestion_date", T.DateType()),
-    ]
+NEWS_FEED = (
+    "articles ARRAY<STRUCT<author: STRING, content: STRING, description: STRING, publishedAt: STRING,"
+    " source: STRUCT<id: STRING, name: STRING>, title: STRING, url: STRING, urlToImage: STRING>>,"
+    " status STRING, totalResults BIGINT, ingestion_date DATE"
 )
 
 

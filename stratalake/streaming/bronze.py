@@ -27,7 +27,9 @@ def with_lineage(df: DataFrame, api_id: str) -> DataFrame:
     )
 
 
-def fixed_schema_stream(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def fixed_schema_stream(
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = True
+) -> DataFrame:
     """Stream JSON files of a declared schema.
 
     ``multi_line`` reads a file as one document; JSON lines (False) can be

@@ -182,7 +182,7 @@ _FEED_LAST = """
 _BODY = "||chr(10)||".join(
     f"({part})"
     for part in [
-        "'Job: ' || coalesce(CASE WHEN r.run_id IS NOT NULL THEN 'generic_api_ingestion_job' END, 'N/A')",
+        "'Job: ' || coalesce(CASE WHEN r.run_id IS NOT NULL THEN 'nightly_load' END, 'N/A')",
         "'Run ID: ' || c.c_custkey",
         "'Overall Status: ' || s1",
         "''",
@@ -413,7 +413,7 @@ ORACLE: dict[str, str] = {
         SELECT api_id, api_name, 'group-' || c_nationkey AS execution_group FROM config
         WHERE c_acctbal >= 0 AND c_nationkey < 12 ORDER BY api_name"""),
     "audit_report": _with("runs", final="""
-        SELECT 'generic_api_ingestion_job' AS job_name, status, count(*) AS runs,
+        SELECT 'nightly_load' AS job_name, status, count(*) AS runs,
                CAST(coalesce(sum(CASE WHEN status = 'SUCCESS' THEN n END), 0) AS BIGINT) AS records_read, max(end_time) AS last_end
         FROM runs GROUP BY status"""),
     "run_summary": _with("latest_runs", final=f"""

@@ -711,7 +711,7 @@ def _audit_rows(spark, sf):
         "run_id": F.lpad(F.col("o_orderkey").cast("string"), 12, "0"),
         "job_run_id": F.col("o_custkey").cast("string"),
         "api_name": F.lit("orders"),
-        "job_name": F.lit("generic_api_ingestion_job"),
+        "job_name": F.lit("nightly_load"),
         "start_time": start,
         "end_time": start + F.make_dt_interval(F.lit(0), F.lit(0), lines),
         "status": F.when(failed, "FAILED").otherwise("SUCCESS"),
@@ -723,7 +723,7 @@ def _audit_rows(spark, sf):
         "failure_type": F.when(failed, "HTTP_ERROR"),
     }
     return rows.select(
-        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in audit.AUDIT_SCHEMA.fields]
+        *[values.get(c, F.lit(None)).cast(kind.split()[0]).alias(c) for c, kind in audit.AUDIT_COLUMNS.items()]
     )
 
 
