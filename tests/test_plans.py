@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.operators import latest, lookup, numbering, quality
+from stratalake.operators import changes, history, latest, lookup, numbering, quality
 from stratalake.plans import state
 from verification import inputs
 
@@ -44,6 +44,26 @@ def test_numbering_has_no_single_task_over_the_data(spark):
     assert "HashAggregate" in text[single:] and "count(1)" in text[single:]
 
 
+def test_a_bulk_history_shuffles_once(spark):
+    log = inputs.table(spark, SF, "events").select("user_id", "event_type", "ts", "event_id")
+    text = plan(history.scd2_from_log(log, ["user_id"], ["event_type"], ["ts", "event_id"]))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1
+    cut = plan(history.scd2_from_log(log, ["user_id"], ["event_type"], ["ts", "event_id"], max_rows_per_group=5))
+    # All rows move by (key, range); only summaries move by key alone.
+    assert "_bucket" in cut and "SinglePartition" not in cut
+
+
+def test_an_upsert_does_not_shuffle_a_large_target(spark):
+    target = inputs.table(spark, SF, "orders").select("o_orderkey", "o_orderstatus")
+    few = inputs.table(spark, SF, "region").select(F.col("r_regionkey").cast("bigint").alias("o_orderkey"), F.col("r_name").alias("op"))
+    delta = few.withColumnRenamed("op", "o_orderstatus")
+    assert "Exchange hashpartitioning" not in plan(changes.scd1_upsert(target, delta, ["o_orderkey"], check_unique=False))
+    feed = few.withColumn("seq", F.lit(5).cast("bigint"))
+    table = target.withColumn("seq", F.lit(1).cast("bigint"))
+    text = plan(changes.apply_changes(table, feed, ["o_orderkey"], "op", "seq"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_pushdown_of_a_watermark(spark):
     import datetime as dt
 

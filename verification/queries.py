@@ -365,21 +365,22 @@ def scd2_history_hot_keys(spark, sf):
     ).select("event_type", "user_id", "event_id", "start_at", "end_at")
 
 
-def _weekly(spark, sf):
-    """Opportunities with the week they arrived in."""
+def _by_week(spark, sf, folder):
+    """Opportunities laid out by arrival week, so that a week is read without the others."""
+    week = F.date_format(F.date_trunc("week", "ingestion_timestamp"), "yyyyMMdd").cast("int")
     typed = inputs.bronze_opportunities(spark, sf).select(
         F.col("Id").alias("opportunity_id"),
         F.col("StageName").alias("stage_name"),
         F.col("Amount").cast("decimal(18,2)").alias("amount"),
         "ingestion_timestamp",
         "_source_file",
+        week.alias("week"),
     )
-    return typed.withColumn("week", F.date_trunc("week", "ingestion_timestamp"))
-
-
-def _weeks(spark, sf):
+    typed.write.partitionBy("week").parquet(folder)
+    rows = spark.read.schema(typed.schema).parquet(folder)
     # The number of weeks, not of events: a short driver loop.
-    return [r["week"] for r in _weekly(spark, sf).select("week").distinct().orderBy("week").collect()]
+    weeks = [r["week"] for r in rows.select("week").distinct().orderBy("week").collect()]
+    return [rows.filter(F.col("week") == w).drop("week") for w in weeks]
 
 
 def _public(rows):
@@ -392,22 +393,19 @@ def _public(rows):
 def scd2_snapshot_fold(spark, sf):
     """The latest state per opportunity at the end of each week, folded week by week."""
     root = scratch_path(spark, "scd2-fold")
-    for number, week in enumerate(_weeks(spark, sf), start=1):
-        snapshot = latest.latest_records(
-            _weekly(spark, sf).filter(F.col("week") == F.lit(week)).drop("week"), ["opportunity_id"]
-        ).drop("_source_file")
-        stream_state.fold_snapshot(spark, root, number, snapshot, ["opportunity_id"], ["stage_name"])
-    return _public(stream_state.read_history(spark, root))
+    for number, week in enumerate(_by_week(spark, sf, f"{root}/landing"), start=1):
+        snapshot = latest.latest_records(week, ["opportunity_id"]).drop("_source_file")
+        stream_state.fold_snapshot(spark, f"{root}/history", number, snapshot, ["opportunity_id"], ["stage_name"])
+    return _public(stream_state.read_history(spark, f"{root}/history"))
 
 
 @query
 def scd2_stream(spark, sf):
     """The same, landed week by week and folded by a triggered stream."""
     root = scratch_path(spark, "scd2-stream")
-    for week in _weeks(spark, sf):
-        landed = _weekly(spark, sf).filter(F.col("week") == F.lit(week)).drop("week")
-        landed.write.mode("append").parquet(f"{root}/landing")
-        stream = spark.readStream.schema(landed.schema).parquet(f"{root}/landing")
+    for week in _by_week(spark, sf, f"{root}/weeks"):
+        week.write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(week.schema).parquet(f"{root}/landing")
         stream_state.scd2_stream(
             stream, ["opportunity_id"], ["stage_name"], f"{root}/history", f"{root}/checkpoint"
         ).awaitTermination()
@@ -591,7 +589,13 @@ def latest_stream(spark, sf):
     root = scratch_path(spark, "latest")
     orders = inputs.bronze_orders(spark, sf).drop("products", "_api_id", "date")
     orders.write.parquet(f"{root}/landing")
-    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/landing")
+    # Three micro-batches, however many files there are.
+    files = len(spark.read.schema(orders.schema).parquet(f"{root}/landing").inputFiles())
+    stream = (
+        spark.readStream.schema(orders.schema)
+        .option("maxFilesPerTrigger", -(-files // 3))
+        .parquet(f"{root}/landing")
+    )
     stream_state.latest_stream(stream, ["id"], f"{root}/state", f"{root}/checkpoint").awaitTermination()
     return stream_state.read_latest(spark, f"{root}/state", ["id"])
 
