@@ -37,7 +37,7 @@ def cents(column: str) -> Column:
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """l_orderkey, products: at most one entry per line-number slot, in slot order."""
     slot = F.pmod(F.col("l_linenumber") - 1, F.lit(SLOTS))
-    lines = table(spark, sf, "lineitem").select(
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey").select(
         "l_orderkey", slot.alias("slot"), "l_partkey", F.col("l_quantity").cast("bigint").alias("q")
     )
     sums = []
