@@ -103,15 +103,24 @@ def scd2_merge(
     end: str = "effective_to",
     current: str = "is_current",
     check_unique: bool = True,
+    small_source: bool = False,
 ) -> DataFrame:
     """Close the open version of changed keys, add their new version, insert new keys.
 
-    The source brings keys, payload, hash and ``start``.
+    The source brings keys, payload, hash and ``start``. ``small_source`` keeps
+    a large target from being shuffled (see :func:`apply_versions`).
     """
     if check_unique:
         require_unique(source, keys, "merge source")
     return apply_versions(
-        target, source, keys, compare=[hash_column], start=start, end=end, current=current
+        target,
+        source,
+        keys,
+        compare=[hash_column],
+        start=start,
+        end=end,
+        current=current,
+        small_incoming=small_source,
     )
 
 

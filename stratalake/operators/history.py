@@ -24,6 +24,7 @@ def apply_versions(
     end: str = END,
     current: str | None = None,
     close_missing_at: Column | None = None,
+    small_incoming: bool = False,
 ) -> DataFrame:
     """Bring a version history up to date with one row per key of ``incoming``.
 
@@ -40,6 +41,11 @@ def apply_versions(
     * key only in ``incoming``: a new open version.
 
     Intervals are half-open.
+
+    The full outer join moves all open rows once, which suits a snapshot of
+    most keys. With ``small_incoming`` the open rows are streamed past the
+    incoming ones instead, so that a batch small enough to broadcast touches a
+    large history without shuffling it.
     """
     history = _with_new_columns(history, incoming, [c for c in (end, current) if c])
     is_open = F.col(current) if current else F.col(end).isNull()
@@ -62,7 +68,7 @@ def apply_versions(
 
     same_key = reduce(lambda a, b: a & b, [F.col(f"h.`{k}`") == F.col(f"i.`{k}`") for k in keys])
     joined = open_rows.withColumn("_h", F.lit(True)).alias("h").join(
-        incoming.withColumn("_i", F.lit(True)).alias("i"), same_key, "full"
+        incoming.withColumn("_i", F.lit(True)).alias("i"), same_key, "left" if small_incoming else "full"
     )
     in_history, in_incoming = F.col("_h").isNotNull(), F.col("_i").isNotNull()
     equal = reduce(
@@ -82,6 +88,14 @@ def apply_versions(
         F.when(~in_history | replaced, version("i", F.col(f"i.`{start}`"), none, True)),
     )
     moved = joined.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select("v.*")
+    if small_incoming:
+        # Incoming keys without an open row, found through the keys that have one.
+        matched = open_rows.alias("h").join(incoming.alias("i"), same_key).select(
+            *[F.col(f"i.`{k}`").alias(k) for k in keys]
+        )
+        unmatched = incoming.alias("i").join(matched.alias("h"), same_key, "left_anti").alias("i")
+        fresh = unmatched.select(version("i", F.col(f"i.`{start}`"), none, True).alias("v")).select("v.*")
+        moved = moved.unionByName(fresh)
     return closed.unionByName(moved)
 
 
@@ -104,6 +118,7 @@ def scd2_from_snapshot(
     effective: Column | str = "ingestion_timestamp",
     close_missing: bool = False,
     missing_at: Column | None = None,
+    small_incoming: bool = False,
 ) -> DataFrame:
     """Fold one snapshot (one row per key) into a history.
 
@@ -118,7 +133,12 @@ def scd2_from_snapshot(
     if history is None:
         history = incoming.limit(0).withColumn(END, F.lit(None).cast(incoming.schema[START].dataType))
     return apply_versions(
-        history, incoming, keys, tracked, close_missing_at=missing_at if close_missing else None
+        history,
+        incoming,
+        keys,
+        tracked,
+        close_missing_at=missing_at if close_missing else None,
+        small_incoming=small_incoming,
     )
 
 

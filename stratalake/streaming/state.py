@@ -69,6 +69,7 @@ def fold_snapshot(
     keys: Sequence[str],
     tracked: Sequence[str],
     effective: str = "ingestion_timestamp",
+    small_incoming: bool = False,
 ) -> None:
     """Fold one snapshot into a stored history as version ``version``.
 
@@ -82,7 +83,9 @@ def fold_snapshot(
     if done:
         rows = spark.read.parquet(root)
         previous = rows.filter((F.col("version") == done[-1]) & (F.col("_open") == 1)).drop("version", "_open")
-    current = scd2_from_snapshot(previous, snapshot, keys, tracked, effective)
+    current = scd2_from_snapshot(
+        previous, snapshot, keys, tracked, effective, small_incoming=small_incoming and previous is not None
+    )
     publish(current.withColumn("_open", F.col(END).isNull().cast("int")), root, version, partition_by=["_open"])
 
 
@@ -94,12 +97,18 @@ def scd2_stream(
     checkpoint: str,
     order: Sequence[str] = ARRIVAL_ORDER,
     effective: str = "ingestion_timestamp",
+    small_batches: bool = False,
 ) -> StreamingQuery:
-    """Type 2 history fed by a stream; every micro-batch is a snapshot."""
+    """Type 2 history fed by a stream; every micro-batch is a snapshot.
+
+    ``small_batches`` says that a batch holds few of the keys (see ``apply_versions``).
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         snapshot = latest_records(batch, keys, order)
-        fold_snapshot(batch.sparkSession, root, batch_id + 1, snapshot, keys, tracked, effective)
+        fold_snapshot(
+            batch.sparkSession, root, batch_id + 1, snapshot, keys, tracked, effective, small_batches
+        )
 
     return _each_batch(stream, checkpoint, step)
 

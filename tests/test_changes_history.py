@@ -62,6 +62,9 @@ def test_scd2_merge_inserts_the_new_version_and_replays(spark):
     columns = ["business_key", "v", "effective_from", "effective_to", "is_current"]
     assert rows(once, *columns) == expected
     assert rows(changes.scd2_merge(once, source), *columns) == expected
+    small = changes.scd2_merge(target, source, small_source=True)
+    assert rows(small, *columns) == expected
+    assert rows(changes.scd2_merge(small, source, small_source=True), *columns) == expected
     merged, metrics = changes.run_merge(source, target, "type2")
     assert rows(merged, *columns) == expected
     assert metrics.first().asDict() == {
@@ -106,6 +109,16 @@ def fold(spark, *snapshots, **options):
     return [(r[0], r[1], r[2].day, r[3] and r[3].day) for r in rows(out, "k", "name", history.START, history.END)]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_both_joins_fold_alike(spark, seed):
+    rng = random.Random(seed)
+    snapshots = [
+        snapshot(spark, rng.randint(1, 9), *[(k, rng.choice(["a", "b", None]), 0) for k in range(6) if rng.random() < 0.6])
+        for _ in range(4)
+    ]
+    assert fold(spark, *snapshots) == fold(spark, *snapshots, small_incoming=True)
+
+
 def test_snapshot_history(spark):
     one = snapshot(spark, 1, (1, "a", 0), (2, None, 0))
     two = snapshot(spark, 2, (1, "a", 9), (2, "b", 0), (3, "c", 0))

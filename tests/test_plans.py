@@ -64,6 +64,21 @@ def test_an_upsert_does_not_shuffle_a_large_target(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_a_small_merge_does_not_shuffle_the_history(spark):
+    past = (
+        inputs.table(spark, SF, "orders")
+        .select("o_orderkey", F.col("o_orderstatus").alias("h"), F.lit(1).alias("effective_from"))
+        .withColumn("effective_to", F.lit(None).cast("int"))
+        .withColumn("is_current", F.lit(True))
+    )
+    few = inputs.table(spark, SF, "region").select(
+        F.col("r_regionkey").cast("bigint").alias("o_orderkey"), F.col("r_name").alias("h"), F.lit(2).alias("effective_from")
+    )
+    out = changes.scd2_merge(past, few, ["o_orderkey"], "h", check_unique=False, small_source=True)
+    assert "Exchange hashpartitioning" not in plan(out)
+    assert out.count() == past.count() + 5
+
+
 def test_pushdown_of_a_watermark(spark):
     import datetime as dt
 
