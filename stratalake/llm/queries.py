@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chat, html_text, mixing, url_filter
+from stratalake.llm import byte_bpe, chat, html_text, mixing, url_filter
 from stratalake.llm.common import table
 
 
@@ -27,6 +28,12 @@ def op3_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(urls).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return made.drop("text")
+
+
 #: A conversation that a format without escaping would read as four turns.
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
@@ -58,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_main_text": op2_main_text,
     "op3_url_verdicts": op3_url_verdicts,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_chat_format": op10_chat_format,
 }
