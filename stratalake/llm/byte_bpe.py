@@ -19,16 +19,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from stratalake.llm.common import free_name
+from stratalake.llm.common import map_texts
 
 #: Pieces whose ids a task remembers; then it starts afresh.
 MEMO_PIECES = 300_000
@@ -191,26 +189,6 @@ def decode(packed: bytes, tokens: list[bytes]) -> bytes:
     return b"".join(map(tokens.__getitem__, unpack(packed).tolist()))
 
 
-def _over_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable) -> DataFrame:
-    """``df`` with new columns ``made`` (name: type), which replace columns of those names.
-
-    ``of`` is called once per task and gives a function from a text to the values of the new columns.
-    """
-    keep = [f for f in df.schema.fields if f.name not in made]
-    source = free_name(df, "_text")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        values = of()
-        for batch in batches:
-            out = batch[[f.name for f in keep]]
-            rows = [values(x) for x in batch[source]]
-            yield out.assign(**{name: pd.Series([r[i] for r in rows], index=out.index, dtype=object) for i, name in enumerate(made)})
-
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"`{n}` {t}" for n, t in made.items()]
-    picked = df.select(*[f"`{f.name}`" for f in keep], F.col(f"`{column}`").alias(source))
-    return picked.mapInPandas(run, ", ".join(schema))
-
-
 def encode_texts(df: DataFrame, path: str, pattern: str, column: str = "text", into: str = "ids") -> DataFrame:
     """``df`` with the ids of ``column`` in ``into``, an array of int. One pass; no row is moved."""
     tokens = read_ranks(path)
@@ -218,9 +196,9 @@ def encode_texts(df: DataFrame, path: str, pattern: str, column: str = "text", i
 
     def of():
         encode = text_encoder(tokens, merges, pattern)
-        return lambda text: (unpack(encode(text)).astype(np.int32),)
+        return lambda texts: [(unpack(encode(text)).astype(np.int32),) for text in texts]
 
-    return _over_texts(df, column, {into: "array<int>"}, of)
+    return map_texts(df, column, {into: "array<int>"}, of)
 
 
 def decode_ids(df: DataFrame, path: str, column: str = "ids", into: str = "decoded") -> DataFrame:
@@ -228,9 +206,9 @@ def decode_ids(df: DataFrame, path: str, column: str = "ids", into: str = "decod
     tokens = read_ranks(path)
 
     def of():
-        return lambda ids: (b"" if ids is None else b"".join(tokens[i] for i in ids),)
+        return lambda rows: [(b"" if ids is None else b"".join(tokens[i] for i in ids),) for ids in rows]
 
-    return _over_texts(df, column, {into: "binary"}, of)
+    return map_texts(df, column, {into: "binary"}, of)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, column: str = "text") -> DataFrame:
@@ -241,11 +219,11 @@ def round_trip(df: DataFrame, path: str, pattern: str, column: str = "text") ->
     def of():
         encode = text_encoder(tokens, merges, pattern)
 
-        def values(text):
+        def digests(text):
             packed = encode(text)
             back = decode(packed, tokens)
             return len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back).hexdigest()
 
-        return values
+        return lambda texts: [digests(text) for text in texts]
 
-    return _over_texts(df, column, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, of)
+    return map_texts(df, column, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, of)

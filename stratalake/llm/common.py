@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,4 +35,29 @@ def whole_number(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(0)).cast("long")
 
 
-__all__ = ["BROADCAST_ROWS", "free_name", "materialize", "sized", "table", "whole_number"]
+def map_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable, chunk: int = 256) -> DataFrame:
+    """``df`` with new columns ``made`` (name: type), which replace columns of those names.
+
+    ``of()`` is called once per task and gives a function from a list of values
+    (None for null) to one tuple of the new values for each. It sees at most
+    ``chunk`` texts at a time. One pass; no row is moved.
+    """
+    keep = [f for f in df.schema.fields if f.name not in made]
+    names = list(made)
+    source = free_name(df, "_text")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        values = of()
+        for batch in batches:
+            for at in range(0, len(batch), chunk):
+                part = batch.iloc[at : at + chunk]
+                rows = values(part[source].tolist())
+                out = part[[f.name for f in keep]]
+                yield out.assign(**{n: pd.Series([r[i] for r in rows], index=out.index, dtype=object) for i, n in enumerate(names)})
+
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"`{n}` {t}" for n, t in made.items()]
+    picked = df.select(*[f"`{f.name}`" for f in keep], F.col(f"`{column}`").alias(source))
+    return picked.mapInPandas(run, ", ".join(schema))
+
+
+__all__ = ["BROADCAST_ROWS", "free_name", "map_texts", "materialize", "sized", "table", "whole_number"]

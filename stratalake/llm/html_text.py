@@ -22,13 +22,10 @@ import html as _html
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from stratalake.llm.common import free_name
+from stratalake.llm.common import map_texts
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -290,18 +287,5 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, column: str = "html", into: str = "text") -> DataFrame:
-    """``pages`` without ``column``, and with its main text in ``into``, which replaces a column of that name.
-
-    One pass over the rows; no row is moved.
-    """
-    keep = [f for f in pages.schema.fields if f.name != column and f.name != into]
-    source = free_name(pages, "_html")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = batch[[f.name for f in keep]]
-            yield out.assign(**{into: [main_text(x) for x in batch[source]]})
-
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"`{into}` string"])
-    picked = pages.select(*[f"`{f.name}`" for f in keep], F.col(f"`{column}`").alias(source))
-    return picked.mapInPandas(run, schema)
+    """``pages`` with the main text of ``column`` in ``into``, which replaces a column of that name."""
+    return map_texts(pages, column, {into: "string"}, lambda: lambda rows: [(main_text(page),) for page in rows])
