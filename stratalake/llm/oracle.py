@@ -60,4 +60,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op10_chat_format": OP10}
+OP5 = """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), s AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingles FROM w
+), n AS (
+    SELECT doc_id, len(shingles)::bigint AS n FROM s
+), u AS (
+    SELECT doc_id, unnest(shingles) AS shingle FROM s
+), i AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM u x JOIN u y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+), l AS (
+    SELECT a, b FROM i JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 85 * (na.n + nb.n - common)
+), r AS (
+    SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS component_id
+FROM n LEFT JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_join": OP5, "op10_chat_format": OP10}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import ann_tree, byte_bpe, chat, html_text, language_id, mixing, secret_scan, url_filter, vector_dedup
+from stratalake.llm import ann_tree, byte_bpe, chat, html_text, language_id, mixing, ngram_join, secret_scan, url_filter, vector_dedup
 from stratalake.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_main_text": op2_main_text,
     "op3_url_verdicts": op3_url_verdicts,
     "op4_nearest_vectors": op4_nearest_vectors,
+    "op5_ngram_join": op5_ngram_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_spans": op7_secret_spans,
     "op8_language_id": op8_language_id,
