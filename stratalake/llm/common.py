@@ -43,21 +43,20 @@ def map_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable, ch
     ``chunk`` texts at a time. One pass; no row is moved.
     """
     keep = [f for f in df.schema.fields if f.name not in made]
-    names = list(made)
-    source = free_name(df, "_text")
+    # Numbered names on the way through Python: any name may stand in the table.
+    kept, new = [f"k{i}" for i in range(len(keep))], [f"m{i}" for i in range(len(made))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values = of()
         for batch in batches:
             for at in range(0, len(batch), chunk):
                 part = batch.iloc[at : at + chunk]
-                rows = values(part[source].tolist())
-                out = part[[f.name for f in keep]]
-                yield out.assign(**{n: pd.Series([r[i] for r in rows], index=out.index, dtype=object) for i, n in enumerate(names)})
+                rows = values(part["text"].tolist())
+                yield part[kept].assign(**{n: pd.Series([r[i] for r in rows], index=part.index, dtype=object) for i, n in enumerate(new)})
 
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [f"`{n}` {t}" for n, t in made.items()]
-    picked = df.select(*[f"`{f.name}`" for f in keep], F.col(f"`{column}`").alias(source))
-    return picked.mapInPandas(run, ", ".join(schema))
+    schema = [f"{k} {f.dataType.simpleString()}" for k, f in zip(kept, keep)] + [f"{n} {t}" for n, t in zip(new, made.values())]
+    picked = df.select(*[F.col(f"`{f.name}`").alias(k) for k, f in zip(kept, keep)], F.col(f"`{column}`").alias("text"))
+    return picked.mapInPandas(run, ", ".join(schema)).toDF(*[f.name for f in keep], *made)
 
 
 __all__ = ["BROADCAST_ROWS", "free_name", "map_texts", "materialize", "sized", "table", "whole_number"]

@@ -15,8 +15,9 @@ evenly over the groups: exactness asks for it where directions are spread out.
 Defined results: vectors that are null, zero or hold null or non-finite
 components, and those without a label, have no links and are kept; vectors of
 different lengths are never linked; every row counts as a vector of its own, also
-if a vec_id repeats or is null; a component is named by its smallest vec_id; an
-empty table gives an empty result.
+if a vec_id repeats or is null; a component is named by its smallest vec_id, so a
+row without one is kept only where no row of its component has one; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -192,5 +193,5 @@ def near_duplicates(
         F.col("_id").alias(id_column),
         whole_number("_links").alias("n_links"),
         F.coalesce("component", "_id").alias("component_id"),
-        F.coalesce(F.col("_id") == F.coalesce("component", "_id"), F.lit(True)).alias("kept"),
+        F.col("_id").eqNullSafe(F.coalesce("component", "_id")).alias("kept"),
     )
