@@ -29,3 +29,11 @@ def test_query_matches_sql(spark, sql, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_every_line_arrives(spark, sql):
+    lines = sql.sql("SELECT count(*) FROM lineitem").fetchall()[0][0]
+    assert QUERIES["fact_order"](spark, TESTDATA).count() == lines
+    raw = sql.sql("SELECT l_partkey, CAST(sum(l_quantity) AS BIGINT) FROM lineitem GROUP BY 1").fetchall()
+    sold = QUERIES["gold_product_sales"](spark, TESTDATA).where("units_sold > 0").select("product_id", "units_sold").collect()
+    assert sorted(map(tuple, sold)) == sorted(raw)

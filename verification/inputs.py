@@ -1,8 +1,6 @@
 """Bronze-shaped inputs derived from the given tables.
 
-An order document holds its lines as an array. The array is built from seven
-line-number slots with plain aggregates, so it is bounded by construction and
-combines on the map side, whatever the number of lines behind an order.
+An order document holds all its lines as an array, as one landed document does.
 """
 
 from __future__ import annotations
@@ -10,9 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.session import TARGET_BYTES, scanned_bytes
-
-SLOTS = 7
 PAGE_SIZE = 2
 
 
@@ -20,40 +15,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan too small to give every core a split.
-
-    A small file that cannot be split would keep all work up to the next
-    shuffle in one task. A large table has splits enough and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if scanned_bytes(df) < cores * TARGET_BYTES else df
-
-
 def cents(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("bigint")
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """l_orderkey, products: at most one entry per line-number slot, in slot order."""
-    slot = F.pmod(F.col("l_linenumber") - 1, F.lit(SLOTS))
-    lines = spread(table(spark, sf, "lineitem"), "l_orderkey").select(
-        "l_orderkey", slot.alias("slot"), "l_partkey", F.col("l_quantity").cast("bigint").alias("q")
-    )
-    sums = []
-    for i in range(SLOTS):
-        here = F.col("slot") == i
-        sums.append(F.max(F.when(here, F.col("l_partkey"))).alias(f"p{i}"))
-        sums.append(F.sum(F.when(here, F.col("q"))).alias(f"q{i}"))
-    entries = [
-        F.when(
-            F.col(f"p{i}").isNotNull(),
-            F.struct(F.col(f"p{i}").alias("productId"), F.col(f"q{i}").alias("quantity")),
-        )
-        for i in range(SLOTS)
-    ]
-    return lines.groupBy("l_orderkey").agg(*sums).select(
-        "l_orderkey", F.array_compact(F.array(*entries)).alias("products")
+    """l_orderkey, products: every line of the order, by line number, part and quantity."""
+    line = F.struct("l_linenumber", F.col("l_partkey").alias("productId"), F.col("l_quantity").cast("bigint").alias("quantity"))
+    product = F.array_sort(F.collect_list(line))
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.transform(product, lambda x: F.struct(x["productId"].alias("productId"), x["quantity"].alias("quantity"))).alias("products")
     )
 
 
@@ -62,7 +33,7 @@ def orders_with_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = order_lines(spark, sf)
     empty = F.array().cast(lines.schema["products"].dataType)
     return (
-        spread(table(spark, sf, "orders"), "o_orderkey")
+        table(spark, sf, "orders")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .withColumn("products", F.coalesce("products", empty))
         .drop("l_orderkey")

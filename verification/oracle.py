@@ -4,15 +4,11 @@ from __future__ import annotations
 
 # Relations the queries are derived from. Each entry may use those before it.
 _RELATIONS = {
-    "slots": """
-        SELECT l_orderkey, (l_linenumber - 1) % 7 AS slot, max(l_partkey) AS product_id,
-               CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
-        FROM lineitem GROUP BY 1, 2""",
     "lines": """
-        SELECT l_orderkey AS order_id, product_id, quantity,
-               CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY slot) AS INTEGER) AS line_number,
+        SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
+               CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS INTEGER) AS line_number,
                CAST(count(*) OVER (PARTITION BY l_orderkey) AS INTEGER) AS line_count
-        FROM slots""",
+        FROM lineitem""",
     "bronze_orders": """
         SELECT o_orderkey AS id, o_custkey AS userId, o_orderdate,
                CAST(round(o_totalprice * 100) AS BIGINT) AS total,
@@ -85,7 +81,7 @@ _RELATIONS = {
         WHERE stage_name IS DISTINCT FROM previous""",
     "pulls": """
         SELECT o_orderkey AS run_id, o_orderstatus AS st, o_orderpriority AS pr,
-               CAST((SELECT count(*) FROM slots s WHERE s.l_orderkey = o.o_orderkey) AS INTEGER) AS n
+               CAST((SELECT count(*) FROM lineitem s WHERE s.l_orderkey = o.o_orderkey) AS INTEGER) AS n
         FROM orders o""",
     "pulled": """
         SELECT *, CASE WHEN st = 'F' THEN 1 ELSE greatest(1, CAST(ceil(n / 2.0) AS INTEGER)) END AS pages_n FROM pulls""",
@@ -221,7 +217,7 @@ _BODY = "||chr(10)||".join(
 ORACLE: dict[str, str] = {
     "latest_orders": _with("latest_order", "lines", final="""
         SELECT id, userId, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z') AS date, status, total,
-               CAST(coalesce((SELECT count(*) FROM slots s WHERE s.l_orderkey = id), 0) AS INTEGER) AS lines,
+               CAST(coalesce((SELECT count(*) FROM lineitem s WHERE s.l_orderkey = id), 0) AS INTEGER) AS lines,
                _source_file, ingestion_timestamp
         FROM latest_order"""),
     "dim_customer": _with("customers", final="SELECT * FROM customers"),
