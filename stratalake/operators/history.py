@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.functions.keys import record_hash
 from stratalake.operators.numbering import global_row_number
 from stratalake.operators.skew import bucketed_by_sequence
+from stratalake.session import materialize
 
 START, END = "__START_AT", "__END_AT"
 
@@ -33,10 +33,13 @@ def apply_versions(
     versions that follow from it, so neither side is read twice:
 
     * same ``compare`` values (NULL-safe): the open row stays as it is;
-    * different: the open row ends where the incoming one starts, and the
-      incoming one becomes the open version;
-    * incoming not newer than the open row: ignored, which makes a replay of
-      the same input a no-op;
+    * different and newer: the open row ends where the incoming one starts, and
+      the incoming one becomes the open version;
+    * different with the same effective time: a correction, which takes the
+      place of the open row, as a version without duration would say nothing;
+    * older than the open row: ignored (``detect_changes`` reports it as stale).
+
+    Keys compare NULL-safely, and a replay of the same input changes nothing.
     * key only in ``history``: kept, or closed at ``close_missing_at``;
     * key only in ``incoming``: a new open version.
 
@@ -66,7 +69,7 @@ def apply_versions(
             fields.append((live if isinstance(live, Column) else F.lit(live)).alias(current))
         return F.struct(*fields)
 
-    same_key = reduce(lambda a, b: a & b, [F.col(f"h.`{k}`") == F.col(f"i.`{k}`") for k in keys])
+    same_key = reduce(lambda a, b: a & b, [F.col(f"h.`{k}`").eqNullSafe(F.col(f"i.`{k}`")) for k in keys])
     joined = open_rows.withColumn("_h", F.lit(True)).alias("h").join(
         incoming.withColumn("_i", F.lit(True)).alias("i"), same_key, "left" if small_incoming else "full"
     )
@@ -75,7 +78,9 @@ def apply_versions(
         lambda a, b: a & b, [F.col(f"h.`{c}`").eqNullSafe(F.col(f"i.`{c}`")) for c in compare]
     )
     newer = F.coalesce(F.col(f"i.`{start}`") > F.col(f"h.`{start}`"), F.lit(False))
+    same_time = F.col(f"i.`{start}`").eqNullSafe(F.col(f"h.`{start}`"))
     replaced = in_history & in_incoming & ~equal & newer
+    corrected = in_history & in_incoming & ~equal & same_time
     none = F.lit(None)
     kept_end = F.when(replaced, F.col(f"i.`{start}`"))
     live = ~replaced
@@ -84,8 +89,8 @@ def apply_versions(
         kept_end = F.when(missing, close_missing_at).otherwise(kept_end)
         live = live & ~missing
     versions = F.array(
-        F.when(in_history, version("h", F.col(f"h.`{start}`"), kept_end, live)),
-        F.when(~in_history | replaced, version("i", F.col(f"i.`{start}`"), none, True)),
+        F.when(in_history & ~corrected, version("h", F.col(f"h.`{start}`"), kept_end, live)),
+        F.when(~in_history | replaced | corrected, version("i", F.col(f"i.`{start}`"), none, True)),
     )
     moved = joined.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select("v.*")
     if small_incoming:
@@ -155,20 +160,25 @@ def scd2_from_log(
 
     A version starts where a tracked column differs from the key's previous
     row, and ends where its next version starts. ``sequence`` orders a key's
-    rows (the first column is the effective time).
-
-    Keys with more than ``max_rows_per_group`` rows are cut into ranges of the
-    sequence. Each range is a window group of its own; the row before its
-    first, and the change after its last, come from one summary row per range.
+    rows; its first column is the effective time. Of rows of one key and time
+    the last one counts, as folding them one by one would leave it; rows equal
+    in the whole sequence are ordered by their tracked columns. These rows are
+    written once, and every later step reads them instead of the log.
+
+    Keys with more than ``max_rows_per_group`` times are cut into ranges of the
+    time. Each range is a window group of its own; the row before its first,
+    and the change after its last, come from one summary row per range.
     """
     time = sequence[0]
-    bucketed, hot = bucketed_by_sequence(log, keys, time, max_rows_per_group)
+    others = [c for c in log.columns if c not in (*keys, time)]
+    order = F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([*sequence[1:], *tracked])])
+    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), order)
+    per_time = log.groupBy(*keys, time).agg(last.alias("_row")).select(*keys, time, "_row.*").select(*[f"`{c}`" for c in log.columns])
+    bucketed, hot = bucketed_by_sequence(materialize(per_time, "history-log"), keys, time, max_rows_per_group)
     group = [*keys, "_bucket"]
-    ordered = [F.col(s) for s in sequence]
+    ordered = [F.col(time)]
     within = Window.partitionBy(*group).orderBy(*ordered)
-    # Ranges hand each other a hash, so what is broadcast stays small however
-    # wide the tracked columns are.
-    state = F.struct(*[F.col(f"`{c}`") for c in tracked]) if hot is None else record_hash(tracked)
+    state = F.struct(*[F.col(f"`{c}`") for c in tracked])
     previous = F.lag(state).over(within)
 
     if hot is None:

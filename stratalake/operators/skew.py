@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.session import materialize
+
 # A key is hot above max_rows, and never below this share of all rows: so at
 # most MAX_HOT_KEYS keys and 2 * MAX_HOT_KEYS ranges exist at any data size.
 MAX_HOT_KEYS = 10_000
@@ -45,8 +47,11 @@ def bucketed_by_sequence(
     Without hot keys the second result is None and ``_bucket`` is constant.
     """
     plain = df.withColumn("_bucket", F.lit(0)).withColumn("_hot", F.lit(False))
-    limit = max(max_rows, df.count() // MAX_HOT_KEYS)
-    found = df.groupBy(*keys).count().filter(F.col("count") > limit).collect()
+    # One narrow count per key gives the total as well.
+    counts = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")), "key-counts")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    limit = max(max_rows, total // MAX_HOT_KEYS)
+    found = counts.filter(F.col("count") > limit).collect()
     if not found:
         return plain, None
 

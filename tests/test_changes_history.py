@@ -23,7 +23,7 @@ def test_every_row_gets_a_class_null_hashes_too(spark):
         (1, "unchanged"), (2, "changed"), (3, "new"), (4, "unchanged"), (5, "changed"), (9, "deleted"),
     ]
     metrics = changes.change_metrics(found, target).first().asDict()
-    assert metrics == {"source_rows": 5, "target_rows": 5, "new_rows": 1, "changed_rows": 2, "unchanged_rows": 2}
+    assert metrics == {"source_rows": 5, "target_rows": 5, "new_rows": 1, "changed_rows": 2, "unchanged_rows": 2, "stale_rows": 0}
 
 
 def test_record_hash_tells_nulls_and_columns_apart(spark):
@@ -69,6 +69,7 @@ def test_scd2_merge_inserts_the_new_version_and_replays(spark):
     assert rows(merged, *columns) == expected
     assert metrics.first().asDict() == {
         "source_rows": 4, "target_rows": 4, "new_rows": 2, "changed_rows": 1, "unchanged_rows": 1,
+        "stale_rows": 0,
     }
 
 
@@ -95,6 +96,37 @@ def test_apply_changes(spark):
         changes.apply_changes(None, feed, ["k"], "op", "seq", "keep")
 
 
+def test_stale_rows_are_reported(spark):
+    target = spark.createDataFrame([(1, "a", "h1", 5, None, True), (2, "b", "h2", 5, None, True)], HISTORY)
+    source = spark.createDataFrame([(1, "z", "hz", 4), (2, "y", "hy", 5)], "business_key int, v string, record_hash string, effective_from int")
+    merged, metrics = changes.run_merge(source, target, "type2")
+    assert rows(merged, "business_key", "v", "effective_from", "effective_to") == [(1, "a", 5, None), (2, "y", 5, None)]
+    assert metrics.first().asDict() == {
+        "source_rows": 2, "target_rows": 2, "new_rows": 0, "changed_rows": 1, "unchanged_rows": 0, "stale_rows": 1,
+    }
+
+
+def test_feed_edges(spark):
+    schema = "k int, op string, seq int, v string"
+    first = changes.apply_changes(None, spark.createDataFrame([(1, "I", 5, "a"), (None, "I", 1, "n"), (3, "I", None, "q")], schema), ["k"], "op", "seq")
+    again = spark.createDataFrame([(1, "U", None, "no"), (None, "I", 1, "n"), (3, "U", None, "no"), (3, "U", 1, "yes")], schema)
+    after = changes.apply_changes(first, again, ["k"], "op", "seq")
+    assert rows(after, "k", "seq", "v") == [(1, 5, "a"), (3, 1, "yes"), (None, 1, "n")]
+
+
+def test_a_late_operation_does_not_revive_a_deleted_key(spark):
+    schema = "k int, op string, seq int, v string"
+    table, graves = changes.apply_changes_with_tombstones(
+        None, None, spark.createDataFrame([(1, "I", 1, "a"), (1, "D", 9, None), (2, "I", 1, "b")], schema), ["k"], "op", "seq"
+    )
+    assert rows(table, "k", "v") == [(2, "b")] and rows(graves) == [(1, 9)]
+    late = spark.createDataFrame([(1, "U", 3, "late"), (2, "D", 4, None)], schema)
+    table, graves = changes.apply_changes_with_tombstones(table, graves, late, ["k"], "op", "seq")
+    assert rows(table) == [] and rows(graves) == [(1, 9), (2, 4)]
+    table, graves = changes.apply_changes_with_tombstones(table, graves, spark.createDataFrame([(1, "I", 10, "new")], schema), ["k"], "op", "seq")
+    assert rows(table, "k", "seq", "v") == [(1, 10, "new")] and rows(graves) == [(2, 4)]
+
+
 SNAP = "k int, name string, other int, ingestion_timestamp timestamp"
 
 
@@ -134,6 +166,20 @@ def test_new_columns_join_the_history(spark):
     assert rows(out, "k", "name", "extra") == [(1, "A", "x"), (1, "a", None), (2, "b", None)]
 
 
+def test_a_correction_of_the_same_time_replaces_the_open_row(spark):
+    one, fix, late = snapshot(spark, 2, (1, "a", 0)), snapshot(spark, 2, (1, "b", 0)), snapshot(spark, 1, (1, "z", 0))
+    assert fold(spark, one, fix) == [(1, "b", 2, None)]
+    assert fold(spark, one, fix, fix, late) == fold(spark, one, fix, small_incoming=True) == [(1, "b", 2, None)]
+
+
+def test_null_keys_are_keys(spark):
+    one, two = snapshot(spark, 1, (None, "a", 0)), snapshot(spark, 2, (None, "b", 0))
+    for small in (False, True):
+        assert fold(spark, one, one, two, two, small_incoming=small) == [(None, "a", 1, 2), (None, "b", 2, None)]
+    table = spark.createDataFrame([(None, "a")], "k int, v string")
+    assert rows(changes.scd1_upsert(table, table, ["k"])) == [(None, "a")]
+
+
 def test_untracked_change_keeps_the_open_row(spark):
     out = None
     for s in (snapshot(spark, 1, (1, "a", 0)), snapshot(spark, 2, (1, "a", 9))):
@@ -167,7 +213,8 @@ def random_log(seed, n=400):
 def brute_force(data):
     out = []
     for key in {d[0] for d in data}:
-        mine = sorted((d for d in data if d[0] == key), key=lambda d: (d[2], d[3]))
+        # Of one time the last row counts.
+        mine = list({d[2]: d for d in sorted((d for d in data if d[0] == key), key=lambda d: (d[2], d[3]))}.values())
         kept = [d for i, d in enumerate(mine) if i == 0 or mine[i - 1][1] != d[1]]
         for i, d in enumerate(kept):
             out.append((d[0], d[1], d[3], d[2], kept[i + 1][2] if i + 1 < len(kept) else None))
@@ -182,6 +229,17 @@ def test_bulk_history_equals_brute_force_with_any_cutting(spark, limit):
     assert rows(out, "k", "v", "id", "s", "e") == brute_force(data)
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_equal_values_and_equal_times_do_not_depend_on_the_limit(spark, limit):
+    zeros = [(1, 0.0 if i % 2 else -0.0, i, i) for i in range(40)]
+    log = spark.createDataFrame(zeros, "k int, v double, seq bigint, id bigint")
+    out = history.scd2_from_log(log, ["k"], ["v"], ["seq", "id"], "s", "e", max_rows_per_group=limit)
+    assert rows(out, "s", "e") == [(0, None)]
+    same_time = spark.createDataFrame([(1, f"v{i}", 7, i) for i in range(40)], "k int, v string, seq bigint, id bigint")
+    out = history.scd2_from_log(same_time, ["k"], ["v"], ["seq", "id"], "s", "e", max_rows_per_group=limit)
+    assert rows(out, "v", "s", "e") == [("v39", 7, None)]
+
+
 def test_bulk_history_equals_folding_every_snapshot(spark, tmp_path):
     data = [(k, v, i) for i, (k, v, _, _) in enumerate(random_log(5, 60)) if k is not None]
     log = spark.createDataFrame(data, "k int, v string, ingestion_timestamp bigint")

@@ -167,7 +167,8 @@ def _history(key: str, tracked: str) -> str:
     return f"""
         SELECT {key}, {tracked}, event_id, start_at, lead(start_at) OVER (PARTITION BY {key} ORDER BY start_at, event_id) AS end_at
         FROM (SELECT {key}, {tracked}, event_id, ts AS start_at,
-                     lag({tracked}) OVER (PARTITION BY {key} ORDER BY ts, event_id) AS previous FROM events)
+                     lag({tracked}) OVER (PARTITION BY {key} ORDER BY ts, event_id) AS previous
+              FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY {key}, ts ORDER BY event_id DESC, {tracked} DESC) = 1))
         WHERE {tracked} IS DISTINCT FROM previous"""
 
 
@@ -327,8 +328,19 @@ ORACLE: dict[str, str] = {
     "merge_metrics": _with("merged", final="""
         SELECT (SELECT count(*) FROM merge_source) AS source_rows, (SELECT count(*) FROM merge_target) AS target_rows,
                count(*) FILTER (WHERE change_type = 'new') AS new_rows, count(*) FILTER (WHERE change_type = 'changed') AS changed_rows,
-               count(*) FILTER (WHERE change_type = 'unchanged') AS unchanged_rows, strategy
+               count(*) FILTER (WHERE change_type = 'unchanged') AS unchanged_rows, 0 AS stale_rows, strategy
         FROM merged CROSS JOIN (VALUES ('TYPE1'), ('TYPE2')) AS s(strategy) GROUP BY strategy"""),
+    "merge_table_type1": _with("merged", final="""
+        SELECT business_key, CASE WHEN change_type = 'deleted' THEN old_custkey ELSE new_custkey END AS o_custkey,
+               coalesce(CASE WHEN change_type = 'deleted' THEN old_status ELSE new_status END, '-') AS status FROM merged"""),
+    "merge_table_type2": _with("merged", final="""
+        SELECT business_key, coalesce(old_status, '-') AS status, TIMESTAMP '2026-01-01 00:00:00' AS effective_from,
+               CASE WHEN change_type = 'changed' THEN TIMESTAMP '2026-01-02 00:00:00' END AS effective_to,
+               change_type <> 'changed' AS is_current
+        FROM merged WHERE change_type <> 'new'
+        UNION ALL
+        SELECT business_key, coalesce(new_status, '-'), TIMESTAMP '2026-01-02 00:00:00', NULL, true
+        FROM merged WHERE change_type IN ('new', 'changed')"""),
     "merge_delta": _with("merged", final="""
         SELECT business_key, coalesce(new_status, '-') AS status, change_type FROM merged WHERE change_type IN ('new', 'changed')"""),
     "scd2_history": _history("user_id", "event_type"),
@@ -340,6 +352,8 @@ ORACLE: dict[str, str] = {
                row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS line_sk
         FROM lineitem""",
     "apply_changes_hard": f"SELECT user_id, event_id, value FROM ({_FEED_LAST}) WHERE event_type <> 'error'",
+    "apply_changes_late": f"SELECT user_id, event_id, value FROM ({_FEED_LAST}) WHERE event_type <> 'error'",
+    "apply_changes_tombstones": f"SELECT user_id, event_id FROM ({_FEED_LAST}) WHERE event_type = 'error'",
     "apply_changes_soft": f"""
         SELECT user_id, event_id, value, event_type = 'error' AS is_deleted FROM ({_FEED_LAST})""",
     "landing_pages": _with("pulled_pages", final="""

@@ -339,6 +339,22 @@ def merge_metrics(spark, sf):
     return first.withColumn("strategy", F.lit("TYPE1")).unionByName(second.withColumn("strategy", F.lit("TYPE2")))
 
 
+@query
+def merge_table_type1(spark, sf):
+    source, target = _merge_sides(spark, sf)
+    merged, _ = changes.run_merge(source, target, "type1")
+    return merged.select("business_key", "o_custkey", F.coalesce("status", F.lit("-")).alias("status"))
+
+
+@query
+def merge_table_type2(spark, sf):
+    source, old = _history_sides(spark, sf)
+    merged, _ = changes.run_merge(source, old, "TYPE2")
+    return merged.select(
+        "business_key", F.coalesce("status", F.lit("-")).alias("status"), "effective_from", "effective_to", "is_current"
+    )
+
+
 @query
 def merge_delta(spark, sf):
     """New and changed rows as one relation by name."""
@@ -432,6 +448,23 @@ def apply_changes_hard(spark, sf):
     return changes.apply_changes(None, _feed(spark, sf), ["user_id"], "op", "event_id")
 
 
+def _two_batches(spark, sf):
+    """The feed out of order: odd operations first, then the even ones, of which many are late."""
+    feed = _feed(spark, sf)
+    first = changes.apply_changes_with_tombstones(None, None, feed.filter("event_id % 2 = 1"), ["user_id"], "op", "event_id")
+    return changes.apply_changes_with_tombstones(*first, feed.filter("event_id % 2 = 0"), ["user_id"], "op", "event_id")
+
+
+@query
+def apply_changes_late(spark, sf):
+    return _two_batches(spark, sf)[0]
+
+
+@query
+def apply_changes_tombstones(spark, sf):
+    return _two_batches(spark, sf)[1]
+
+
 @query
 def apply_changes_soft(spark, sf):
     """Two batches, the second with operations older than what the first left behind."""
