@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,22 @@ def whole_number(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(0)).cast("long")
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """At most ``rows`` rows in a batch for Python, for the jobs that run inside.
+
+    Rows of many kilobytes in batches of the usual count are hundreds of
+    megabytes, held at once by the executor and its Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def map_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable, chunk: int = 256) -> DataFrame:
     """``df`` with new columns ``made`` (name: type), which replace columns of those names.
 
@@ -59,4 +76,4 @@ def map_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable, ch
     return picked.mapInPandas(run, ", ".join(schema)).toDF(*[f.name for f in keep], *made)
 
 
-__all__ = ["BROADCAST_ROWS", "free_name", "map_texts", "materialize", "sized", "table", "whole_number"]
+__all__ = ["BROADCAST_ROWS", "arrow_rows", "free_name", "map_texts", "materialize", "sized", "table", "whole_number"]

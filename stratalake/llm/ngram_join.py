@@ -41,13 +41,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import materialize, sized
+from stratalake.llm.common import arrow_rows, materialize, sized
 from stratalake.llm.components import components
 
 BUCKETS = 1 << 17
 #: A bucket with so many times the mean count is hot: its shingles skip the search for single ones.
 HOT = 8
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
+#: Rows in a batch for Python. An array of shingles has several kilobytes.
+BATCH_ROWS = 1_000
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -133,9 +135,7 @@ def bucket_counts(sets: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for s in batch["shingles"]:
-                total += np.bincount(_bucket(np.frombuffer(s, dtype=np.uint64)), minlength=BUCKETS) if len(s) > 1 << 17 else 0
-            joined = np.frombuffer(b"".join(s for s in batch["shingles"] if len(s) <= 1 << 17), dtype=np.uint64)
+            joined = np.frombuffer(b"".join(batch["shingles"]), dtype=np.uint64)
             total += np.bincount(_bucket(joined), minlength=BUCKETS)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "c": total[at]})
@@ -291,7 +291,25 @@ def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per document. Linked: 100 * overlap >= percent * union of the shingle sets."""
-    sets = shingle_sets(docs, width, id_column, text_column)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        sets = shingle_sets(docs, width, id_column, text_column)
+        groups, roots = _classes_and_roots(sets, percent)
+    named = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.groupBy("root").agg(F.min("least").alias("component"))
+    named = named.join(least, "root").select("name", "component")
+    return (
+        sets.select("id", "n", "name")
+        .join(named, "name", "left")
+        .select(
+            F.col("id").alias(id_column),
+            F.col("n").cast("long").alias("n_shingles"),
+            F.coalesce("component", "id").alias("component_id"),
+        )
+    )
+
+
+def _classes_and_roots(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(name, node, least, copies of each distinct set; node, root of those that have links). All of its jobs have run."""
     filled = sets.where("n > 0")
     groups = materialize(
         filled.groupBy("name").agg(F.min("rid").alias("node"), F.min("id").alias("least"), F.count("rid").alias("copies")), "ngram-classes"
@@ -306,16 +324,4 @@ def near_duplicates(
     roots = materialize(components(first), "ngram-roots")
     second = verified(materialize(_across(shared, roots, percent), "ngram-across"), sets, percent)
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    roots = components(stars.union(second))
-    named = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(least, "root").select("name", "component")
-    return (
-        sets.select("id", "n", "name")
-        .join(named, "name", "left")
-        .select(
-            F.col("id").alias(id_column),
-            F.col("n").cast("long").alias("n_shingles"),
-            F.coalesce("component", "id").alias("component_id"),
-        )
-    )
+    return groups, components(stars.union(second))
