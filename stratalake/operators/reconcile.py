@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.aggregates import duplicate_flags, one_row, sum_at_grain
+from stratalake.operators.aggregates import duplicate_flags, one_row
 from stratalake.operators.latest import latest_records
 
 
@@ -101,6 +101,13 @@ def silver_to_gold(fact: DataFrame, kpis: DataFrame) -> DataFrame:
 
 def fan_out_error(fact: DataFrame) -> DataFrame:
     """Sales summed at order grain next to the same sum at line grain."""
-    right = sum_at_grain(fact, ["order_id"], "order_total", alias="order_grain_sales", count_alias="order_count")
-    wrong = fact.agg(F.sum("order_total").alias("line_grain_sales"), F.count(F.lit(1)).alias("line_count"))
-    return one_row(right, wrong)
+    # Both sums come from one row per order, so the fact is read once.
+    per_order = fact.groupBy("order_id").agg(
+        F.max("order_total").alias("_once"), F.sum("order_total").alias("_lines"), F.count(F.lit(1)).alias("_rows")
+    )
+    return per_order.agg(
+        F.sum("_once").alias("order_grain_sales"),
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum("_lines").alias("line_grain_sales"),
+        F.sum("_rows").alias("line_count"),
+    )

@@ -40,12 +40,14 @@ def normalize_identifier(value: str | None, name: str) -> str:
 
 
 def extract_records(
-    df: DataFrame, record_path: str, technical: Sequence[str] = TECHNICAL_COLUMNS
+    df: DataFrame, record_path: str, technical: Sequence[str] = TECHNICAL_COLUMNS, rescued: str | None = None
 ) -> DataFrame:
     """One row per element of the array of structs at ``record_path``.
 
     Output: the element's fields, then the technical columns. Rows whose array
-    is NULL or empty give nothing; sibling columns are dropped.
+    is NULL or empty give nothing; sibling columns are dropped. ``rescued`` names
+    a column with what of a document could not be read: where it is not NULL,
+    it comes as one more row, after the fields of a record that are NULL there.
     """
     path = normalize_record_path(record_path)
     if path is None:
@@ -56,14 +58,23 @@ def extract_records(
         raise ValueError(f"record path {path!r} must be an array, not {dtype.simpleString()}")
     if not isinstance(dtype.elementType, T.StructType):
         raise ValueError(f"record path {path!r} must be an array of structs")
-    clashes = set(dtype.elementType.fieldNames()) & set(technical)
+    clashes = set(dtype.elementType.fieldNames()) & {*technical, *([rescued] if rescued else [])}
     if clashes:
         raise ValueError(f"record fields clash with technical columns: {sorted(clashes)}")
+    fields = dtype.elementType.fieldNames()
+    if rescued:
+        none = F.lit(None).cast(dtype.elementType)
+        row = T.ArrayType(T.StructType([T.StructField("r", dtype.elementType), T.StructField("s", T.StringType())]))
+        found = F.coalesce(F.transform(source, lambda x: F.struct(x.alias("r"), F.lit(None).cast("string").alias("s"))), F.array().cast(row))
+        left = F.when(F.col(rescued).isNotNull(), F.array(F.struct(none.alias("r"), F.col(rescued).alias("s")))).otherwise(F.array().cast(row))
+        return df.select(F.explode(F.concat(found, left)).alias("_row"), *technical).select(
+            *[F.col(f"_row.r.`{f}`").alias(f) for f in fields], F.col("_row.s").alias(rescued), *technical
+        )
     # The array is projected next to the technical columns before exploding,
     # so no sibling column is copied once per element.
     return (
         df.select(F.explode(source).alias("_record"), *technical)
-        .select(*[F.col(f"_record.`{f}`").alias(f) for f in dtype.elementType.fieldNames()], *technical)
+        .select(*[F.col(f"_record.`{f}`").alias(f) for f in fields], *technical)
     )
 
 

@@ -23,9 +23,9 @@ AUDIT_COLUMNS = {
     "start_time": "TIMESTAMP NOT NULL",
     "end_time": "TIMESTAMP NOT NULL",
     "status": "STRING NOT NULL",
-    "records_read": "INT",
-    "records_written": "INT",
-    "pages_read": "INT",
+    "records_read": "BIGINT",
+    "records_written": "BIGINT",
+    "pages_read": "BIGINT",
     "schema_version": "INT",
     "duration_seconds": "DOUBLE NOT NULL",
     "landing_file": "STRING",
@@ -86,15 +86,15 @@ def audited(
 
     The step fills the yielded dict with metrics (``records_read``, ...) and
     keeps ``stage`` current, which names the place of a failure. The error is
-    raised again.
+    raised again; should its audit row fail to be written, that is noted on it.
     """
     row: dict = {"run_id": uuid.uuid4().hex, "stage": None, "schema_version": 1}
     start = datetime.now(timezone.utc)
-    status = "SUCCESS"
+    status, failure = "SUCCESS", None
     try:
         yield row
     except BaseException as error:
-        status = "FAILED"
+        status, failure = "FAILED", error
         row.update(
             failure_stage=row.get("stage"), failure_type=type(error).__name__, error_message=str(error)
         )
@@ -110,7 +110,12 @@ def audited(
             status=status,
             duration_seconds=(end - start).total_seconds(),
         )
-        append_rows(spark, [tuple(row.get(c) for c in AUDIT_COLUMNS)], AUDIT_SCHEMA, path)
+        try:
+            append_rows(spark, [tuple(row.get(c) for c in AUDIT_COLUMNS)], AUDIT_SCHEMA, path)
+        except Exception as unwritten:
+            if failure is None:
+                raise
+            failure.add_note(f"its audit row was not written: {unwritten}")
 
 
 def run_summary(audit: DataFrame, stages: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def effective_state(config: DataFrame, checkpoints: DataFrame) -> DataFrame:
         F.col("api_id").alias("_api_id"), "state_type", "state_value"
     )
     joined = config.join(latest, F.col("api_id") == F.col("_api_id"), "left")
-    incremental = F.upper(F.col("load_type")) != "FULL"
+    incremental = F.upper(F.trim("load_type")) != "FULL"
     base = F.when(F.col("_api_id").isNotNull(), state_watermark("state_type", "state_value")).otherwise(
         F.to_timestamp("initial_load_value")
     )
@@ -90,9 +90,21 @@ def incremental_extract(df: DataFrame, column: str, watermark: datetime | None)
     return df if watermark is None else df.filter(F.col(column) > F.lit(watermark))
 
 
-def incremental_extract_all(df: DataFrame, source: str, column: str, state: DataFrame) -> DataFrame:
-    """The same for a table that holds many sources, each with its own watermark."""
+def incremental_extract_all(
+    df: DataFrame, source: str, column: str, state: DataFrame, complete: bool = False
+) -> DataFrame:
+    """The same for a table that holds many sources, each with its own watermark.
+
+    Rows of a source that the state does not name are all kept. ``complete``
+    declares that it names every source of the table. If each has a watermark,
+    which one small job finds out, no row up to the smallest can be new, and
+    comparing with that constant reaches the scan.
+    """
     marks = state.select(F.col("api_id").alias("_api_id"), "watermark")
+    if complete:
+        least = marks.agg(F.min("watermark").alias("mark"), F.count_if(F.col("watermark").isNull()).alias("open")).first()
+        if least["mark"] is not None and not least["open"]:
+            df = df.filter(F.col(column) > F.lit(least["mark"]).cast(df.schema[column].dataType))
     joined = df.join(marks, F.col(source) == F.col("_api_id"), "left")
     fresh = F.col("watermark").isNull() | (F.col(column).cast("timestamp") > F.col("watermark"))
     return joined.filter(fresh).drop("_api_id", "watermark")

@@ -93,11 +93,11 @@ def explode_pages(
 
 def record_count(page: Column, fields: Sequence[str] = COUNT_FIELDS) -> Column:
     """Records in a page: an array's length; the length of the first listed field
-    that is an array; otherwise 1."""
+    that is an array; otherwise 1. A page that could not be parsed has none."""
     sizes = [F.size(items_of(field_of(page, f))) for f in fields]
     # size() of a NULL array is NULL under ANSI and -1 without it.
     known = [F.when(s >= 0, s) for s in [F.size(items_of(page)), *sizes]]
-    return F.coalesce(*known, F.lit(1))
+    return F.when(page.isNull(), F.lit(0)).otherwise(F.coalesce(*known, F.lit(1)))
 
 
 def landing_metrics(
@@ -106,10 +106,13 @@ def landing_metrics(
     fields: Sequence[str] = COUNT_FIELDS,
     size: str | None = None,
 ) -> DataFrame:
-    """Per run: records_read, pages_read and, when given, the landed size in bytes."""
+    """Per run: records_read, pages_read, broken_pages (not parsable) and, when given, the landed size in bytes."""
     sized = [F.max(size).alias("landing_file_size_bytes")] if size else []
     return pages.withColumn("_n", record_count(F.col("page"), fields)).groupBy(*run).agg(
-        F.sum("_n").alias("records_read"), F.count(F.lit(1)).alias("pages_read"), *sized
+        F.sum("_n").cast("bigint").alias("records_read"),
+        F.count(F.lit(1)).alias("pages_read"),
+        F.count_if(F.col("page").isNull()).alias("broken_pages"),
+        *sized,
     )
 
 
@@ -131,10 +134,12 @@ def incomplete_pulls(
     page_size: str = "page_size",
     cursor_field: str = "cursor_field",
 ) -> DataFrame:
-    """Runs whose last page still promised another one.
+    """Runs whose last page still promised another one, or whose settings or pages can't tell.
 
     ``pages`` carries the paging settings as columns. OFFSET promises more when
-    its last page is full, CURSOR when it has a cursor, NONE never does.
+    its last page is full, CURSOR when it has a cursor, NONE never does. An
+    unknown type, OFFSET without a positive page size, and a last page that
+    can't be parsed are listed as well: nothing shows that such a pull is whole.
     """
     kind = F.upper(F.coalesce(F.col(pagination), F.lit("NONE")))
     length = F.size(items_of(F.col("page")))
@@ -143,7 +148,8 @@ def incomplete_pulls(
     fields = F.col("page").try_cast("map<string,variant>")
     cursor = fields[F.coalesce(F.col(cursor_field), F.lit("next_cursor"))].try_cast("string")
     more = (
-        F.when(kind == "OFFSET", length == F.col(page_size))
+        F.when(F.col("page").isNull() | ~kind.isin("NONE", "OFFSET", "CURSOR"), F.lit(True))
+        .when(kind == "OFFSET", F.coalesce(F.col(page_size) < 1, F.lit(True)) | (length == F.col(page_size)))
         .when(kind == "CURSOR", F.coalesce(cursor, F.lit("")) != "")
         .otherwise(F.lit(False))
     )

@@ -39,9 +39,19 @@ def _fits(value: Column, dtype: T.DataType) -> Column:
     kind = F.schema_of_variant(value)
     if isinstance(dtype, _INTEGRAL):
         return converts & (kind == "BIGINT")
+    if isinstance(dtype, T.DecimalType):
+        # The type text tells how many digits stand before and behind the point.
+        digits = F.regexp_extract(kind, r"DECIMAL\((\d+),", 1).try_cast("int")
+        behind = F.regexp_extract(kind, r",(\d+)\)", 1).try_cast("int")
+        exact = (behind <= dtype.scale) & (digits - behind <= dtype.precision - dtype.scale)
+        return converts & ((kind == "BIGINT") | F.coalesce(exact, F.lit(False)))
     if isinstance(dtype, _FRACTIONAL):
-        number = (kind == "BIGINT") | kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
-        return converts & number
+        # A number fits if it comes back the same. Fifteen digits always do.
+        near = value.try_cast(dtype).cast("double")
+        whole = (kind == "BIGINT") & (F.abs(near) < float(1 << 53))
+        few = kind.rlike(r"^DECIMAL\(([1-9]|1[0-5]),\d+\)$")
+        back = kind.startswith("DECIMAL") & (near.try_cast("decimal(38,18)") == value.try_cast("decimal(38,18)"))
+        return converts & (whole | few | F.coalesce(back, F.lit(False)) | kind.isin("DOUBLE", "FLOAT"))
     if isinstance(dtype, T.BooleanType):
         return converts & (kind == "BOOLEAN")
     return converts
@@ -62,7 +72,10 @@ def _clean_pattern(dtype: T.DataType) -> str | None:
     if isinstance(dtype, T.LongType):
         return "(BIGINT|VOID)"
     if isinstance(dtype, T.DoubleType):
-        return r"(DOUBLE|BIGINT|DECIMAL\(\d+,\d+\)|VOID)"
+        # Whole numbers and long decimals have to be looked at one by one.
+        return r"(DOUBLE|DECIMAL\(([1-9]|1[0-5]),\d+\)|VOID)"
+    if isinstance(dtype, T.DecimalType) and dtype.scale == 0 and dtype.precision == 38:
+        return r"(BIGINT|DECIMAL\(\d+,0\)|VOID)"
     if isinstance(dtype, T.BooleanType):
         return "(BOOLEAN|VOID)"
     if isinstance(dtype, T.ArrayType):

@@ -27,7 +27,7 @@ def merge_schemas(known: T.DataType, seen: T.DataType, widen: bool = False) -> T
 
     Known fields keep their place and type; new ones are appended by name, so
     the outcome does not depend on the order in which files were seen. With
-    ``widen`` a type conflict moves to double or string; without, the known
+    ``widen`` a type conflict moves to decimal, double or string; without, the known
     type stays and misfits are rescued at read time.
     """
     if isinstance(known, T.StructType) and isinstance(seen, T.StructType):
@@ -44,6 +44,8 @@ def merge_schemas(known: T.DataType, seen: T.DataType, widen: bool = False) -> T
         return T.ArrayType(merge_schemas(known.elementType, seen.elementType, widen))
     if known == seen or not widen or isinstance(seen, T.NullType):
         return known
+    if isinstance(known, T.LongType) and isinstance(seen, T.DecimalType) or isinstance(known, T.DecimalType) and isinstance(seen, T.LongType):
+        return known if isinstance(known, T.DecimalType) else seen
     numeric = (T.LongType, T.DoubleType)
     if isinstance(known, numeric) and isinstance(seen, numeric):
         return T.DoubleType()
@@ -76,12 +78,17 @@ def _schema_of(records: DataFrame, value: Column) -> str | None:
 
 
 def _plain(dtype: T.DataType) -> T.DataType:
-    """Long for integers, double for fractions, string for what was only ever null."""
+    """Long for integers, decimal for those beyond 64 bits, double for fractions, string for what was only ever null.
+
+    A fraction that a double would change is rescued when it is read.
+    """
     if isinstance(dtype, T.StructType):
         fields = sorted(dtype.fields, key=lambda f: f.name)
         return T.StructType([T.StructField(f.name, _plain(f.dataType), True) for f in fields])
     if isinstance(dtype, T.ArrayType):
         return T.ArrayType(_plain(dtype.elementType))
+    if isinstance(dtype, T.DecimalType) and dtype.scale == 0 and dtype.precision > 18:
+        return T.DecimalType(38, 0)
     if isinstance(dtype, (T.DecimalType, T.FloatType)):
         return T.DoubleType()
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):

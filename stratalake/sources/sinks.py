@@ -65,7 +65,8 @@ def append_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(path)
 
 
-def _version_path(root: str, version: int) -> str:
+def version_path(root: str, version: int) -> str:
+    """The folder of one version."""
     return f"{root.rstrip('/')}/version={version:012d}"
 
 
@@ -92,7 +93,7 @@ def publish(
     are counted during the write itself, and a version that breaks a rule never
     gets its completion mark, so it is never read.
     """
-    path = _version_path(root, version)
+    path = version_path(root, version)
     if not rules:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return path
@@ -110,4 +111,4 @@ def publish(
 def read_published(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
     """The newest complete version, or the newest one below ``before``; None if there is none."""
     ready = [v for v in versions(spark, root) if before is None or v < before]
-    return spark.read.parquet(_version_path(root, ready[-1])) if ready else None
+    return spark.read.parquet(version_path(root, ready[-1])) if ready else None

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stratalake.operators.shape import TECHNICAL_COLUMNS, extract_records
 from stratalake.sources.config import Route, bronze_routes
 from stratalake.sources.landing import record_values
-from stratalake.sources.rescue import typed_with_rescue
+from stratalake.sources.rescue import RESCUED, typed_with_rescue
 from stratalake.sources.schemas import SchemaStore, infer_schema
 
 
@@ -54,8 +54,9 @@ def json_stream(
 ) -> DataFrame:
     """Stream new landed files as typed rows with ``_rescued_data`` and lineage.
 
-    With ``record_path`` the rows are the records inside the documents, and
-    neither their siblings nor the rescued data are kept. ``source_options`` go
+    With ``record_path`` the rows are the records inside the documents, without
+    their siblings. What of a document could not be read, a broken or oversized
+    one as a whole, is a row of its own with ``_rescued_data``. ``source_options`` go
     to the file source: ``maxFilesPerTrigger`` bounds a micro-batch, and
     ``cleanSource`` moves finished files away, which keeps listing a long-lived
     landing folder cheap.
@@ -63,7 +64,7 @@ def json_stream(
     reader = spark.readStream.options(**(source_options or {})).option("wholetext", whole_document)
     typed = typed_with_rescue(_records(reader.text(path), api_id), schema, raw="raw")
     if record_path:
-        return extract_records(typed, record_path)
+        return extract_records(typed, record_path, rescued=RESCUED)
     ordered = [*schema.fieldNames(), "_rescued_data", *TECHNICAL_COLUMNS]
     return typed.select(*ordered)
 
@@ -104,15 +105,17 @@ def start_bronze(
     sampling: float = 1.0,
     source_options: Mapping[str, str] | None = None,
     by_day: bool = False,
+    widen: bool = False,
 ) -> tuple[StreamingQuery, T.StructType]:
     """Start one triggered run that appends everything new to a Bronze table.
 
     Returns the running query and the table's schema from now on. ``state``
     holds the schema versions and the stream checkpoint. The file sink makes
     the append exactly-once. ``by_day`` partitions the table by
-    ``ingestion_date``, so that readers of recent loads skip the rest.
+    ``ingestion_date``, so that readers of recent loads skip the rest. ``widen``
+    lets a column's type grow when new files ask for it (see ``merge_schemas``).
     """
-    _, schema = evolve_schema(spark, landing, SchemaStore(spark, f"{state}/schema"), whole_document, sampling)
+    _, schema = evolve_schema(spark, landing, SchemaStore(spark, f"{state}/schema"), whole_document, sampling, widen)
     rows = json_stream(spark, landing, schema, api_id, record_path, whole_document, source_options)
     days = ["ingestion_date"] if by_day else []
     if by_day:

@@ -2,24 +2,72 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from threading import Event
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.operators.history import END, scd2_from_snapshot
 from stratalake.operators.latest import ARRIVAL_ORDER, latest_records
-from stratalake.sources.sinks import publish, versions
+from stratalake.sources.sinks import append_rows, publish, version_path, versions
 
 
-def _each_batch(stream: DataFrame, checkpoint: str, step) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+_ASSIGNED = "query_id STRING, batch_id BIGINT, version BIGINT"
+
+
+def _version_of(spark: SparkSession, root: str, query_id: str, batch_id: int) -> int | None:
+    """The version that a batch writes; None if it is done and others came after it.
+
+    Batch numbers begin again with every new checkpoint, versions never do. So
+    each batch of each query gets the next version, which is noted before it is
+    written; a replay finds its note.
+    """
+    path = f"{root.rstrip('/')}/_assigned"
+    try:
+        rows = spark.read.schema(_ASSIGNED).parquet(path)
+        mine = rows.filter((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)).agg(F.max("version")).first()[0]
+        last = rows.agg(F.max("version")).first()[0] or 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        mine, last = None, 0
+    done = versions(spark, root)
+    newest = max([last, *done[-1:]])
+    if mine is None:
+        append_rows(spark, [(query_id, batch_id, newest + 1)], _ASSIGNED, path)
+        return newest + 1
+    return None if mine in done and mine < newest else mine
+
+
+def _each_batch(stream: DataFrame, root: str, checkpoint: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Run ``step`` with every micro-batch and the version it writes under ``root``."""
+    known, started = {}, Event()
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        version = _version_of(batch.sparkSession, root, known["id"], batch_id)
+        if version is not None:
+            step(batch, version)
+
+    query = (
+        stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+    # The id is part of the checkpoint: a new checkpoint is a new query.
+    known["id"] = str(query.id)
+    started.set()
+    return query
+
+
+def _stored(spark: SparkSession, root: str, newest: int) -> DataFrame:
+    """All versions, with the columns of the newest, which has every column that the ones before had."""
+    columns = spark.read.parquet(version_path(root, newest)).schema.fields
+    schema = T.StructType([f for f in columns if f.name not in ("version", "_open")])
+    partitions = [T.StructField("_open", T.IntegerType()), T.StructField("version", T.LongType())]
+    return spark.read.schema(T.StructType([*schema.fields, *partitions])).parquet(root)
 
 
 def latest_stream(
@@ -31,16 +79,17 @@ def latest_stream(
 ) -> StreamingQuery:
     """Keep the latest record per key without ranking all of Bronze again.
 
-    A micro-batch is reduced to its own latest records, which are written under
-    its batch number: the cost follows the batch, not the state, and a replay
+    A micro-batch is reduced to its own latest records, which are written as a
+    version of their own: the cost follows the batch, not the state, and a replay
     rewrites the same folder. "Latest" is associative, so the latest of these
-    parts is the latest of everything.
+    parts is the latest of everything. A new checkpoint goes on after the
+    versions that are there.
     """
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        publish(latest_records(batch, keys, order), state, batch_id + 1)
+    def step(batch: DataFrame, version: int) -> None:
+        publish(latest_records(batch, keys, order), state, version)
 
-    return _each_batch(stream, checkpoint, step)
+    return _each_batch(stream, state, checkpoint, step)
 
 
 def read_latest(
@@ -74,15 +123,19 @@ def fold_snapshot(
     """Fold one snapshot into a stored history as version ``version``.
 
     A version holds the open rows (one per key) and the rows it closed. Only
-    the previous version's open rows are read; closed rows are written once and
-    never touched again. A replay starts from the same previous version and
-    writes the same result to the same folder.
+    the previous version's open rows are read, with all its columns; closed rows
+    are written once and never touched again. A replay of the newest version
+    starts from the same previous one and writes the same result to the same
+    folder; a version below the newest is refused.
     """
-    done = [v for v in versions(spark, root) if v < version]
+    done = versions(spark, root)
+    if done and version < done[-1]:
+        raise ValueError(f"version {version} is below the newest one, {done[-1]}")
+    done = [v for v in done if v < version]
     previous = None
     if done:
-        rows = spark.read.parquet(root)
-        previous = rows.filter((F.col("version") == done[-1]) & (F.col("_open") == 1)).drop("version", "_open")
+        rows = spark.read.parquet(version_path(root, done[-1]))
+        previous = rows.filter(F.col("_open") == 1).drop("version", "_open")
     current = scd2_from_snapshot(
         previous, snapshot, keys, tracked, effective, small_incoming=small_incoming and previous is not None
     )
@@ -104,13 +157,11 @@ def scd2_stream(
     ``small_batches`` says that a batch holds few of the keys (see ``apply_versions``).
     """
 
-    def step(batch: DataFrame, batch_id: int) -> None:
+    def step(batch: DataFrame, version: int) -> None:
         snapshot = latest_records(batch, keys, order)
-        fold_snapshot(
-            batch.sparkSession, root, batch_id + 1, snapshot, keys, tracked, effective, small_batches
-        )
+        fold_snapshot(batch.sparkSession, root, version, snapshot, keys, tracked, effective, small_batches)
 
-    return _each_batch(stream, checkpoint, step)
+    return _each_batch(stream, root, checkpoint, step)
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
@@ -118,6 +169,6 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     done = versions(spark, root)
     if not done:
         raise LookupError(f"no complete version under {root}")
-    rows = spark.read.parquet(root)
+    rows = _stored(spark, root, done[-1])
     wanted = ((F.col("_open") == 0) & (F.col("version") <= done[-1])) | (F.col("version") == done[-1])
     return rows.filter(wanted).drop("version", "_open")

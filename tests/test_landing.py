@@ -22,7 +22,7 @@ def documents(spark, *payloads, **extra):
 
 def test_a_cursor_run(spark):
     pages = landing.explode_pages(documents(spark, PAGES))
-    assert rows(landing.landing_metrics(pages)) == [("f0", 3, 3)]
+    assert rows(landing.landing_metrics(pages)) == [("f0", 3, 3, 0)]
     assert rows(landing.last_cursor(pages)) == [("f0", "cursor-b")]
 
 
@@ -32,11 +32,13 @@ def test_page_counting_rules(spark):
         {"value": [1, 2, 3]}, {"records": None, "items": [1, 2]},
     )
     pages = landing.explode_pages(docs)
+    # A broken document has no records, and is reported.
     assert rows(landing.landing_metrics(pages)) == [
-        ("f0", 3, 2), ("f1", 2, 1), ("f2", 1, 1), ("f3", 1, 1), ("f4", 1, 1), ("f5", 0, 1), ("f6", 1, 1), ("f7", 1, 1), ("f8", 2, 1),
+        ("f0", 3, 2, 0), ("f1", 2, 1, 0), ("f2", 1, 1, 0), ("f3", 1, 1, 0), ("f4", 1, 1, 0), ("f5", 0, 1, 0), ("f6", 0, 1, 1), ("f7", 1, 1, 0),
+        ("f8", 2, 1, 0),
     ]
     with_value = landing.landing_metrics(pages, fields=[*landing.COUNT_FIELDS, "value"])
-    assert rows(with_value.filter("file = 'f7'")) == [("f7", 3, 1)]
+    assert rows(with_value.filter("file = 'f7'")) == [("f7", 3, 1, 0)]
 
 
 def test_paging_kind_settles_what_an_array_is(spark):
@@ -44,7 +46,7 @@ def test_paging_kind_settles_what_an_array_is(spark):
     for kind, pages, records in (("OFFSET", 1, 2), ("NONE", 1, 2), (None, 1, 2), ("cursor", 2, 2)):
         docs = documents(spark, one_list).withColumn("kind", F.lit(kind).cast("string"))
         found = landing.landing_metrics(landing.explode_pages(docs, pagination="kind"))
-        assert rows(found) == [("f0", records, pages)], kind
+        assert rows(found, "file", "records_read", "pages_read") == [("f0", records, pages)], kind
 
 
 def test_cursors_skip_nulls_and_blanks(spark):
@@ -163,3 +165,10 @@ def test_schema_store_versions(spark, tmp_path):
     store.mark_seen("2026-01-02T00:00:00")
     assert schemas.SchemaStore(spark, str(tmp_path / "s")).seen_until() == "2026-01-02T00:00:00"
     assert store.load() == (2, schema)
+
+
+def test_settings_that_cannot_tell_are_listed(spark):
+    settings = [("a", "OFFSET", 2), ("b", "OFFSET", None), ("c", "OFFSET", 0), ("d", "keyset", 2), ("e", None, None), ("f", "OFFSET", 2)]
+    pulls = spark.createDataFrame([(f, k, n, "next", "[{}]" if f != "f" else "broken [") for f, k, n in settings], "file string, pagination_type string, page_size int, cursor_field string, payload string")
+    pages = landing.explode_pages(pulls, keep=["file", "pagination_type", "page_size", "cursor_field"], pagination="pagination_type")
+    assert [r[0] for r in rows(landing.incomplete_pulls(pages), "file")] == ["b", "c", "d", "f"]

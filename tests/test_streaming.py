@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import at, rows
 from stratalake.operators.latest import latest_records
@@ -79,7 +80,7 @@ def test_fan_out_isolates_a_bad_source(spark, tmp_path):
     tables = bronze.bronze_tables(spark, config, str(tmp_path / "landing"), str(tmp_path / "tables"))
     assert list(tables) == ["good"]
     assert rows(tables["good"], "id", "_api_id") == [(1, "good"), (2, "good")]
-    assert "_rescued_data" not in tables["good"].columns
+    assert tables["good"].filter("_rescued_data IS NOT NULL").count() == 0
 
 
 def test_fixed_schema_stream(spark, tmp_path):
@@ -179,3 +180,53 @@ def test_a_whole_batch(spark, tmp_path):
     assert sinks.versions(spark, str(tmp_path / "fact_order")) == [1]
     failure = spark.read.parquet(str(tmp_path / "job_execution")).filter("job_run_id = 'job-2'").first()
     assert (failure.status, failure.failure_stage, failure.failure_type) == ("FAILED", "fact_order", "ExpectationFailed")
+
+
+def test_a_new_checkpoint_goes_on_after_the_old_versions(spark, tmp_path):
+    schema = "k int, v string, ingestion_timestamp bigint, _source_file string"
+    root = str(tmp_path / "h")
+    state_root = str(tmp_path / "latest")
+    for n in range(1, 4):
+        landing = str(tmp_path / f"landing{n}")
+        spark.createDataFrame([(1, f"a{n}", n, "f"), (10 + n, "new", n, "f")], schema).write.parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        state.scd2_stream(stream, ["k"], ["v"], root, str(tmp_path / f"c{n}")).awaitTermination()
+        state.latest_stream(stream, ["k"], state_root, str(tmp_path / f"l{n}")).awaitTermination()
+    found = rows(state.read_history(spark, root), "k", "v")
+    assert found == [(1, "a1"), (1, "a2"), (1, "a3"), (11, "new"), (12, "new"), (13, "new")]
+    assert rows(state.read_latest(spark, state_root, ["k"]), "k", "v") == [(1, "a3"), (11, "new"), (12, "new"), (13, "new")]
+    with pytest.raises(ValueError, match="below the newest"):
+        state.fold_snapshot(spark, root, 1, spark.createDataFrame([(1, "x", 9, "f")], schema), ["k"], ["v"])
+
+
+def test_a_gained_column_is_stored_and_compared(spark, tmp_path):
+    root = str(tmp_path / "h")
+    first = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, ingestion_timestamp bigint")
+    state.fold_snapshot(spark, root, 1, first, ["k"], ["v"])
+    for version in (2, 3, 4):
+        wider = spark.createDataFrame([(1, "a", "x", version), (2, "b", None, version)], "k int, v string, w string, ingestion_timestamp bigint")
+        state.fold_snapshot(spark, root, version, wider, ["k"], ["v", "w"])
+    assert rows(state.read_history(spark, root), "k", "v", "w") == [(1, "a", "x"), (1, "a", None), (2, "b", None)]
+
+
+def test_broken_documents_arrive_beside_records(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.json").write_text('{"items":[{"id":1},{"id":2}]}\n{"items":[{"id":3}\n{"items":[]}\n')
+    found = bronze.run_bronze(
+        spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "s"), "x", record_path="items", whole_document=False
+    )
+    assert rows(found, "id", "_rescued_data") == [(1, None), (2, None), (None, '{"items":[{"id":3}')]
+
+
+def test_numbers_that_would_change_are_rescued(spark):
+    from stratalake.sources.rescue import typed_with_rescue
+
+    texts = ['{"x":9007199254740993}', '{"x":9007199254740991}', '{"x":12345678901234567.89}', '{"x":0.1}', '{"x":5}', '{"x":1e300}']
+    df = spark.createDataFrame([(t,) for t in texts], "record string")
+    got = typed_with_rescue(df, T.StructType([T.StructField("x", T.DoubleType())])).collect()
+    assert [r["x"] for r in got] == [None, 9007199254740991.0, None, 0.1, 5.0, 1e300]
+    assert [r["_rescued_data"] is None for r in got] == [False, True, False, True, True, True]
+    big = ['{"x":12345678901234567890}', '{"x":5}', '{"x":5.5}']
+    got = typed_with_rescue(spark.createDataFrame([(t,) for t in big], "record string"), T.StructType([T.StructField("x", T.DecimalType(38, 0))])).collect()
+    assert [r["x"] and int(r["x"]) for r in got] == [12345678901234567890, 5, None]
+    assert got[2]["_rescued_data"] == '{"x":5.5}'

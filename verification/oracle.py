@@ -330,6 +330,13 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE change_type = 'new') AS new_rows, count(*) FILTER (WHERE change_type = 'changed') AS changed_rows,
                count(*) FILTER (WHERE change_type = 'unchanged') AS unchanged_rows, 0 AS stale_rows, strategy
         FROM merged CROSS JOIN (VALUES ('TYPE1'), ('TYPE2')) AS s(strategy) GROUP BY strategy"""),
+    "bronze_lossless": """
+        WITH e AS (SELECT event_id, '123456789012345' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS big FROM events),
+        a AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN big || '.89' ELSE '0.5' END AS amount FROM e)
+        SELECT big AS id, CAST(amount AS DOUBLE) AS amount, '-' AS rescued FROM a WHERE event_id % 7 <> 0
+        UNION ALL SELECT '-', -1.0, '{"items":[{"amount":' || amount || ',"id":' || big || '}]}' FROM a
+        WHERE event_id % 7 <> 0 AND event_id % 3 = 0
+        UNION ALL SELECT '-', -1.0, '{"items":[{"id":' || big || ',"amount":' || amount || '}' FROM a WHERE event_id % 7 = 0""",
     "merge_table_type1": _with("merged", final="""
         SELECT business_key, CASE WHEN change_type = 'deleted' THEN old_custkey ELSE new_custkey END AS o_custkey,
                coalesce(CASE WHEN change_type = 'deleted' THEN old_status ELSE new_status END, '-') AS status FROM merged"""),
@@ -360,14 +367,15 @@ ORACLE: dict[str, str] = {
         SELECT run_id, page_no, CAST(CASE WHEN st = 'F' THEN n ELSE least(2, greatest(0, n - (page_no - 1) * 2)) END AS INTEGER) AS page_records
         FROM pulled_pages"""),
     "landing_metrics": _with("pulled", final="""
-        SELECT run_id, CAST(n AS BIGINT) AS records_read, CAST(pages_n AS BIGINT) AS pages_read FROM pulled"""),
+        SELECT run_id, CAST(n AS BIGINT) AS records_read, CAST(pages_n AS BIGINT) AS pages_read, 0 AS broken_pages FROM pulled"""),
     "last_cursor": _with("pulled", final="""
         SELECT run_id, CASE WHEN st = 'P' AND pr = '1-URGENT' THEN 'cursor-' || pages_n
                             WHEN st = 'P' AND pages_n > 1 THEN 'cursor-' || (pages_n - 1) ELSE '-' END AS state_value
         FROM pulled"""),
     "incomplete_pulls": _with("pulled", final="""
-        SELECT run_id, CAST(pages_n AS INTEGER) AS pages_read, CASE st WHEN 'O' THEN 'OFFSET' ELSE 'CURSOR' END AS pagination_type
-        FROM pulled WHERE (st = 'O' AND n > 0 AND n % 2 = 0) OR (st = 'P' AND pr = '1-URGENT')"""),
+        SELECT run_id, CAST(pages_n AS INTEGER) AS pages_read,
+               CASE WHEN run_id % 10 = 3 THEN 'KEYSET' WHEN st = 'O' THEN 'OFFSET' ELSE 'CURSOR' END AS pagination_type
+        FROM pulled WHERE run_id % 10 = 3 OR (st = 'O' AND (run_id % 10 = 7 OR (n > 0 AND n % 2 = 0))) OR (st = 'P' AND pr = '1-URGENT')"""),
     "split_landed_records": _with("pulled_pages", "lines", final="""
         SELECT l.order_id AS run_id, CAST(CASE WHEN p.pages_n = 1 THEN l.line_number ELSE (l.line_number + 1) // 2 END AS INTEGER) AS page_no,
                CAST(CASE WHEN p.pages_n = 1 THEN 1 ELSE (l.line_number - 1) % 2 + 1 END AS INTEGER) AS record_no,

@@ -504,7 +504,11 @@ def last_cursor(spark, sf):
 
 @query
 def incomplete_pulls(spark, sf):
-    return landing.incomplete_pulls(_pulled_pages(spark, sf), ["run_id"])
+    """Some pulls have paging settings that nobody knows, or no page size."""
+    pages = _pulled_pages(spark, sf)
+    odd = F.col("run_id") % 10
+    pages = pages.withColumn("pagination_type", F.when(odd == 3, "keyset").otherwise(F.col("pagination_type")))
+    return landing.incomplete_pulls(pages.withColumn("page_size", F.when(odd != 7, F.col("page_size"))), ["run_id"])
 
 
 @query
@@ -589,6 +593,28 @@ def schema_evolution_rescue(spark, sf):
     )
 
 
+@query
+def bronze_lossless(spark, sf):
+    """Records with ids beyond 64 bits, amounts beyond a double and broken lines, under a record path.
+
+    Every seventh event is a broken line, which has to arrive whole.
+    """
+    root = scratch_path(spark, "lossless")
+    events = table(spark, sf, "events").select("event_id")
+    big = F.concat(F.lit("123456789012345"), F.lpad(F.col("event_id").cast("string"), 8, "0"))
+    item = F.concat(F.lit('{"id":'), big, F.lit(',"amount":'), F.when(F.col("event_id") % 3 == 0, F.concat(big, F.lit(".89"))).otherwise("0.5"), F.lit("}"))
+    line = F.concat(F.lit('{"items":['), item, F.when(F.col("event_id") % 7 == 0, F.lit("")).otherwise(F.lit("]}")))
+    events.select(line.alias("value")).write.text(f"{root}/landing")
+    rows = bronze.run_bronze(
+        spark, f"{root}/landing", f"{root}/table", f"{root}/state", "events", record_path="items", whole_document=False
+    )
+    return rows.select(
+        F.coalesce(F.col("id").cast("string"), F.lit("-")).alias("id"),
+        F.coalesce("amount", F.lit(-1.0)).alias("amount"),
+        F.coalesce("_rescued_data", F.lit("-")).alias("rescued"),
+    )
+
+
 @query
 def bronze_fan_out(spark, sf):
     """One source per event type, found through the configuration table."""
@@ -718,7 +744,7 @@ def incremental_extract(spark, sf):
     )
     config = marks.select("api_id", F.lit("INCREMENTAL").alias("load_type"), F.lit(1440).alias("overlap_minutes"))
     return state.incremental_extract_all(
-        events, "event_type", "ts", state.effective_state(source_config.with_defaults(config), saved)
+        events, "event_type", "ts", state.effective_state(source_config.with_defaults(config), saved), complete=True
     )
 
 
