@@ -12,7 +12,9 @@
    already connect nearly all of a group of copies.
 5. Then, in tiles where more than one component is left, classes of different
    components are compared. In a tile whose classes are all of one component
-   nothing is left to find, so a group of many near copies never becomes the
+   nothing is left to find. A tile that has many such pairs is compared inside
+   tasks, block by block, with wider signatures, and only pairs that may be
+   linked leave them: so a group of many near copies never becomes rows in the
    square of its size.
 
 A comparison looks at the signatures: the bits that one has and the other lacks
@@ -48,6 +50,9 @@ BUCKETS = 1 << 17
 #: A bucket with so many times the mean count is hot: its shingles skip the search for single ones.
 HOT = 8
 MEMO_WORDS = 100_000
+#: A tile with more pairs to compare than this is compared inside tasks, in blocks of so many rows, by signatures of
+#: so many bits for each shingle.
+TILE_PAIRS, TILE_BLOCK, WIDE_BITS = 20_000, 1_024, 8
 #: Rows in a batch for Python. An array of shingles has several kilobytes.
 BATCH_ROWS = 1_000
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -76,9 +81,9 @@ def shingles(text: str | None, width: int, hashes: _Hashes) -> np.ndarray:
     return np.unique(h * _P[2])
 
 
-def bitmap(shingle_set: np.ndarray) -> bytes:
-    """A signature of 64 bits or the next power of two that is not below the size."""
-    bits = 1 << max(6, (len(shingle_set) - 1).bit_length())
+def bitmap(shingle_set: np.ndarray, bits_each: int = 1) -> bytes:
+    """A signature of 64 bits, or of the next power of two that is not below ``bits_each`` times the size."""
+    bits = 1 << max(6, (bits_each * len(shingle_set) - 1).bit_length())
     marks = np.zeros(bits, dtype=np.uint8)
     marks[(shingle_set >> np.uint64(7)) & np.uint64(bits - 1)] = 1
     return np.packbits(marks, bitorder="little").tobytes()
@@ -265,7 +270,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialize(both.mapInPandas(_linked(percent), "a bigint, b bigint"), "ngram-links")
 
 
-def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _across(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of one tile that are in different components and of sizes that can link.
 
     The component with most rows of a tile is met by the others only, never by itself.
@@ -275,18 +280,93 @@ def _across(shared: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     # A class is in the tile of its own band, and reaches up to that of the next.
     tiled = materialize(named.withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1))), "ngram-tiles")
     parts = tiled.groupBy("sh", "tile", "root").agg(F.count("node").alias("c"))
-    mixed = parts.groupBy("sh", "tile").agg(F.count("root").alias("_roots"), F.max_by("root", F.struct("c", "root")).alias("major"))
-    mixed = mixed.where("_roots > 1").select("sh", "tile", "major")
+    mixed = parts.groupBy("sh", "tile").agg(
+        F.count("root").alias("_roots"), F.sum("c").alias("rows"), F.max(F.struct("c", "root")).alias("_major")
+    )
+    mixed = mixed.where("_roots > 1").select(
+        "sh", "tile", F.col("_major.root").alias("major"), "rows", (F.col("rows") - F.col("_major.c")).alias("minor_rows")
+    )
     rows = materialize(tiled.join(mixed, ["sh", "tile"]).drop("band"), "ngram-mixed")
-    left = rows.where("root <> major").select("sh", "tile", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = rows.select(
+    large = F.col("rows") * F.col("minor_rows") > TILE_PAIRS
+    small_rows, large_rows = rows.where(~large), rows.where(large)
+    left = small_rows.where("root <> major").select(
+        "sh", "tile", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")
+    )
+    right = small_rows.select(
         "sh", "tile", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), (F.col("root") == F.col("major")).alias("big")
     )
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     met = left.join(right, ["sh", "tile"]).where((F.col("ra") != F.col("rb")) & (F.col("big") | (F.col("a") < F.col("b"))) & fits)
+    met = met.select("a", "b").union(_within_large(large_rows, sets, percent))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _wide_bitmaps(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, wide: signatures that leave few bits to chance, for the ``nodes`` (rid)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [bitmap(np.frombuffer(s, dtype=np.uint64), WIDE_BITS) for s in batch["shingles"]]
+            yield pd.DataFrame({"node": batch["rid"], "wide": made})
+
+    wanted = sets.select("rid", "shingles").join(sized(nodes, nodes.count()), "rid", "left_semi")
+    return wanted.mapInPandas(run, "node bigint, wide binary")
+
+
+def _folded(column: pd.Series, size: int) -> np.ndarray:
+    """Signatures as rows of ``size`` bytes. Longer ones are halved by joining both halves, which keeps every bound."""
+    out = np.empty((len(column), size), dtype=np.uint8)
+    for i, s in enumerate(column):
+        x = np.frombuffer(s, dtype=np.uint8)
+        while len(x) > size:
+            x = x[: len(x) // 2] | x[len(x) // 2 :]
+        out[i] = x
+    return out
+
+
+def _meet(percent: int):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []}).astype("int64")
+        if not len(left) or not len(right):
+            return none
+        size = min(min(map(len, left["wide"])), min(map(len, right["wide"])))
+        x, y = _folded(left["wide"], size), _folded(right["wide"], size)
+        common = np.zeros((len(x), len(y)), dtype=np.float32)
+        for at in range(0, size, 512):
+            bits = [np.unpackbits(z[:, at : at + 512], axis=1).astype(np.float32) for z in (x, y)]
+            common += bits[0] @ bits[1].T
+        ones = [np.bitwise_count(z).sum(axis=1, dtype=np.int64) for z in (x, y)]
+        na, nb = left["n"].to_numpy(dtype=np.int64)[:, None], right["n"].to_numpy(dtype=np.int64)[None, :]
+        common = common.astype(np.int64)
+        most = np.minimum(na - (ones[0][:, None] - common), nb - (ones[1][None, :] - common))
+        other = left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :]
+        once = right["big"].to_numpy(dtype=bool)[None, :] | (left["node"].to_numpy()[:, None] < right["node"].to_numpy()[None, :])
+        i, j = np.nonzero((100 * most >= percent * (na + nb - most)) & other & once)
+        return pd.DataFrame({"a": left["node"].to_numpy()[i], "b": right["node"].to_numpy()[j]})
+
+    return run
+
+
+def _within_large(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of large tiles that pass the bound of wide signatures.
+
+    Rows of the lesser components and all rows of a tile meet in blocks of
+    bounded size; a block's pairs are one matrix product.
+    """
+    nodes = materialize(rows.select(F.col("node").alias("rid")).distinct(), "ngram-large")
+    rows = rows.join(_wide_bitmaps(sets, nodes), "node")
+    blocks = [F.ceil(F.col(c) / F.lit(TILE_BLOCK)).cast("int") for c in ("minor_rows", "rows")]
+    own = [F.pmod(F.xxhash64("node"), b).cast("int") for b in blocks]
+    every = [F.explode(F.sequence(F.lit(0), b - 1)) for b in blocks]
+    # Both sides come from one table: new columns tell them apart.
+    columns = [F.col(c).alias(c) for c in ("sh", "tile", "node", "n", "root", "wide")]
+    big = (F.col("root") == F.col("major")).alias("big")
+    left = rows.where("root <> major").select(*columns, own[0].alias("i"), every[1].alias("j"))
+    right = rows.select(*columns, big, own[1].alias("j"), every[0].alias("i"))
+    keys = ["sh", "tile", "i", "j"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_meet(percent), "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -322,6 +402,6 @@ def _classes_and_roots(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFr
     shared = materialize(shared_keys(materialize(tile_keys(nodes, bucket_counts(nodes), percent), "ngram-keys")), "ngram-shared")
     first = verified(shared.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), sets, percent)
     roots = materialize(components(first), "ngram-roots")
-    second = verified(materialize(_across(shared, roots, percent), "ngram-across"), sets, percent)
+    second = verified(materialize(_across(shared, roots, sets, percent), "ngram-across"), sets, percent)
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     return groups, components(stars.union(second))

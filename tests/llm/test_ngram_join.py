@@ -74,6 +74,15 @@ def test_a_large_group_of_near_copies_beside_a_common_passage(spark):
     check(spark, rows)
 
 
+@pytest.mark.parametrize("block", [1024, 16])
+def test_large_tiles_are_compared_inside_tasks(spark, monkeypatch, block):
+    monkeypatch.setattr(nj, "TILE_PAIRS", 0)
+    monkeypatch.setattr(nj, "TILE_BLOCK", block)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(70)]
+    check(spark, [(i, " ".join(mutated(rng, base, rng.choice([1, 2, 3, 5])))) for i in range(150)])
+
+
 def test_chains_are_one_component(spark):
     words = [f"w{k}" for k in range(100)]
     rows = [(40 - i, " ".join([f"x{k}" for k in range(2 * i)] + words[2 * i :])) for i in range(20)]
@@ -112,8 +121,9 @@ def test_bound_is_from_above():
         pool = rng.integers(0, 1 << 62, size=900, dtype=np.uint64)
         a = np.unique(rng.choice(pool, size=rng.integers(1, 700)))
         b = np.unique(rng.choice(pool, size=rng.integers(1, 700)))
-        bound = nj.overlap_bound(nj.bitmap(a), len(a), nj.bitmap(b), len(b))
-        assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
+        for bits in (1, nj.WIDE_BITS):
+            bound = nj.overlap_bound(nj.bitmap(a, bits), len(a), nj.bitmap(b, bits), len(b))
+            assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
 
 
 def test_bands_and_prefixes():
