@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratalake.operators import reconcile
 from stratalake.operators.quality import FACT_ORDER_RULES
 from stratalake.plans import audit, gold, silver
-from stratalake.session import size_shuffles
+from stratalake.session import sized_shuffles
 from stratalake.sources.sinks import publish, read_published
 
 
@@ -48,8 +48,8 @@ def run_batch(
         publish(df, f"{root}/{name}", batch, rules)
         return read_published(spark, f"{root}/{name}", before=batch + 1)
 
-    size_shuffles(users, products, orders)
-    with audit.audited(spark, f"{root}/job_execution", "ALL", "medallion_batch", job_run_id) as run:
+    audited = audit.audited(spark, f"{root}/job_execution", "ALL", "medallion_batch", job_run_id)
+    with sized_shuffles(users, products, orders), audited as run:
         customers = published("dim_customer", silver.dim_customer(users))
         items = published("dim_product", silver.dim_product(products))
         fact = published("fact_order", silver.fact_order(orders, customers, items), FACT_ORDER_RULES)

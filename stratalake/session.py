@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,16 +73,21 @@ def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
     return max(configured, min(MAX_PARTITIONS, -(-scanned_bytes(df) // target_bytes)))
 
 
-def size_shuffles(*inputs: DataFrame) -> int:
-    """Raise the session's shuffle partitions to what its largest input needs.
+@contextlib.contextmanager
+def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
+    """Raise the session's shuffle partitions to what the largest input needs, for the jobs that run inside.
 
     Too many are harmless, because adaptive execution merges small ones; too
     few cannot be repaired at run time.
     """
     spark = inputs[0].sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     wanted = max(partitions_for(df) for df in inputs)
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    try:
+        yield wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def scratch_root(spark: SparkSession) -> str:

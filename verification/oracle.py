@@ -330,6 +330,10 @@ ORACLE: dict[str, str] = {
                count(*) FILTER (WHERE change_type = 'new') AS new_rows, count(*) FILTER (WHERE change_type = 'changed') AS changed_rows,
                count(*) FILTER (WHERE change_type = 'unchanged') AS unchanged_rows, 0 AS stale_rows, strategy
         FROM merged CROSS JOIN (VALUES ('TYPE1'), ('TYPE2')) AS s(strategy) GROUP BY strategy"""),
+    "medallion_batch": _with("fact", "kpis", final="SELECT order_id, order_total, units_sold, 'ALL/SUCCESS' AS run FROM kpis"),
+    "gate_keeps_last_version": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
+    "apply_configured_feed": f"SELECT user_id, event_id, value FROM ({_FEED_LAST}) WHERE event_type <> 'error'",
+    "whole_documents": "SELECT CAST(s_nationkey AS BIGINT) AS nation, s_suppkey AS id FROM supplier",
     "bronze_lossless": """
         WITH e AS (SELECT event_id, '123456789012345' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS big FROM events),
         a AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN big || '.89' ELSE '0.5' END AS amount FROM e)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from stratalake.functions import iso_text, json_map
 from stratalake.operators import aggregates, changes, history, latest, lookup, numbering, quality, reconcile, shape
-from stratalake.plans import audit, gold, silver, state
+from stratalake.plans import audit, gold, medallion, silver, state
 from stratalake.session import configure, scratch_path
 from stratalake.sources import config as source_config
 from stratalake.sources import landing, rescue, sinks
@@ -593,6 +593,59 @@ def schema_evolution_rescue(spark, sf):
     )
 
 
+@query
+def medallion_batch(spark, sf):
+    """One audited batch of all models, from Bronze to Gold; its order KPIs beside the state its audit row tells."""
+    root = scratch_path(spark, "batch")
+    layers = medallion.run_batch(
+        spark, inputs.bronze_users(spark, sf), inputs.bronze_products(spark, sf), inputs.bronze_orders(spark, sf), root, 1, "job-1"
+    )
+    runs = spark.read.parquet(f"{root}/job_execution").select("job_run_id", F.concat_ws("/", "api_name", "status").alias("run"))
+    return layers.order_kpis.withColumn("job_run_id", F.lit("job-1")).join(F.broadcast(runs.limit(1)), "job_run_id").select(
+        "order_id", "order_total", "units_sold", "run"
+    )
+
+
+@query
+def gate_keeps_last_version(spark, sf):
+    """A version that breaks a rule is not published: readers go on with the one before."""
+    root = scratch_path(spark, "gate")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    rules = {"valid_quantity": "l_quantity > 0"}
+    sinks.publish(lines, root, 1, rules)
+    try:
+        sinks.publish(lines.withColumn("l_quantity", -F.col("l_quantity")), root, 2, rules)
+        raise AssertionError("the gate let a broken version pass")
+    except quality.ExpectationFailed:
+        pass
+    return sinks.read_published(spark, root)
+
+
+@query
+def apply_configured_feed(spark, sf):
+    """The feed applied as its configuration asks for."""
+    setting = [("events", "feed", "op", "event_id", "bigint", "HARD", None, "NONE", True)]
+    config = spark.createDataFrame(
+        setting,
+        "source_id string, cdc_mode string, operation_column string, sequence_column string, sequence_type string,"
+        "delete_handling string, snapshot_key_column string, snapshot_strategy string, enabled boolean",
+    )
+    feed = _feed(spark, sf).withColumn("event_id", F.col("event_id").cast("string"))
+    return changes.apply_configured(None, feed, ["user_id"], source_config.change_settings(config, "events"))
+
+
+@query
+def whole_documents(spark, sf):
+    """Each nation's suppliers landed as one file, and read as whole documents."""
+    root = scratch_path(spark, "documents")
+    record = F.struct(F.col("s_suppkey").alias("id"), "s_acctbal")
+    documents = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.to_json(F.array_sort(F.collect_list(record))).alias("value"))
+    documents.select("value", "s_nationkey").write.partitionBy("s_nationkey").text(root)
+    found = landing.record_values(landing.read_documents(spark, root).withColumn("nation", F.regexp_extract("file", "s_nationkey=(\\d+)", 1)), "payload", ["nation"])
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    return rescue.typed_with_rescue(found, schema, raw="raw").select(F.col("nation").cast("bigint").alias("nation"), "id")
+
+
 @query
 def bronze_lossless(spark, sf):
     """Records with ids beyond 64 bits, amounts beyond a double and broken lines, under a record path.
