@@ -10,12 +10,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+# Rule names appear in reports.
 FACT_ORDER_RULES = {
-    "order_id_present": "order_id IS NOT NULL",
-    "line_number_present": "line_number IS NOT NULL",
-    "customer_id_present": "customer_id IS NOT NULL",
-    "product_id_present": "product_id IS NOT NULL",
-    "quantity_positive": "quantity IS NOT NULL AND quantity > 0",
+    "valid_order_id": "order_id IS NOT NULL",
+    "valid_line_number": "line_number IS NOT NULL",
+    "valid_customer_id": "customer_id IS NOT NULL",
+    "valid_product_id": "product_id IS NOT NULL",
+    "valid_quantity": "quantity IS NOT NULL AND quantity > 0",
 }
 
 

@@ -130,3 +130,31 @@ def test_shuffles_grow_with_the_input_and_not_with_joins(spark):
     orders = inputs.bronze_orders(spark, SF)
     assert partitions_for(orders) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert partitions_for(orders, target_bytes=1000) > 100
+
+
+def test_the_smallest_watermark_reaches_the_scan(spark):
+    from datetime import datetime, timezone
+
+    from stratalake.plans import state
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    marks = [(t, datetime(2024, 1, d, tzinfo=timezone.utc)) for t, d in (("view", 5), ("click", 9))]
+    known = spark.createDataFrame(marks, "api_id string, watermark timestamp")
+    out = state.incremental_extract_all(events, "event_type", "ts", known, complete=True)
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts,2024-01-05" in plan(out)
+    open_ = known.unionByName(spark.createDataFrame([("new", None)], known.schema))
+    assert "GreaterThan(ts," not in plan(state.incremental_extract_all(events, "event_type", "ts", open_, complete=True))
+
+
+def test_the_fan_out_error_reads_the_fact_once(spark):
+    from stratalake.operators import reconcile
+
+    fact = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("l_orderkey as order_id", "l_extendedprice as order_total")
+    assert plan(reconcile.fan_out_error(fact)).count("FileScan") == 1
+
+
+def test_merge_reads_its_sides_once_each(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet").selectExpr("o_orderkey as business_key", "o_orderstatus as record_hash")
+    _, metrics = changes.run_merge(orders, orders, "TYPE1")
+    # The metrics read the classified rows that were written, and count the target.
+    assert plan(metrics).count("orders.parquet") == 1

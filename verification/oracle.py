@@ -147,11 +147,11 @@ _LINE_RULES = {
     "returned_or_open": "l_returnflag IN ('A', 'R')",
 }
 _FACT_RULES = {
-    "order_id_present": "order_id IS NOT NULL",
-    "line_number_present": "line_number IS NOT NULL",
-    "customer_id_present": "customer_id IS NOT NULL",
-    "product_id_present": "product_id IS NOT NULL",
-    "quantity_positive": "quantity > 0",
+    "valid_order_id": "order_id IS NOT NULL",
+    "valid_line_number": "line_number IS NOT NULL",
+    "valid_customer_id": "customer_id IS NOT NULL",
+    "valid_product_id": "product_id IS NOT NULL",
+    "valid_quantity": "quantity > 0",
 }
 
 
