@@ -31,6 +31,8 @@ from stratalake.llm.common import map_texts, materialize
 UNDETERMINED = "und"
 #: At most about so many labelled rows fit the machines.
 FIT_ROWS = 4_000
+#: So many languages are learned at most, those with most labelled rows: machines grow with the square of a family.
+FIT_LANGUAGES = 256
 DIMENSIONS = 4096
 #: Families by two-letter code. A language that is not listed is a family of its own.
 FAMILIES = {
@@ -91,7 +93,8 @@ def fit_machine(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int
 def sample_rows(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """text, lang: at most about fit_rows / languages rows of each language, those whose texts have the lowest hashes."""
     rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = materialize(rows.groupBy("lang").agg(F.count("text").alias("_n")), "lang-counts")
+    counts = rows.groupBy("lang").agg(F.count("text").alias("_n")).orderBy(F.desc("_n"), "lang").limit(FIT_LANGUAGES)
+    counts = materialize(counts, "lang-counts")
     each = max(1, fit_rows // max(counts.count(), 1))
     span = 1 << 30
     chance = F.least(F.lit(1.0), F.lit(float(each)) / F.col("_n")) * span
