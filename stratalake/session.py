@@ -24,6 +24,8 @@ SQL_SETTINGS = {
 
 # Bounds what the driver keeps per shuffle.
 MAX_PARTITIONS = 100_000
+# Paths given out by scratch_path.
+_SCRATCH: list[str] = []
 # What one task should get to see.
 TARGET_BYTES = 128 << 20
 
@@ -112,7 +114,23 @@ def _local_scratch() -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has written to yet."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has made so far; returns their number.
+
+    For the end of a job: results that still read them have to be written first.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    dropped = 0
+    while _SCRATCH:
+        folder = hadoop.Path(_SCRATCH.pop())
+        dropped += bool(folder.getFileSystem(conf).delete(folder, True))
+    return dropped
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

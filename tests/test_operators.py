@@ -163,3 +163,12 @@ def test_json_map(spark):
     assert [r[0] for r in df.select(json_map("t")).collect()] == [{"a": "1", "b": "x"}, {}, {}]
     with pytest.raises(Exception):
         spark.createDataFrame([("nope",)], "t string").select(json_map("t")).collect()
+
+
+def test_scratch_tables_go_when_asked(spark, monkeypatch):
+    from stratalake import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    table = session.materialize(spark.range(3), "dropped")
+    assert table.count() == 3
+    assert session.drop_scratch(spark) == 1 and session.drop_scratch(spark) == 0

@@ -9,7 +9,7 @@ import time
 
 import duckdb
 
-from stratalake.session import local_session
+from stratalake.session import drop_scratch, local_session
 from verification.oracle import ORACLE
 from verification.queries import QUERIES
 
@@ -77,6 +77,7 @@ def main() -> int:
         except Exception as error:  # noqa: BLE001 - report and go on
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         bad += bool(problem)
+        drop_scratch(spark)
         print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.2f}s {problem}", flush=True)
     print(f"{len(names) - bad} of {len(names)} agree; without SQL: {sorted(set(QUERIES) - set(ORACLE))}")
     return 1 if bad else 0
