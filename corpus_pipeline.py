@@ -16,16 +16,24 @@ from pyspark.sql import functions as F
 from stratalake.llm import byte_bpe, language_id, mixing, ngram_join, secret_scan
 from stratalake.llm.common import free_name, materialize, sized, table
 
+#: Rows in a batch for Python. All stages run in the same executors, one after another, so each keeps its batches small.
+BATCH_ROWS = 1_000
 #: Near duplicates: five words, a similarity of 0.8 or more.
 WIDTH, PERCENT = 5, 80
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """The stages' results are written by the caller, so this setting of the pipeline's session stays."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def _columns(names: list[str]) -> list[str]:
     return [f"`{c}`" for c in names]
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some language: texts that are null or have no letter go."""
+    _small_batches(spark)
     guess, score = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
     named = language_id.identify(docs, into=guess, score=score)
     return named.where(F.col(guess) != language_id.UNDETERMINED).select(*_columns(docs.columns))
@@ -37,6 +45,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that share a doc_id stay or go together, and those of equal text become
     one; rows without a doc_id can't be named by a decision and stay.
     """
+    _small_batches(spark)
     found = materialize(ngram_join.near_duplicates(docs, WIDTH, PERCENT), "pipeline-groups").where("doc_id IS NOT NULL")
     named = found.groupBy(F.col("doc_id").alias("_id")).agg(
         F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows")
@@ -54,6 +63,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets give way to a mark; n_chars follows the text. No document goes."""
+    _small_batches(spark)
     clean = secret_scan.redact(docs)
     if "n_chars" not in docs.columns:
         return clean
@@ -68,6 +78,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids: one row per document of the mix."""
+    _small_batches(spark)
     texts = docs.select("doc_id", "lang", "source", "text")
     made = byte_bpe.encode_texts(texts, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return made.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.session import materialize
+from stratalake.session import discard, materialize
 
 # A table of at most so many rows of a few numbers (tens of MB) may be broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -76,4 +76,4 @@ def map_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable, ch
     return picked.mapInPandas(run, ", ".join(schema)).toDF(*[f.name for f in keep], *made)
 
 
-__all__ = ["BROADCAST_ROWS", "arrow_rows", "free_name", "map_texts", "materialize", "sized", "table", "whole_number"]
+__all__ = ["BROADCAST_ROWS", "arrow_rows", "discard", "free_name", "map_texts", "materialize", "sized", "table", "whole_number"]

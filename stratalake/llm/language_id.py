@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import map_texts, materialize
+from stratalake.llm.common import arrow_rows, map_texts, materialize
 
 UNDETERMINED = "und"
 #: At most about so many labelled rows fit the machines.
@@ -34,6 +34,8 @@ FIT_ROWS = 4_000
 #: So many languages are learned at most, those with most labelled rows: machines grow with the square of a family.
 FIT_LANGUAGES = 256
 DIMENSIONS = 4096
+#: Rows in a batch for Python while fitting.
+BATCH_ROWS = 1_000
 #: Families by two-letter code. A language that is not listed is a family of its own.
 FAMILIES = {
     "germanic": "af da de en fo fy is lb nb nl nn no sv yi",
@@ -156,7 +158,8 @@ class Model:
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model from ``labelled`` (text, lang). Machines are fitted in tasks of their own, one for each pair."""
     spark = labelled.sparkSession
-    vectors = materialize(sample_rows(labelled, fit_rows).mapInPandas(_vectors, "lang string, x binary"), "lang-vectors")
+    with arrow_rows(spark, BATCH_ROWS):
+        vectors = materialize(sample_rows(labelled, fit_rows).mapInPandas(_vectors, "lang string, x binary"), "lang-vectors")
     languages = sorted(r["lang"] for r in vectors.select("lang").distinct().collect())
     families: dict[str, list[str]] = {}
     for language in languages:

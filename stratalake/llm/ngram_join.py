@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import arrow_rows, materialize, sized
+from stratalake.llm.common import arrow_rows, discard, materialize, sized
 from stratalake.llm.components import components
 
 BUCKETS = 1 << 17
@@ -186,18 +186,23 @@ def tile_keys(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     return sets.select("rid", "n", "shingles").mapInArrow(run, "sh bigint, band int, node bigint, n int, hot boolean")
 
 
-def _drop_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by sh, band and node those whose sh occurs again, with the first node of their tile.
+def _drop_single(percent: int):
+    return lambda batches: _shared(batches, percent)
+
+
+def _shared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by sh, n and node those whose sh occurs again, with their band and the first node of their tile.
 
     Holds one batch, one row and the last tile's first node, however long a run is.
     """
     held, center, before = None, None, None
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        if held is not None:
-            table = pa.concat_tables([held, table])
         if not len(table):
             continue
+        table = table.append_column("band", pa.array(band(table.column("n").to_numpy(), percent)))
+        if held is not None:
+            table = pa.concat_tables([held, table])
         sh, bands, node = (table.column(c).to_numpy() for c in ("sh", "band", "node"))
         new_sh = np.r_[True if before is None else sh[0] != before[0], sh[1:] != sh[:-1]]
         new_tile = new_sh | np.r_[True if before is None else bands[0] != before[1], bands[1:] != bands[:-1]]
@@ -217,19 +222,19 @@ def _drop_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from held.append_column("center", pa.array([last_center], type=pa.int64())).select(["sh", "band", "node", "n", "center"]).to_batches()
 
 
-def shared_keys(keys: DataFrame) -> DataFrame:
+def shared_keys(keys: DataFrame, percent: int) -> DataFrame:
     """sh, band, node, n, center: the keys that more than one class has; center is a class of the same tile.
 
     A key of a cold bucket is rare by construction, so its rows may meet in one
     task. Hot ones are counted with partial sums and joined back.
     """
     schema = "sh bigint, band int, node bigint, n int, center bigint"
-    cold = keys.where("NOT hot").select("sh", "band", "node", "n").repartition("sh").sortWithinPartitions("sh", "band", "node")
+    cold = keys.where("NOT hot").select("sh", "node", "n").repartition("sh").sortWithinPartitions("sh", "n", "node")
     hot = keys.where("hot").select("sh", "band", "node", "n")
     seen = hot.groupBy("sh", "band").agg(F.min("node").alias("center"), F.max("node").alias("_last"))
     whole = seen.groupBy("sh").agg(F.min("center").alias("_a"), F.max("_last").alias("_b")).where("_a < _b").select("sh")
     hot = hot.join(seen.join(whole, "sh", "left_semi").drop("_last"), ["sh", "band"])
-    return cold.mapInArrow(_drop_single, schema).unionByName(hot.select("sh", "band", "node", "n", "center"))
+    return cold.mapInArrow(_drop_single(percent), schema).unionByName(hot.select("sh", "band", "node", "n", "center"))
 
 
 def _passing(percent: int):
@@ -271,7 +276,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of one tile that are in different components and of sizes that can link.
+    """a, b: pairs of one tile that are in different components and of sizes that can link, as a written table.
 
     The component with most rows of a tile is met by the others only, never by itself.
     """
@@ -287,6 +292,7 @@ def _across(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
         "sh", "tile", F.col("_major.root").alias("major"), "rows", (F.col("rows") - F.col("_major.c")).alias("minor_rows")
     )
     rows = materialize(tiled.join(mixed, ["sh", "tile"]).drop("band"), "ngram-mixed")
+    discard(tiled)
     large = F.col("rows") * F.col("minor_rows") > TILE_PAIRS
     small_rows, large_rows = rows.where(~large), rows.where(large)
     left = small_rows.where("root <> major").select(
@@ -298,7 +304,10 @@ def _across(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     met = left.join(right, ["sh", "tile"]).where((F.col("ra") != F.col("rb")) & (F.col("big") | (F.col("a") < F.col("b"))) & fits)
     met = met.select("a", "b").union(_within_large(large_rows, sets, percent))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = materialize(pairs, "ngram-across")
+    discard(rows)
+    return pairs
 
 
 def _wide_bitmaps(sets: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -399,9 +408,12 @@ def _classes_and_roots(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFr
         "ngram-copies",
     )
     nodes = filled.join(sized(copies, copies.count()), "rid", "left_anti")
-    shared = materialize(shared_keys(materialize(tile_keys(nodes, bucket_counts(nodes), percent), "ngram-keys")), "ngram-shared")
+    keys = materialize(tile_keys(nodes, bucket_counts(nodes), percent), "ngram-keys")
+    shared = materialize(shared_keys(keys, percent), "ngram-shared")
+    discard(keys)
     first = verified(shared.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), sets, percent)
     roots = materialize(components(first), "ngram-roots")
-    second = verified(materialize(_across(shared, roots, sets, percent), "ngram-across"), sets, percent)
+    second = verified(_across(shared, roots, sets, percent), sets, percent)
+    discard(shared)
     stars = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
     return groups, components(stars.union(second))
