@@ -144,4 +144,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that :func:`materialize` made, once all that was derived from it has been written itself."""
+    spark = table.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table._scratch)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
