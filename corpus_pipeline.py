@@ -17,7 +17,7 @@ from stratalake.llm import byte_bpe, language_id, mixing, ngram_join, secret_sca
 from stratalake.llm.common import free_name, materialize, sized, table
 
 #: Rows in a batch for Python. All stages run in the same executors, one after another, so each keeps its batches small.
-BATCH_ROWS = 1_000
+BATCH_ROWS = 500
 #: Near duplicates: five words, a similarity of 0.8 or more.
 WIDTH, PERCENT = 5, 80
 

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from stratalake.llm.common import map_texts
 
 #: Pieces whose ids a task remembers; then it starts afresh.
-MEMO_PIECES = 200_000
-MEMO_PAIRS = 250_000
+MEMO_PIECES = 100_000
+MEMO_PAIRS = 100_000
 
 
 def read_ranks(path: str) -> list[bytes]:
