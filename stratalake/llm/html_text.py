@@ -7,8 +7,10 @@ adjusted by how much of the text is link text. The densities of a node's
 children are summed. The node with the largest sum is the core of the text; the
 lowest density on its path up to the body is the threshold, and further
 subtrees, each again the one of the largest sum, belong to the text if their
-densities reach it. A named article (``<article>``, ``<main>``) that holds the
-core is taken whole, so that its short paragraphs stay.
+densities reach it. Text that lies bare beside blocks is a subtree of its own, and
+a paragraph is never cut within. Densities choose on every page; a named article
+(``<article>``, ``<main>``) that holds a chosen subtree is then taken whole, so
+that its short paragraphs stay.
 
 Defined results: a null or empty page, and one without text outside of
 boilerplate, gives an empty text; unclosed and stray tags are repaired as
@@ -36,6 +38,7 @@ BLOCKS = frozenset(
     "tfoot thead tr ul".split()
 )
 INLINE_GAPS = frozenset("br td th option".split())
+CELLS = INLINE_GAPS - {"br"}
 CUT_TAGS = frozenset(
     "script style noscript template iframe object embed applet canvas svg math audio video map head title nav menu "
     "footer aside form button select textarea input label fieldset dialog search".split()
@@ -53,6 +56,8 @@ CUT_WORDS = frozenset(
     "form search".split()
 )
 MAIN_TAGS = frozenset(["article", "main"])
+# The name of a run of bare text and inline elements that lies beside blocks.
+RUN = ""
 CLOSES_P = BLOCKS - {"body", "html", "caption", "tbody", "thead", "tfoot", "tr"}
 # An opening tag ends an open element of these names, unless one of the second kind lies between.
 ENDS_OPEN = {
@@ -84,11 +89,12 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none")
 class Node:
     """An element. children: nodes and pieces of text in page order."""
 
-    __slots__ = ("tag", "parent", "children", "cut", "article", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "cut", "article", "chars", "tags", "link_chars", "link_tags", "density", "total", "blocky")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool = False, article: bool = False):
         self.tag, self.parent, self.cut, self.article = tag, parent, cut, article
         self.children: list[Node | str] = []
+        self.blocky = tag in BLOCKS or tag in CELLS  # or holds such an element
 
 
 def _is_cut(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
@@ -174,6 +180,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID:
             opened[tag] += 1
             node = child
+    _wrap_runs(root)
     return root
 
 
@@ -186,6 +193,34 @@ def _preorder(root: Node) -> list[Node]:
     return out
 
 
+def _wrap_runs(root: Node) -> None:
+    """Marks what holds blocks, and makes a node of every run of text and inline elements that lies beside blocks."""
+    for node in reversed(_preorder(root)):
+        kids = [x for x in node.children if isinstance(x, Node) and not x.cut and x.blocky]
+        node.blocky |= bool(kids)
+        if not kids or not any(isinstance(x, str) and not x.isspace() for x in node.children):
+            continue
+        out: list[Node | str] = []
+        run: list[Node | str] = []
+        for x in [*node.children, None]:
+            if x is not None and (isinstance(x, str) or not x.blocky):
+                run.append(x)
+                continue
+            if any(isinstance(y, str) and not y.isspace() for y in run):
+                made = Node(RUN, node)
+                made.children = run
+                for y in run:
+                    if isinstance(y, Node):
+                        y.parent = made
+                out.append(made)
+            else:
+                out += run
+            run = []
+            if x is not None:
+                out.append(x)
+        node.children = out
+
+
 def measure(root: Node) -> list[Node]:
     """All kept nodes in page order, with their densities and the sums over their children."""
     nodes = _preorder(root)
@@ -193,7 +228,7 @@ def measure(root: Node) -> list[Node]:
         own = sum(len(" ".join(_html.unescape(x).split())) for x in node.children if isinstance(x, str))
         kids = [x for x in node.children if isinstance(x, Node) and not x.cut]
         node.chars = own + sum(x.chars for x in kids)
-        node.tags = len(kids) + sum(x.tags for x in kids)
+        node.tags = sum((x.tag != RUN) + x.tags for x in kids)
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, 1 + sum(x.link_tags for x in kids)
         else:
@@ -208,8 +243,9 @@ def measure(root: Node) -> list[Node]:
         else:
             base = math.log(c / max(c - lc, 1) * lc + link_share * c + math.e)
             node.density = max(0.0, c / t * math.log(max(c / lc * t / max(lt, 1), 1.0)) / base)
-    for node in nodes:
-        node.total = sum(x.density for x in node.children if isinstance(x, Node) and not x.cut)
+    for node in reversed(nodes):
+        # A run is no element: its children count as its parent's.
+        node.total = sum(x.total if x.tag == RUN else x.density for x in node.children if isinstance(x, Node) and not x.cut)
         # Text that lies directly in a node counts as one child, else a paragraph would never be a core.
         own = sum(len(x.strip()) for x in node.children if isinstance(x, str))
         node.total += own if node.tag != "a" else 0
@@ -221,16 +257,12 @@ def select(root: Node) -> list[Node]:
     nodes = measure(root)
     if not root.chars:
         return []
-    core = max(nodes, key=lambda n: n.total)
-    named, scan = None, core
-    while scan is not None:
-        if scan.article:
-            named = scan
-        scan = scan.parent
-    if named is None and (articles := [n for n in nodes if n.article and n.chars]):
-        named = max(articles, key=lambda n: n.total)
-    if named is not None:
-        return [named]
+    # The node of the largest sum in each subtree, of equals the first one.
+    top: dict[int, Node] = {}
+    for node in reversed(nodes):
+        found = [top[id(x)] for x in node.children if isinstance(x, Node) and not x.cut]
+        top[id(node)] = max([node, *found], key=lambda n: n.total)
+    core = top[id(root)]
     threshold, scan = core.density, core
     while scan is not None:
         threshold, scan = min(threshold, scan.density), scan.parent
@@ -240,15 +272,31 @@ def select(root: Node) -> list[Node]:
         node = stack.pop()
         if node.density < threshold or not node.chars:
             continue
-        best = max(_preorder(node), key=lambda n: n.total)
+        best = top[id(node)]
+        # What is within a paragraph stands for the paragraph.
+        while best is not node and best.tag != RUN and not best.blocky:
+            best = best.parent
         chosen.append(best)
         # Siblings along the way down to the chosen subtree are judged on their own.
         scan = best
         while scan is not node:
             stack.extend(x for x in scan.parent.children if isinstance(x, Node) and not x.cut and x is not scan)
             scan = scan.parent
-    order = {id(n): i for i, n in enumerate(nodes)}
-    return sorted({id(n): n for n in chosen}.values(), key=lambda n: order[id(n)])
+    # A named article that holds a chosen subtree is taken whole, the outermost one. The tree may be deep, so each is looked up once.
+    article: dict[int, Node] = {}
+    for node in nodes:
+        above = article.get(id(node.parent))
+        if above is not None or node.article:
+            article[id(node)] = above or node
+    wanted = {id(article.get(id(n), n)) for n in chosen}
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if id(node) in wanted:
+            out.append(node)
+        else:
+            stack.extend(x for x in reversed(node.children) if isinstance(x, Node) and not x.cut)
+    return out
 
 
 def text_of(subtrees: list[Node]) -> str:

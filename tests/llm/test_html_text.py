@@ -60,3 +60,35 @@ def test_table(spark):
     assert got.columns == ["page_id", "url", "html", "_text", "text"]
     assert sorted((r["page_id"] or 0, r["text"], r["_text"] or 0) for r in got.collect()) == [(0, "", 0), (1, "a", 5), (1, "a", 5)]
     assert extract(pages.limit(0)).count() == 0
+
+
+LONG = "A sentence of the main text that is long enough to be dense and goes on for a while, as sentences do. "
+
+
+def test_a_teaser_article_does_not_replace_the_text():
+    paragraphs = [f"{i} {LONG * 3}".strip() for i in range(8)]
+    body = "<div id=content>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</div>"
+    page = SITE.format(body=f"<article><h3>More</h3><p><a href=/x>Read it</a></p></article>{body}")
+    assert main_text(page) == "\n".join(paragraphs)
+
+
+def test_sibling_articles_are_all_kept():
+    entries = [[f"{k}.{i} {LONG * 2}".strip() for i in range(4)] for k in range(4)]
+    articles = "".join("<article><h2>Title</h2>" + "".join(f"<p>{p}</p>" for p in e) + "</article>" for e in entries)
+    articles += "<article><p><a href=/x>Older</a></p></article>"
+    assert main_text(SITE.format(body=articles)) == "\n".join("\n".join(["Title", *e]) for e in entries)
+
+
+@pytest.mark.parametrize("wrap", ["{bare}<div>{text}</div>", "<div>{bare}<section>{text}</section></div>", "<span>{bare}<section>{text}</section></span>"])
+def test_bare_text_on_the_path_is_judged(wrap):
+    paragraphs = [f"{i} {LONG * 2}".strip() for i in range(12)]
+    text = "".join(f"<p>{p}</p>" for p in paragraphs)
+    bare, plain = f"{LONG * 3}with <b>bold</b> words", f"{LONG * 3}with bold words"
+    assert main_text(wrap.format(bare=bare, text=text)) == "\n".join([plain, *paragraphs])
+    assert main_text(wrap.format(bare="Skip", text=text)) == "\n".join(paragraphs)
+
+
+def test_a_paragraph_is_not_cut_within():
+    lines = "<br>".join([LONG] * 30)
+    page = f"<div>Bare words before. <span>{lines}</span> And after.</div>"
+    assert main_text(page) == " ".join(["Bare words before.", *[LONG.strip()] * 30, "And after."])
