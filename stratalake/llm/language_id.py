@@ -5,9 +5,10 @@ letters, anything else a blank). Linear support vector machines, one against one
 vote for a family; those that separate the languages of the winning family, one
 against one, vote for the language.
 
-The machines are fitted on a bounded sample of labelled rows (``FIT_ROWS``,
-shared equally among the languages, chosen by a hash of the text), one group of
-rows for each pair. Prediction covers every whole text.
+The machines are fitted on a bounded sample of labelled texts (``FIT_ROWS``,
+shared equally among the languages, those of the lowest hashes, each text once
+however often it stands in the table), one group of rows for each pair.
+Prediction covers every whole text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 with no labelled row every text is ``und``; with one language every other text is
@@ -23,15 +24,15 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import arrow_rows, map_texts, materialize
 
 UNDETERMINED = "und"
-#: At most about so many labelled rows fit the machines.
+#: At most so many labelled texts fit the machines, or one for each language if there are more languages.
 FIT_ROWS = 4_000
-#: So many languages are learned at most, those with most labelled rows: machines grow with the square of a family.
+#: So many languages are learned at most, those with most labelled texts: machines grow with the square of a family.
 FIT_LANGUAGES = 256
 DIMENSIONS = 4096
 #: Rows in a batch for Python while fitting.
@@ -93,14 +94,18 @@ def fit_machine(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int
 
 
 def sample_rows(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """text, lang: at most about fit_rows / languages rows of each language, those whose texts have the lowest hashes."""
-    rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("text").alias("_n")).orderBy(F.desc("_n"), "lang").limit(FIT_LANGUAGES)
+    """text, lang: of each language the fit_rows / languages texts of the lowest hashes, or all if it has fewer; no text twice."""
+    rows = labelled.select("text", "lang", F.xxhash64("text").alias("_h")).where("text IS NOT NULL AND lang IS NOT NULL")
+    # A text without a letter teaches nothing, so it takes no place.
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    texts = materialize(rows.select("lang", "_h").distinct(), "lang-texts")
+    counts = texts.groupBy("lang").agg(F.count("_h").alias("_n")).orderBy(F.desc("_n"), "lang").limit(FIT_LANGUAGES)
     counts = materialize(counts, "lang-counts")
     each = max(1, fit_rows // max(counts.count(), 1))
-    span = 1 << 30
-    chance = F.least(F.lit(1.0), F.lit(float(each)) / F.col("_n")) * span
-    return rows.join(counts, "lang").where(F.pmod(F.xxhash64("text"), F.lit(span)) < chance).drop("_n")
+    order = Window.partitionBy("lang").orderBy("_h")
+    lowest = texts.join(F.broadcast(counts.select("lang")), "lang").withColumn("_rank", F.row_number().over(order))
+    lowest = materialize(lowest.where(F.col("_rank") <= each).select("lang", "_h"), "lang-lowest")
+    return rows.join(F.broadcast(lowest), ["lang", "_h"]).dropDuplicates(["lang", "_h"]).select("text", "lang")
 
 
 def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -58,3 +58,25 @@ def test_sample_is_bounded_and_even(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     counts = {r["lang"]: r["count"] for r in lid.sample_rows(docs, 200).groupBy("lang").count().collect()}
     assert set(counts) == {"de", "en", "es", "fr"} and all(20 <= n <= 100 for n in counts.values())
+
+
+def test_copies_do_not_thin_out_the_sample(spark):
+    rows = [(f"wort {i % 40} nummer", "de") for i in range(4000)] + [("the same hot text", "en")] * 3000
+    rows += [(f"word {i} number", "en") for i in range(100)] + [(f"{i} !!", "en") for i in range(300)] + [(f"mot {i}", "fr") for i in range(7)]
+    docs = spark.createDataFrame([(t.replace(str(i % 10), "abcdefghij"[i % 10]), lang) for i, (t, lang) in enumerate(rows)], "text string, lang string")
+    texts = {}
+    for t, lang in docs.distinct().collect():
+        if any(map(str.isalpha, t)):
+            texts.setdefault(lang, set()).add(t)
+    sample = [tuple(r) for r in lid.sample_rows(docs, 90).select("lang", "text").collect()]
+    assert len(sample) == len(set(sample))
+    for lang, distinct in texts.items():
+        taken = {t for x, t in sample if x == lang}
+        assert taken <= distinct and len(taken) == min(30, len(distinct))
+
+
+def test_a_language_of_copies_is_learned(spark):
+    given = spark.read.parquet(f"{TESTDATA}/documents.parquet").select("text", "lang").where("lang != 'fr'")
+    copies = spark.createDataFrame([(f"le petit chat de la maison est dans le jardin {k}", "fr") for k in "abc"] * 3000, "text string, lang string")
+    model = lid.fit(given.unionByName(copies), 200)
+    assert model.families["romance"] == ["es", "fr"]
