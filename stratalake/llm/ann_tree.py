@@ -5,7 +5,10 @@ vector into one of ``BRANCHES ** LEVELS`` leaves. A query visits leaves in the o
 in which a priority queue over the nodes yields them, nearest centre first. How
 many it visits is calibrated: for ``CALIBRATION`` queries the true neighbours among
 all rows are computed in one pass, and visits are widened until the share of them
-whose leaf was visited reaches the target.
+whose leaf was visited reaches the target. This is done apart for queries in crowded
+leaves and for those in sparse ones, as clusters of copies need far fewer visits than
+what lies between them. However few its visits, a query goes on until the leaves hold
+as many others as are wanted.
 
 Leaves and the queries that visit them meet in blocks of bounded size, so a leaf
 that holds a third of all rows is many groups. Scores are cosines of the original
@@ -103,14 +106,15 @@ class Tree:
             todo += [(child, rows[own == c]) for c, child in enumerate(below)]
         return out
 
-    def visits(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves of a best-bin-first traversal."""
+    def visits(self, q: np.ndarray, most: int, held: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``most`` leaves of a best-bin-first traversal, and more until they hold ``least`` rows by ``held``."""
         near = self.centres @ q
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        queue, out, rows = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or rows < least):
             _, node = heapq.heappop(queue)
             if self.leaf_of[node] >= 0:
                 out.append(self.leaf_of[node])
+                rows += int(held[out[-1]]) if held is not None else 0
             for child in self.children[node]:
                 heapq.heappush(queue, (-float(near[child]), child))
         return out
@@ -194,35 +198,63 @@ class Index:
         schema = "id bigint, v array<double>, leaf int"
         self.rows = materialize(rows.mapInPandas(place, schema), "ann-rows") if tree else rows.withColumn("leaf", F.lit(0))
 
-    def calibrate(self, queries: DataFrame, k: int, target: float = TARGET_RECALL, most: int = CALIBRATION) -> int:
-        """How many leaves to visit, so that the share ``target`` of the true neighbours of ``most`` queries lies in them."""
-        count = queries.count()
-        picked = hash_sample(queries, count, most, 2).select("id", "v").dropDuplicates(["id"]).orderBy("id").toPandas()
+    def held(self) -> np.ndarray:
+        """Ids in each leaf; one that stands in several counts in the first of them only. Bounded by the tree."""
+        out = np.zeros(self.tree.leaves, dtype=np.int64)
+        homes = self.rows.groupBy("id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").agg(F.count("id").alias("n"))
+        for r in homes.collect():
+            out[r["leaf"]] = r["n"]
+        return out
+
+    def calibrate(self, queries: DataFrame, k: int, crowded: np.ndarray, target: float = TARGET_RECALL, most: int = CALIBRATION) -> tuple[int, int]:
+        """How many leaves to visit from a sparse and from a crowded leaf, so that the share ``target`` of the true neighbours
+        of ``most`` queries of either kind lies in them. ``crowded``: whether a leaf is."""
+        tree = self.tree
+
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    yield batch.assign(kind=crowded[tree.leaf(unit(stacked(batch["v"])))])
+
+        placed = materialize(queries.select("id", "v").mapInPandas(place, "id bigint, v array<double>, kind int"), "ann-asked")
+        counts = {r["kind"]: r["n"] for r in placed.groupBy("kind").agg(F.count("id").alias("n")).collect()}
+        parts = [hash_sample(placed.where(F.col("kind") == c), n, most, 2).toPandas() for c, n in sorted(counts.items())]
+        picked = pd.concat(parts).drop_duplicates("id").sort_values("id") if parts else pd.DataFrame({"id": []})
         if not len(picked):
-            return self.tree.leaves if self.tree else 0
-        true = brute_force(self.rows.select("id", "v"), picked, k)
+            return tree.leaves, tree.leaves
+        true = brute_force(self.rows.select("id", "v"), picked[["id", "v"]], k)
         leaf = self.rows.select(F.col("id").alias("vec_id"), "leaf")
         found = true.join(leaf, "vec_id").select("query_id", "leaf").collect()
         order = {
-            i: {leaf: p for p, leaf in enumerate(self.tree.visits(q, self.tree.leaves), 1)}
+            i: {leaf: p for p, leaf in enumerate(tree.visits(q, tree.leaves), 1)}
             for i, q in zip(picked["id"].tolist(), unit(stacked(picked["v"])))
         }
-        needed = sorted(order[r["query_id"]][r["leaf"]] for r in found)
-        return needed[max(0, math.ceil(target * len(needed)) - 1)] if needed else self.tree.leaves
+        kinds = dict(zip(picked["id"].tolist(), picked["kind"].tolist()))
+        out = []
+        for kind in (0, 1):
+            needed = sorted(order[r["query_id"]][r["leaf"]] for r in found if kinds[r["query_id"]] == kind)
+            out.append(needed[max(0, math.ceil(target * len(needed)) - 1)] if needed else tree.leaves)
+        return out[0], out[1]
 
     def search(self, queries: DataFrame, k: int = 5, visits: int | None = None) -> DataFrame:
-        """query_id, rank, vec_id, score. ``queries``: id, v, as vectors_of gives them; ``visits`` is calibrated if not given."""
+        """query_id, rank, vec_id, score. ``queries``: id, v, as vectors_of gives them; ``visits`` is calibrated if not given.
+
+        However few the visits, more follow until ``k`` others are met or no leaf is left.
+        """
         schema = "query_id bigint, vec_id bigint, score double"
         tree = self.tree
         if tree is None:
             return _best(queries.sparkSession.createDataFrame([], schema), k)
-        if visits is None:
-            visits = self.calibrate(queries, k)
+        held = self.held()
+        crowded = (held > held.mean()).astype(np.int32)
+        most = self.calibrate(queries, k, crowded) if visits is None else (visits, visits)
 
         def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 if len(batch):
-                    yield batch.assign(leaves=[tree.visits(q, visits) for q in unit(stacked(batch["v"]))])
+                    x = unit(stacked(batch["v"]))
+                    # Its own id may be among the rows a query meets.
+                    yield batch.assign(leaves=[tree.visits(q, most[c], held, k + 1) for q, c in zip(x, crowded[tree.leaf(x)])])
 
         planned = queries.select("id", "v").dropDuplicates(["id"]).mapInPandas(plan, "id bigint, v array<double>, leaves array<int>")
         planned = materialize(planned, "ann-queries").withColumn("leaf", F.explode("leaves")).drop("leaves")

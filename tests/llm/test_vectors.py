@@ -166,3 +166,38 @@ def test_traversal_visits_every_leaf_once():
     assert set(tree.leaf(x).tolist()) <= set(range(tree.leaves))
     same = ann_tree.Tree(np.ones((50, 4)) / 2)
     assert same.leaves == 1
+
+
+def test_every_query_gets_its_neighbours_beside_clusters_of_copies(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(4, 12))
+    vectors = [centres[i % 4] for i in range(1900)] + list(rng.normal(size=(100, 12)))
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = ann_tree.nearest(df, F.col("id") % 10 == 0).toPandas()
+    assert (found.groupby("query_id")["rank"].max() == 5).all() and found["query_id"].nunique() == 200
+    x = ann_tree.unit(np.array([v for _, v in rows]))
+    hits = 0
+    for q in range(1900, 2000, 10):
+        cos = x @ x[q]
+        cos[q] = -2
+        hits += len(set(np.lexsort((np.arange(2000), -cos))[:5]) & set(found[found["query_id"] == q]["vec_id"]))
+    assert hits >= 0.9 * 50
+
+
+@pytest.mark.parametrize("n", [2, 5, 6, 7])
+def test_tiny_tables_give_all_there_are(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(10 * i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(n, 3)))]
+    found = ann_tree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") >= 0).toPandas()
+    assert (found.groupby("query_id").size() == min(5, n - 1)).all() and found["query_id"].nunique() == n
+
+
+def test_visits_go_on_until_enough_rows_are_met():
+    x = ann_tree.unit(np.random.default_rng(3).normal(size=(500, 8)))
+    tree = ann_tree.Tree(x)
+    held = np.zeros(tree.leaves, dtype=int)
+    path = tree.visits(x[0], tree.leaves)
+    held[path[9]] = 6
+    assert tree.visits(x[0], 2, held, 6) == path[:10] and tree.visits(x[0], 12, held, 6) == path[:12]
+    assert tree.visits(x[0], 2, held, 7) == path
