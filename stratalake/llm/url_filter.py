@@ -1,9 +1,9 @@
 """URL filter: host and path rules first, gradient-boosted trees on lexical features for the rest.
 
 Everything is DataFrame functions and Spark's own tree learner; no Python runs on
-the executors. The trees learn from labelled URLs. For the suffix statistics and
-the fit a bounded sample of the labelled rows is taken (``FIT_ROWS``), chosen by
-hash; every other step covers all rows.
+the executors. The trees learn from labelled URLs. For the fit a bounded sample
+of them is taken (``FIT_ROWS``), half of either kind, chosen by hash from the
+distinct ones; every other step, the suffix statistics too, covers all rows.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and features of an empty text; repeated rows are judged alike; an empty table
@@ -22,10 +22,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import free_name, materialize
+from stratalake.llm.common import free_name, materialize, sized
 
 ALLOW, BLOCK = "allow", "block"
-#: At most about so many labelled URLs, chosen by hash, fit the trees.
+#: At most about so many labelled URLs, half of either kind, chosen by hash, fit the trees.
 FIT_ROWS = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -140,11 +140,11 @@ def features(url: Column, host_: Column, path_: Column) -> dict[str, Column]:
 
 
 def with_features(urls: DataFrame, suffixes: DataFrame, column: str, into: str) -> DataFrame:
-    """Adds the vector ``into``. ``suffixes``: _of, _block_rate, _seen; at most FIT_ROWS rows, so it goes to every task."""
+    """Adds the vector ``into``. ``suffixes``: _of, _block_rate, _seen, with a broadcast hint if they are few."""
     url = F.coalesce(F.col(f"`{column}`"), F.lit(""))
     own = {f"_f_{k}": v.cast("double") for k, v in features(url, F.col("host"), F.col("path")).items()}
     out = urls.withColumns(own).withColumn("_suffix", suffix(F.col("host")))
-    out = out.join(F.broadcast(suffixes), F.col("_suffix") == F.col("_of"), "left").drop("_of")
+    out = out.join(suffixes, F.col("_suffix") == F.col("_of"), "left").drop("_of")
     out = out.withColumns(
         {"_f_block_rate": F.coalesce("_block_rate", F.lit(0.5)), "_f_seen": F.log1p(F.coalesce("_seen", F.lit(0)))}
     )
@@ -173,21 +173,27 @@ class UrlModel:
 def fit(labelled: DataFrame, column: str = "url", label: str = "label", fit_rows: int = FIT_ROWS, rounds: int = 10, seed: int = 7) -> UrlModel:
     """Trees from ``labelled`` (url, label: 1 to block, 0 to allow; other labels are left out).
 
-    About ``fit_rows`` rows, those of lowest hash, are used; both kinds get the same total weight.
+    About ``fit_rows`` distinct URLs, half of either kind and those of lowest hash, are used, all of a kind that has fewer; both
+    kinds get the same total weight. The suffix statistics are of all rows.
     """
     url = F.coalesce(F.col(f"`{column}`"), F.lit(""))
     rows = labelled.select(url.alias("url"), F.col(f"`{label}`").cast("double").alias("label")).where(F.col("label").isin(0.0, 1.0))
-    count = rows.count()
-    share = min(1.0, fit_rows / max(count, 1))
-    span = 1 << 30
-    sample = rows.where(F.pmod(F.xxhash64("url", F.lit(seed)), F.lit(span)) < F.lit(int(share * span)))
-    sample = materialize(sample.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))}), "url-sample")
     suffixes = materialize(
-        sample.groupBy(suffix(F.col("host")).alias("_of")).agg(
+        rows.groupBy(suffix(host(F.col("url"))).alias("_of")).agg(
             ((F.sum("label") + 1) / (F.count("label") + 2)).alias("_block_rate"), F.count("label").alias("_seen")
         ),
         "url-suffixes",
     )
+    suffixes = sized(suffixes, suffixes.count())
+    hashed = F.xxhash64("url", F.lit(seed))
+    distinct = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count_distinct(hashed).alias("n")).collect()}
+    if len(distinct) < 2:
+        return UrlModel(None, suffixes)
+    span = 1 << 30
+    below = {k: int(min(1.0, fit_rows / 2 / n) * span) for k, n in distinct.items()}
+    sample = rows.where(F.pmod(hashed, F.lit(span)) < F.when(F.col("label") == 1.0, F.lit(below[1.0])).otherwise(F.lit(below[0.0])))
+    sample = sample.dropDuplicates(["url", "label"])
+    sample = materialize(sample.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))}), "url-sample")
     kinds = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("url").alias("n")).collect()}
     if len(kinds) < 2:
         return UrlModel(None, suffixes)

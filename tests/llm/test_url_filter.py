@@ -91,3 +91,21 @@ def test_trees_learn_lexical_patterns(spark):
     test = spark.createDataFrame(rows[400:], "url string, label int")
     scored = model.score(test.withColumns({"host": uf.host(F.col("url")), "path": uf.path(F.col("url"))}), "url", "p").collect()
     assert sum((r["p"] > 0.5) == bool(r["label"]) for r in scored) >= 0.97 * len(scored)
+
+
+def test_a_rare_verdict_and_a_hot_url_leave_both_kinds_in_the_sample(spark):
+    rows = [(f"https://news.example.com/{i}/story", 0) for i in range(2000)] + [("https://hot.example.com/", 0)] * 3000
+    rows += [(f"http://win{i}-prize.example.info/?id={i}&x=1", 1) for i in range(3)]
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    model = uf.fit(labelled, fit_rows=60)
+    assert model.trees is not None
+    asked = spark.createDataFrame([("http://win9-prize.example.info/?id=9&x=1",), ("https://news.example.com/9999/story",)], "url string")
+    asked = asked.withColumns({"host": uf.host(F.col("url")), "path": uf.path(F.col("url"))})
+    assert [r["p"] > 0.5 for r in model.score(asked, "url", "p").orderBy("url").collect()] == [True, False]
+
+
+def test_suffix_statistics_are_of_all_rows(spark):
+    rows = [(f"https://a{i}.example.com/x", i % 2) for i in range(3000)] + [("http://b.zz/", 1)] * 500
+    model = uf.fit(spark.createDataFrame(rows, "url string, label int"), fit_rows=40)
+    got = {r["_of"]: (r["_seen"], r["_block_rate"]) for r in model.suffixes.collect()}
+    assert got == {"com": (3000, 1501 / 3002), "zz": (500, 501 / 502)}
