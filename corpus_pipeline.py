@@ -32,11 +32,16 @@ def _columns(names: list[str]) -> list[str]:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language: texts that are null or have no letter go."""
+    """Documents in some language: texts that are null or have no letter go, and nothing else.
+
+    Which language it is decides nothing, so a table without a label to learn from loses the same rows.
+    """
     _small_batches(spark)
     guess, score = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
     named = language_id.identify(docs, into=guess, score=score)
-    return named.where(F.col(guess) != language_id.UNDETERMINED).select(*_columns(docs.columns))
+    # Without a model every guess is undetermined, which says nothing about the text.
+    known = (F.col(guess) != language_id.UNDETERMINED) | F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return named.where(known).select(*_columns(docs.columns))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

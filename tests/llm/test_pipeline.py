@@ -59,3 +59,10 @@ def test_near_duplicate_stage_by_rows(spark):
 def test_secret_stage_counts_characters(spark):
     for r in pipeline.remove_secrets(spark, documents(spark), SF).collect():
         assert r["n_chars"] == (len(r["text"]) if r["text"] is not None else None)
+
+
+def test_language_stage_without_labels_loses_letterless_texts_only(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20).selectExpr("doc_id", "text", "cast(null as string) lang", "source", "n_chars")
+    odd = spark.createDataFrame([(-1, "12 !!", None, "s", 5), (-2, None, None, "s", 0), (-3, "é", None, "s", 1)], docs.schema)
+    kept = {r["doc_id"] for r in pipeline.keep_languages(spark, docs.unionByName(odd), SF).collect()}
+    assert kept == {r["doc_id"] for r in docs.collect()} | {-3}
