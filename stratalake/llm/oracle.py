@@ -82,4 +82,36 @@ SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)
 FROM n LEFT JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_join": OP5, "op10_chat_format": OP10}
+OP13 = r"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), k AS (
+    SELECT lang, term FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 30
+), c AS (
+    SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(words) AS term FROM d) SEMI JOIN k USING (lang, term) GROUP BY ALL
+), v AS (
+    SELECT lang, count(*) AS v FROM k GROUP BY lang
+), g AS (
+    SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) g
+    LEFT JOIN v USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)
+), p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        (1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (g.total + 5 * g.v))::bigint AS p
+    FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), l AS (
+    SELECT lang, term, (1 + 1000000000::hugeint * (sum(n) + 5) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v)))::bigint AS q
+    FROM c JOIN v USING (lang) GROUP BY lang, term
+), f AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::bigint AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::int AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50
+"""
+
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_join": OP5, "op10_chat_format": OP10, "op13_source_divergence": OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import ann_tree, byte_bpe, chat, html_text, language_id, mixing, ngram_join, secret_scan, url_filter, vector_dedup
+from stratalake.llm import ann_tree, byte_bpe, chat, divergence, html_text, language_id, mixing, ngram_join, secret_scan, url_filter, vector_dedup
 from stratalake.llm.common import table
 
 
@@ -88,6 +88,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_main_text": op2_main_text,
@@ -99,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_vector_links": op9_vector_links,
     "op10_chat_format": op10_chat_format,
+    "op13_source_divergence": op13_source_divergence,
 }
