@@ -82,6 +82,24 @@ SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)
 FROM n LEFT JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n
 """
 
+OP11 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.e, b.e)::bigint AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::int AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 OP13 = r"""
 WITH d AS (
     SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
@@ -114,4 +132,4 @@ SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, s
 FROM r QUALIFY part = 'pair' OR rank <= 50
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_join": OP5, "op10_chat_format": OP10, "op13_source_divergence": OP13}
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_join": OP5, "op10_chat_format": OP10, "op11_hard_negatives": OP11, "op13_source_divergence": OP13}

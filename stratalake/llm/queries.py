@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import ann_tree, byte_bpe, chat, divergence, html_text, language_id, mixing, ngram_join, secret_scan, url_filter, vector_dedup
+from stratalake.llm import ann_tree, byte_bpe, chat, divergence, hard_negatives, html_text, language_id, mixing, ngram_join, secret_scan, url_filter, vector_dedup
 from stratalake.llm.common import table
 
 
@@ -88,6 +88,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -103,5 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_vector_links": op9_vector_links,
     "op10_chat_format": op10_chat_format,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_source_divergence": op13_source_divergence,
 }
