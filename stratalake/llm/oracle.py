@@ -100,6 +100,26 @@ FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 *
 QUALIFY rank <= 10
 """
 
+OP12 = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+    SELECT doc_id, s, md5(array_to_string(words[s:s + 19], ' ')) AS passage FROM (SELECT *, unnest(range(1, len(words) - 18)) AS s FROM d)
+), f AS (
+    SELECT passage, min((doc_id, s)) AS first FROM w GROUP BY passage HAVING count(*) > 1
+), g AS (
+    -- Words of later windows, once each.
+    SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS k FROM w JOIN f USING (passage) WHERE (doc_id, s) <> first
+), l AS (
+    SELECT doc_id, list(k) AS gone FROM g GROUP BY doc_id
+), k AS (
+    SELECT doc_id, len(words)::bigint AS n_words, len(coalesce(gone, []))::bigint AS n_removed, CASE WHEN gone IS NULL THEN words ELSE
+        list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda p: NOT list_contains(gone, p[2])), lambda p: p[1]) END AS kept
+    FROM d LEFT JOIN l USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
 OP13 = r"""
 WITH d AS (
     SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
@@ -132,4 +152,4 @@ SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, s
 FROM r QUALIFY part = 'pair' OR rank <= 50
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_join": OP5, "op10_chat_format": OP10, "op11_hard_negatives": OP11, "op13_source_divergence": OP13}
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op5_ngram_join": OP5, "op10_chat_format": OP10, "op11_hard_negatives": OP11, "op12_substring_dedup": OP12, "op13_source_divergence": OP13}

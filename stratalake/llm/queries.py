@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import ann_tree, byte_bpe, chat, divergence, hard_negatives, html_text, language_id, mixing, ngram_join, secret_scan, url_filter, vector_dedup
+from stratalake.llm import (
+    ann_tree,
+    byte_bpe,
+    chat,
+    divergence,
+    hard_negatives,
+    html_text,
+    language_id,
+    mixing,
+    ngram_join,
+    secret_scan,
+    substring_dedup,
+    url_filter,
+    vector_dedup,
+)
 from stratalake.llm.common import table
 
 
@@ -93,6 +107,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -109,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_vector_links": op9_vector_links,
     "op10_chat_format": op10_chat_format,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_source_divergence": op13_source_divergence,
 }
