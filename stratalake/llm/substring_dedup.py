@@ -8,7 +8,7 @@ arises depends on a known stretch of words: a pair on its own, all else on its
 neighbours, too. Wherever this stretch stands, the symbol stands.
 
 Every window of ``width`` words therefore holds the same symbols wherever it is,
-and is filed under one of them: of the highest round that has a symbol whose
+and is filed under one of them: of the last round that has a symbol whose
 stretch lies within the window, the first. Neighbouring windows share it, so what
 is exchanged is one symbol with its place for several windows, and a short hash of
 each. Windows that no symbol of the second round fits into are filed under
@@ -49,8 +49,8 @@ WIDTH = 20
 BATCH_BYTES, PIECE_WORDS = 6 << 20, 1 << 18
 #: Windows that a partition gets to compare, on average.
 PARTITION_WINDOWS = 1 << 20
-#: Symbols of earlier rounds are too common to file under.
-FIRST_ROUND = 2
+#: Symbols of earlier rounds are too common to file under, and of later ones rarely lie in a window; so many windows share one on average: 5.
+FIRST_ROUND, LAST_ROUND = 2, 4
 _HASH_BYTES = 1 << 20
 _FAR = 1 << 40
 
@@ -183,14 +183,9 @@ def _windows(hashes: np.ndarray, doc: np.ndarray, width: int, powers: _Powers):
     whole = _mixed(_spans(sums, down, place, place + width))
     name, lead = _mixed(whole + _u(11)), np.zeros(len(place), np.int64)
     symbols = _Symbols(hashes, np.arange(n), np.arange(1, n + 1), doc)
-    number = 0
-    while len(place):
-        number += 1
+    for number in range(1, LAST_ROUND + 1) if len(place) else ():
         symbols, new = symbols.next(number)
-        fits = symbols.high - symbols.low <= width
-        if not fits.any():
-            break
-        new &= fits
+        new &= symbols.high - symbols.low <= width
         if number < FIRST_ROUND or not new.any():
             continue
         low, high = symbols.low[new], symbols.high[new]
