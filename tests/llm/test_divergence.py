@@ -1,0 +1,96 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from edge import documents
+
+from stratalake.llm import divergence as D
+
+_TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain(rows, least, top):
+    """lang, source, part, item, value, rank of (lang, source, text) rows: by all terms and all pairs."""
+    counts, documents_of = {}, {}
+    for lang, source, text in rows:
+        lang, source = lang or "", source or ""
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = _TERM.findall(lower)
+        counts.setdefault(lang, {}).setdefault(source, Counter()).update(words)
+        documents_of.setdefault(lang, Counter()).update(set(words))
+    out = []
+    for lang, sources in counts.items():
+        kept = [t for t, n in documents_of[lang].items() if n >= least]
+        whole = sum(sources.values(), Counter())
+
+        def rates(counter):
+            total = sum(counter[t] for t in kept) + D.SMOOTH * len(kept)
+            return {t: 1 + D.SCALE * (counter[t] + D.SMOOTH) // total for t in kept}
+
+        p, q = {s: rates(c) for s, c in sources.items()}, rates(whole)
+        for s in sources:
+            pairs = [(sum(abs(p[s][t] - p[o][t]) for t in kept), o) for o in sources if o != s]
+            terms = [(p[s][t] - q[t], t) for t in kept if sources[s][t] and p[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda f: (-f[0], f[1].encode()))
+                out += [(lang, s, part, item, value, i + 1) for i, (value, item) in enumerate(found[:most])]
+    return sorted(out)
+
+
+def got(df):
+    return sorted((r["lang"], r["source"], r["part"], r["item"], r["value"], r["rank"]) for r in df.collect())
+
+
+def made(n, sources, seed):
+    rng = random.Random(seed)
+    words = ["The", "the", "naïve", "Über", "x1y", "don't", "日本", "a_b", "z" * 50, *(f"w{chr(97 + i)}" for i in range(20))]
+    pick = lambda: " ".join(rng.choices(words, weights=range(len(words), 0, -1), k=rng.randint(0, 40)))
+    return [(rng.choice(["en", "de", None]), rng.choice([*sources, None]), pick() if rng.random() < 0.95 else None) for _ in range(n)]
+
+
+@pytest.mark.parametrize("least,sources", [(1, ["a", "b"]), (3, list("abcdefgh")), (10, ["ä", "B", ""])])
+def test_as_by_all_terms_and_pairs(spark, least, sources):
+    rows = made(150, sources, least)
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").repartition(4)
+    assert got(D.audit(docs, least=least, top=4)) == plain(rows, least, 4)
+
+
+def test_tree_hands_on_in_parts(spark, monkeypatch):
+    rows = made(150, list("abcdefgh"), 2)
+    docs = spark.createDataFrame(rows, "lang string, source string, text string")
+    corrections, counted = D._corrections, D._counted
+
+    def small(batches):
+        D.HELD_CORRECTIONS = 3
+        return corrections(batches)
+
+    monkeypatch.setattr(D, "_corrections", small)
+    monkeypatch.setattr(D, "HELD_TERMS", 5)
+    assert got(D.audit(docs, least=2)) == plain(rows, 2, 50)
+
+
+def test_a_node_meets_its_ancestors_once_for_all_its_terms():
+    import pandas as pd
+
+    a, b, c = ({"source": s, "p": p, "lacking": 10} for s, p in (("a", 50), ("b", 20), ("c", 30)))
+    rows = pd.DataFrame({"lang": ["x"] * 3, "row": [[a, b], [a, b, c], [b, c]], "terms": [4, 2, 1]})
+    out = pd.concat(D._corrections(iter([rows])))
+    both = {(r.a, r.b): r.both for r in out.itertuples()}
+    # |50 - 20| - |50 - 10| - |10 - 20| = -20 for six terms; |20 - 30| - 10 - 20 for three; |50 - 30| - 40 - 20 for two.
+    assert both == {("a", "b"): -120, ("b", "c"): -60, ("a", "c"): -80}
+
+
+def test_edge_rows(spark):
+    docs = documents(spark)
+    rows = [(r["lang"], r["source"], r["text"]) for r in docs.collect()]
+    assert got(D.audit(docs, least=2)) == plain(rows, 2, 50)
+    # No term is frequent: every source is there, with distances of 0.
+    none = D.audit(docs, least=1000)
+    assert got(none) == plain(rows, 1000, 50) and {r["value"] for r in none.collect()} == {0}
+    assert D.audit(docs.limit(0)).count() == 0
+
+
+def test_rates_beyond_64_bits(spark):
+    row = spark.range(1).select(D._rate(*(D.F.lit(v).cast("long") for v in (9 * 10**17, 10**18, 7)))).first()
+    assert row[0] == 1 + 10**9 * (9 * 10**17 + 5) // (10**18 + 35)
