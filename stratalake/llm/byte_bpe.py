@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 
 from stratalake.llm.common import map_texts
 
-#: Pieces whose ids a task remembers; then it starts afresh.
-MEMO_PIECES = 100_000
+#: Pieces whose ids a task remembers, some 200 bytes each.
+MEMO_PIECES = 1_000_000
+#: A longer piece hardly comes again.
+MEMO_LENGTH = 64
 MEMO_PAIRS = 100_000
 
 
@@ -154,26 +156,29 @@ class Encoder:
 
 
 class _Memo(dict):
-    """Packed ids of pieces."""
+    """Packed ids of pieces, in two generations."""
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, pieces: int):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.half, self.older = encoder, max(1, pieces // 2), {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encoder.encode(piece.encode("utf-8"))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) >= MEMO_PIECES:
-            self.clear()
-        if len(piece) <= 64:
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.encoder.encode(piece.encode("utf-8"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= MEMO_LENGTH:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
             self[piece] = packed
         return packed
 
 
-def text_encoder(tokens: list[bytes], merges: np.ndarray, pattern: str) -> Callable[[str | None], bytes]:
+def text_encoder(tokens: list[bytes], merges: np.ndarray, pattern: str, memo_pieces: int = MEMO_PIECES) -> Callable[[str | None], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers."""
     find = regex.compile(pattern).findall
-    ids_of = _Memo(Encoder(tokens, merges)).__getitem__
+    ids_of = _Memo(Encoder(tokens, merges), memo_pieces).__getitem__
 
     def encode(text: str | None) -> bytes:
         return b"".join(map(ids_of, find(text))) if text else b""
@@ -189,13 +194,15 @@ def decode(packed: bytes, tokens: list[bytes]) -> bytes:
     return b"".join(map(tokens.__getitem__, unpack(packed).tolist()))
 
 
-def encode_texts(df: DataFrame, path: str, pattern: str, column: str = "text", into: str = "ids") -> DataFrame:
+def encode_texts(
+    df: DataFrame, path: str, pattern: str, column: str = "text", into: str = "ids", memo_pieces: int = MEMO_PIECES
+) -> DataFrame:
     """``df`` with the ids of ``column`` in ``into``, an array of int. One pass; no row is moved."""
     tokens = read_ranks(path)
     merges = merges_of(tokens)
 
     def of():
-        encode = text_encoder(tokens, merges, pattern)
+        encode = text_encoder(tokens, merges, pattern, memo_pieces)
         return lambda texts: [(unpack(encode(text)).astype(np.int32),) for text in texts]
 
     return map_texts(df, column, {into: "array<int>"}, of)

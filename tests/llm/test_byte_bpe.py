@@ -64,6 +64,17 @@ def test_one_very_long_piece_takes_linear_time():
     assert len(byte_bpe.Encoder(TOKENS, MERGES).encode(b"a" * 300_000)) > 1000
 
 
+@pytest.mark.parametrize("pieces", [1, 2, 7, 1000])
+def test_memo_of_any_size_changes_nothing(pieces):
+    encode = byte_bpe.text_encoder(TOKENS, MERGES, P.PATTERN, pieces)
+    text = " ".join(f"piece{i % 40} once{i}" for i in range(300)) + " " + "x" * 100
+    for _ in range(2):
+        assert byte_bpe.unpack(encode(text)).tolist() == REFERENCE.encode_ordinary(text)
+    memo = encode.__closure__
+    held = next(c.cell_contents.__self__ for c in memo if isinstance(getattr(c.cell_contents, "__self__", None), byte_bpe._Memo))
+    assert len(held) + len(held.older) <= max(2, pieces) and all(len(p) <= byte_bpe.MEMO_LENGTH for p in held)
+
+
 def test_documents_round_trip(spark):
     docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").select("doc_id", "text")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
