@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +56,33 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    """The C library's call that hands free pages back; nothing where it has none."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda pad: 0
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, which afterwards hands the memory it no longer uses back to the system.
+
+    Python workers live on and serve later stages. What they keep of an earlier
+    one's batches would count on top of what the next one needs.
+    """
+
+    def lean(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            _trim()(0)
+
+    return lean
+
+
 def map_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable, chunk: int = 256) -> DataFrame:
     """``df`` with new columns ``made`` (name: type), which replace columns of those names.
 
@@ -73,7 +104,7 @@ def map_texts(df: DataFrame, column: str, made: dict[str, str], of: Callable, ch
 
     schema = [f"{k} {f.dataType.simpleString()}" for k, f in zip(kept, keep)] + [f"{n} {t}" for n, t in zip(new, made.values())]
     picked = df.select(*[F.col(f"`{f.name}`").alias(k) for k, f in zip(kept, keep)], F.col(f"`{column}`").alias("text"))
-    return picked.mapInPandas(run, ", ".join(schema)).toDF(*[f.name for f in keep], *made)
+    return picked.mapInPandas(giving_back(run), ", ".join(schema)).toDF(*[f.name for f in keep], *made)
 
 
-__all__ = ["BROADCAST_ROWS", "arrow_rows", "discard", "free_name", "map_texts", "materialize", "sized", "table", "whole_number"]
+__all__ = ["BROADCAST_ROWS", "arrow_rows", "discard", "free_name", "giving_back", "map_texts", "materialize", "sized", "table", "whole_number"]

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import arrow_rows, map_texts, materialize
+from stratalake.llm.common import arrow_rows, giving_back, map_texts, materialize
 
 UNDETERMINED = "und"
 #: At most so many labelled texts fit the machines, or one for each language if there are more languages.
@@ -164,7 +164,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model from ``labelled`` (text, lang). Machines are fitted in tasks of their own, one for each pair."""
     spark = labelled.sparkSession
     with arrow_rows(spark, BATCH_ROWS):
-        vectors = materialize(sample_rows(labelled, fit_rows).mapInPandas(_vectors, "lang string, x binary"), "lang-vectors")
+        vectors = materialize(sample_rows(labelled, fit_rows).mapInPandas(giving_back(_vectors), "lang string, x binary"), "lang-vectors")
     languages = sorted(r["lang"] for r in vectors.select("lang").distinct().collect())
     families: dict[str, list[str]] = {}
     for language in languages:

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import arrow_rows, discard, materialize, sized
+from stratalake.llm.common import arrow_rows, discard, giving_back, materialize, sized
 from stratalake.llm.components import components
 
 BUCKETS = 1 << 17
@@ -130,7 +130,7 @@ def shingle_sets(docs: DataFrame, width: int, id_column: str, text_column: str)
                 )
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("t"))
-    made = rows.mapInPandas(run, "id bigint, n int, name binary, sig binary, shingles binary")
+    made = rows.mapInPandas(giving_back(run), "id bigint, n int, name binary, sig binary, shingles binary")
     return materialize(made.withColumn("rid", F.monotonically_increasing_id()), "shingle-sets")
 
 
@@ -145,7 +145,7 @@ def bucket_counts(sets: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "c": total[at]})
 
-    counted = sets.select("shingles").mapInPandas(run, "bucket int, c bigint").groupBy("bucket").agg(F.sum("c").alias("c")).toPandas()
+    counted = sets.select("shingles").mapInPandas(giving_back(run), "bucket int, c bigint").groupBy("bucket").agg(F.sum("c").alias("c")).toPandas()
     out = np.zeros(BUCKETS, dtype=np.int64)
     out[counted["bucket"].to_numpy(dtype=np.int64)] = counted["c"].to_numpy(dtype=np.int64)
     return out
@@ -183,7 +183,7 @@ def tile_keys(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                 schema=schema,
             )
 
-    return sets.select("rid", "n", "shingles").mapInArrow(run, "sh bigint, band int, node bigint, n int, hot boolean")
+    return sets.select("rid", "n", "shingles").mapInArrow(giving_back(run), "sh bigint, band int, node bigint, n int, hot boolean")
 
 
 def _drop_single(percent: int):
@@ -234,7 +234,7 @@ def shared_keys(keys: DataFrame, percent: int) -> DataFrame:
     seen = hot.groupBy("sh", "band").agg(F.min("node").alias("center"), F.max("node").alias("_last"))
     whole = seen.groupBy("sh").agg(F.min("center").alias("_a"), F.max("_last").alias("_b")).where("_a < _b").select("sh")
     hot = hot.join(seen.join(whole, "sh", "left_semi").drop("_last"), ["sh", "band"])
-    return cold.mapInArrow(_drop_single(percent), schema).unionByName(hot.select("sh", "band", "node", "n", "center"))
+    return cold.mapInArrow(giving_back(_drop_single(percent)), schema).unionByName(hot.select("sh", "band", "node", "n", "center"))
 
 
 def _passing(percent: int):
@@ -266,13 +266,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sigs = sets.select("rid", "n", "sig")
     joined = pairs.join(sigs.toDF("a", "n_a", "sig_a"), "a").join(sigs.toDF("b", "n_b", "sig_b"), "b")
     joined = joined.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    passed = materialize(joined.mapInPandas(_passing(percent), "a bigint, b bigint"), "ngram-pairs")
+    passed = materialize(joined.mapInPandas(giving_back(_passing(percent)), "a bigint, b bigint"), "ngram-pairs")
     needed = materialize(
         passed.select(F.col("a").alias("rid")).union(passed.select(F.col("b").alias("rid"))).distinct(), "ngram-needed"
     )
     arrays = sets.select("rid", "shingles").join(sized(needed, needed.count()), "rid", "left_semi")
     both = passed.join(arrays.toDF("a", "set_a"), "a").join(arrays.toDF("b", "set_b"), "b")
-    return materialize(both.mapInPandas(_linked(percent), "a bigint, b bigint"), "ngram-links")
+    return materialize(both.mapInPandas(giving_back(_linked(percent)), "a bigint, b bigint"), "ngram-links")
 
 
 def _across(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -319,7 +319,7 @@ def _wide_bitmaps(sets: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pd.DataFrame({"node": batch["rid"], "wide": made})
 
     wanted = sets.select("rid", "shingles").join(sized(nodes, nodes.count()), "rid", "left_semi")
-    return wanted.mapInPandas(run, "node bigint, wide binary")
+    return wanted.mapInPandas(giving_back(run), "node bigint, wide binary")
 
 
 def _folded(column: pd.Series, size: int) -> np.ndarray:
