@@ -17,7 +17,9 @@ from stratalake.llm import byte_bpe, language_id, mixing, ngram_join, secret_sca
 from stratalake.llm.common import free_name, materialize, sized, table
 
 #: Rows in a batch for Python. All stages run in the same executors, one after another, so each keeps its batches small.
-BATCH_ROWS = 500
+BATCH_ROWS = 300
+#: Pieces whose ids a task of the last stage remembers.
+MEMO_PIECES = 50_000
 #: Near duplicates: five words, a similarity of 0.8 or more.
 WIDTH, PERCENT = 5, 80
 
@@ -85,7 +87,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids: one row per document of the mix."""
     _small_batches(spark)
     texts = docs.select("doc_id", "lang", "source", "text")
-    made = byte_bpe.encode_texts(texts, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    made = byte_bpe.encode_texts(texts, vocabulary, public_tokenizers.PATTERN, memo_pieces=MEMO_PIECES)
     return made.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids")
 
 
