@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from stratalake.operators.aggregates import one_row, require_unique
 from stratalake.operators.history import apply_versions, scd2_from_snapshot
 from stratalake.operators.latest import latest_records
+from stratalake.operators.observations import DELETED as DELETED_FLAG
+from stratalake.operators.observations import merge_observations, operations, versions_of
 from stratalake.session import materialize
 from stratalake.sources.config import ChangeSettings
 
@@ -255,10 +257,16 @@ def apply_configured(
     one row per key, or folds it into a history when the strategy is TYPE2, and
     then tracks every column but the keys and the sequence. The sequence is
     cast to its configured type first, so that numbers do not compare as text.
+
+    FEED with strategy TYPE2 keeps every operation, deletes included, as one row
+    per key and sequence; :func:`configured_history` reads the versions off
+    them. So operations may come late, and batches in any order.
     """
     mode = settings.cdc_mode.strip().upper()
     sequence = settings.sequence_column
     typed = incoming.withColumn(sequence, F.col(sequence).cast(settings.sequence_type))
+    if mode == "FEED" and settings.snapshot_strategy and settings.snapshot_strategy.strip().upper() == "TYPE2":
+        return merge_observations(target, operations(typed, settings.operation_column, DELETE_CODES), keys, [sequence])
     if mode == "FEED":
         return apply_changes(
             target, typed, keys, settings.operation_column, sequence, settings.delete_handling
@@ -271,3 +279,12 @@ def apply_configured(
         tracked = [c for c in newest.columns if c not in {*keys, sequence}]
         return scd2_from_snapshot(target, newest, keys, tracked, sequence)
     return newest if target is None else scd1_upsert(target, newest, keys, check_unique=False)
+
+
+def configured_history(
+    operations_kept: DataFrame, keys: Sequence[str], settings: ChangeSettings, tracked: Sequence[str] | None = None
+) -> DataFrame:
+    """The type 2 history of a FEED source with strategy TYPE2, from the table that :func:`apply_configured` keeps."""
+    sequence = settings.sequence_column
+    tracked = list(tracked) if tracked is not None else [c for c in operations_kept.columns if c not in {*keys, sequence, DELETED_FLAG}]
+    return versions_of(operations_kept, keys, tracked, [sequence])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,3 +50,20 @@ def global_row_number(
         .withColumn(alias, (F.col("_offset") + position + 1).cast("long"))
         .drop("_place", "_part", "_offset")
     )
+
+
+def stable_numbers(registry: DataFrame | None, rows: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
+    """The registry (``keys``, ``alias``) with a number for every key of ``rows``.
+
+    Numbers once given stay. New keys get the numbers after the largest one, in
+    their own order, without gaps; a batch that comes again brings no new key. NULL
+    is a key like any other.
+    """
+    found = rows.select(*keys).distinct()
+    if registry is None:
+        return global_row_number(found, list(keys), alias)
+    same = reduce(lambda a, b: a & b, [F.col(f"f.`{k}`").eqNullSafe(F.col(f"g.`{k}`")) for k in keys])
+    new = found.alias("f").join(registry.alias("g"), same, "left_anti")
+    largest = registry.agg(F.coalesce(F.max(alias), F.lit(0))).first()[0]
+    numbered = global_row_number(new, list(keys), alias)
+    return registry.unionByName(numbered.withColumn(alias, F.col(alias) + F.lit(largest)))

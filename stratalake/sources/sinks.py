@@ -112,3 +112,54 @@ def read_published(spark: SparkSession, root: str, before: int | None = None) ->
     """The newest complete version, or the newest one below ``before``; None if there is none."""
     ready = [v for v in versions(spark, root) if before is None or v < before]
     return spark.read.parquet(version_path(root, ready[-1])) if ready else None
+
+
+def append_batch(df: DataFrame, root: str, batch: str) -> str:
+    """Append ``df`` as the batch named ``batch``; the same batch again takes its own place, so nothing is appended twice.
+
+    A batch counts once it is complete (see :func:`read_batches`).
+    """
+    if not batch or not all((c.isascii() and c.isalnum()) or c in "-_" for c in batch):
+        raise ValueError(f"a batch name has letters, digits, - and _ only: {batch!r}")
+    path = f"{root.rstrip('/')}/batch={batch}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def append_raw_batch(df: DataFrame, api_name: str, root: str, batch: str) -> str:
+    """:func:`append_raw` that survives being run again."""
+    return append_batch(raw_payloads(df, api_name), root, batch)
+
+
+def complete_batches(spark: SparkSession, root: str) -> list[str]:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(root)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = fs.globStatus(hadoop.Path(f"{root.rstrip('/')}/batch=*/_SUCCESS")) or []
+    return sorted(s.getPath().getParent().getName().split("=", 1)[1] for s in found)
+
+
+def read_batches(spark: SparkSession, root: str) -> DataFrame | None:
+    """All complete batches with their names in ``batch``; None if there is none. What an unfinished write left is not read."""
+    done = complete_batches(spark, root)
+    if not done:
+        return None
+    paths = [f"{root.rstrip('/')}/batch={b}" for b in done]
+    # A name of digits stays text.
+    read = spark.read.option("mergeSchema", True).option("basePath", root).parquet(*paths)
+    return read.withColumn("batch", F.regexp_extract(F.col("_metadata.file_path"), "batch=([^/]+)/", 1))
+
+
+def load_batch(df: DataFrame, root: str, load_type: str | None, batch: str) -> None:
+    """:func:`write_by_load_type` that survives being run again: FULL leaves this batch alone, anything else adds it.
+
+    Batches that a full load replaces go after it is complete; until then readers see both or, before, the old ones.
+    """
+    spark = df.sparkSession
+    append_batch(df, root, batch)
+    if write_mode(load_type) == "overwrite":
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for other in complete_batches(spark, root):
+            if other != batch:
+                path = hadoop.Path(f"{root.rstrip('/')}/batch={other}")
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

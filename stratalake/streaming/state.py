@@ -99,7 +99,8 @@ def read_latest(
     done = versions(spark, state)
     if not done:
         raise LookupError(f"no complete batch under {state}")
-    parts = spark.read.option("mergeSchema", True).parquet(state).filter(F.col("version") <= done[-1])
+    # A version that was never finished may lie between complete ones.
+    parts = spark.read.option("mergeSchema", True).parquet(state).filter(F.col("version").isin(done))
     return latest_records(parts.drop("version"), keys, order)
 
 
@@ -170,5 +171,6 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     if not done:
         raise LookupError(f"no complete version under {root}")
     rows = _stored(spark, root, done[-1])
-    wanted = ((F.col("_open") == 0) & (F.col("version") <= done[-1])) | (F.col("version") == done[-1])
+    # A version that was never finished may lie between complete ones; what it closed, the next one closed, too.
+    wanted = ((F.col("_open") == 0) & F.col("version").isin(done)) | (F.col("version") == done[-1])
     return rows.filter(wanted).drop("version", "_open")

@@ -172,6 +172,14 @@ def _history(key: str, tracked: str) -> str:
         WHERE {tracked} IS DISTINCT FROM previous"""
 
 
+# States of a user by event: an error deletes, and equal neighbours are one version.
+_FEED_VERSIONS = """
+    SELECT user_id, event_type AS kind, value, start_at, end_at FROM (
+        SELECT *, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS end_at FROM (
+            SELECT user_id, event_type, value, event_id, event_id AS start_at FROM events
+            QUALIFY event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id)))
+    WHERE event_type <> 'error'"""
+
 _FEED_LAST = """
     SELECT user_id, event_type, event_id, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1"""
@@ -356,6 +364,36 @@ ORACLE: dict[str, str] = {
         SELECT business_key, coalesce(new_status, '-') AS status, change_type FROM merged WHERE change_type IN ('new', 'changed')"""),
     "scd2_history": _history("user_id", "event_type"),
     "scd2_history_hot_keys": _history("event_type", "user_id"),
+    "scd2_from_feed": _FEED_VERSIONS,
+    "scd2_feed_batches": _FEED_VERSIONS,
+    "scd2_backdated": _history("user_id", "event_type"),
+    "scd2_many_snapshots": """
+        WITH d AS (SELECT DISTINCT date_trunc('day', ts) AS day FROM events),
+        n AS (SELECT CAST(day AS TIMESTAMP) AS day, row_number() OVER (ORDER BY day) AS k FROM d),
+        s AS (SELECT user_id, event_type, event_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events
+              QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts DESC, event_id DESC) = 1),
+        -- Every user in every snapshot; NULL where the user is missing.
+        g AS (SELECT u.user_id, n.k, n.day, s.event_type, s.event_id FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN n
+              LEFT JOIN s ON s.user_id = u.user_id AND s.day = n.day),
+        c AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY k) AS previous FROM g),
+        v AS (SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY k) AS end_at FROM c WHERE event_type IS DISTINCT FROM previous)
+        SELECT user_id, event_type, event_id, day AS start_at, end_at FROM v WHERE event_type IS NOT NULL""",
+    "upsert_in_buckets": """
+        SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 50 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders
+        UNION ALL SELECT -o_orderkey, o_custkey, 'X' FROM orders WHERE o_custkey % 50 = 1""",
+    "append_replayed": """
+        SELECT "table", o_orderkey, 'run-' || CAST(o_orderkey % 2 AS VARCHAR) AS batch FROM orders
+        CROSS JOIN (VALUES ('raw'), ('full'), ('more')) AS t("table") WHERE "table" <> 'full' OR o_orderkey % 2 = 0""",
+    "stable_keys": """
+        SELECT c_custkey, row_number() OVER (ORDER BY c_custkey % 2, c_custkey) AS customer_no FROM customer""",
+    "as_of_price": """
+        WITH p AS (SELECT p_partkey, p_size, CAST(round(p_retailprice * 100) AS BIGINT) AS price FROM part),
+        h AS (
+            SELECT p_partkey, TIMESTAMP '1996-01-01' AS s, TIMESTAMP '1998-01-01' AS e, price FROM p
+            UNION ALL SELECT p_partkey, TIMESTAMP '1998-01-01', CASE WHEN p_size < 10 THEN TIMESTAMP '2000-01-01' END, price + 100 FROM p
+            UNION ALL SELECT p_partkey, TIMESTAMP '2001-01-01', NULL, price + 300 FROM p WHERE p_size < 10)
+        SELECT l_orderkey, l_linenumber, l_partkey AS p_partkey, coalesce(price, -1) AS price_then FROM lineitem
+        LEFT JOIN h ON p_partkey = l_partkey AND l_shipdate >= s AND (e IS NULL OR l_shipdate < e)""",
     "scd2_snapshot_fold": _with("weekly_versions", final="SELECT * FROM weekly_versions"),
     "scd2_stream": _with("weekly_versions", final="SELECT * FROM weekly_versions"),
     "global_row_number": """

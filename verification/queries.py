@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.functions import iso_text, json_map
-from stratalake.operators import aggregates, changes, history, latest, lookup, numbering, quality, reconcile, shape
+from stratalake.operators import aggregates, as_of, changes, history, latest, lookup, numbering, observations, quality, reconcile, shape
 from stratalake.plans import audit, gold, medallion, silver, state
-from stratalake.session import configure, scratch_path
+from stratalake.session import configure, materialize, scratch_path
 from stratalake.sources import config as source_config
-from stratalake.sources import landing, rescue, sinks
+from stratalake.sources import buckets, landing, rescue, sinks
 from stratalake.streaming import bronze, state as stream_state
 from verification import inputs
 from verification.inputs import cents, table
@@ -476,6 +476,129 @@ def apply_changes_soft(spark, sf):
     return changes.apply_changes(first, rest, ["user_id"], "op", "event_id", "soft")
 
 
+# ---------------------------------------------------------------- changes in any order
+
+
+def _kinds_feed(spark, sf):
+    """Events as operations on their user: an error deletes, anything else sets the kind."""
+    deleting = F.col("event_type") == "error"
+    return table(spark, sf, "events").select(
+        "user_id", F.when(deleting, "delete").otherwise("upsert").alias("op"), F.col("event_type").alias("kind"), "event_id", "value"
+    )
+
+
+@query
+def scd2_from_feed(spark, sf):
+    """A whole feed into a history: users vanish with a delete and come back."""
+    made = observations.scd2_from_feed(_kinds_feed(spark, sf), ["user_id"], "op", ["event_id"], ["kind"])
+    return made.select("user_id", "kind", "value", F.col(history.START).alias("start_at"), F.col(history.END).alias("end_at"))
+
+
+@query
+def scd2_feed_batches(spark, sf):
+    """The same feed as its configuration asks for, in three batches of which the later ones are older."""
+    setting = [("events", "feed", "op", "event_id", "bigint", "HARD", None, "TYPE2", True)]
+    config = spark.createDataFrame(
+        setting,
+        "source_id string, cdc_mode string, operation_column string, sequence_column string, sequence_type string,"
+        "delete_handling string, snapshot_key_column string, snapshot_strategy string, enabled boolean",
+    )
+    settings = source_config.change_settings(config, "events")
+    feed, kept = _kinds_feed(spark, sf).withColumn("event_id", F.col("event_id").cast("string")), None
+    for part in (2, 0, 1):
+        kept = changes.apply_configured(kept, feed.filter(F.col("event_id").cast("bigint") % 3 == part), ["user_id"], settings)
+        kept = materialize(kept, "feed-kept")
+    made = changes.configured_history(kept, ["user_id"], settings, ["kind"])
+    return made.select("user_id", "kind", "value", F.col(history.START).alias("start_at"), F.col(history.END).alias("end_at"))
+
+
+@query
+def scd2_backdated(spark, sf):
+    """The log in three batches, the oldest last and one of them twice, into a history in buckets."""
+    root = scratch_path(spark, "backdated")
+    log = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
+    for part in (2, 0, 0, 1):
+        batch = log.filter(F.pmod(F.weekofyear("ts"), F.lit(3)) == part)
+        buckets.late_history_buckets(batch, root, ["user_id"], ["event_type"], ["ts", "event_id"], f"weeks-{part}", 16)
+    return buckets.read_buckets(spark, f"{root}/versions").select(
+        "user_id", "event_type", "event_id", F.col(history.START).alias("start_at"), F.col(history.END).alias("end_at")
+    )
+
+
+@query
+def scd2_many_snapshots(spark, sf):
+    """Full snapshots, one a day, of the users active on it: who is missing ends there and opens again on coming back."""
+    day = F.date_trunc("day", "ts").alias("day")
+    log = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", day)
+    daily = log.groupBy("user_id", "day").agg(F.max_by(F.struct("event_type", "event_id"), F.struct("ts", "event_id")).alias("s"))
+    snapshots = daily.select("user_id", "day", "s.event_type", "s.event_id")
+    return observations.scd2_from_snapshots(snapshots, ["user_id"], ["event_type"], "day", "start_at", "end_at").select(
+        "user_id", "event_type", "event_id", "start_at", "end_at"
+    )
+
+
+@query
+def upsert_in_buckets(spark, sf):
+    """Order states in buckets; a second batch for a few customers rewrites the buckets it touches, and its replay none."""
+    root = scratch_path(spark, "upsert")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    buckets.upsert_buckets(orders, root, ["o_custkey", "o_orderkey"], "first", 64)
+    urgent = orders.filter("o_custkey % 50 = 1").withColumn("o_orderstatus", F.lit("X"))
+    new = urgent.withColumn("o_orderkey", -F.col("o_orderkey"))
+    for _ in range(2):
+        buckets.upsert_buckets(urgent.unionByName(new), root, ["o_custkey", "o_orderkey"], "second")
+    return buckets.read_buckets(spark, root)
+
+
+@query
+def append_replayed(spark, sf):
+    """Raw payloads and loads, each batch written twice."""
+    root = scratch_path(spark, "append")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    for part in (0, 1, 1, 0):
+        sinks.append_raw_batch(orders.filter(F.col("o_orderkey") % 2 == part), "orders", f"{root}/raw", f"run-{part}")
+        sinks.load_batch(orders.filter(F.col("o_orderkey") % 2 == part), f"{root}/full", "full", f"run-{part}")
+        sinks.load_batch(orders.filter(F.col("o_orderkey") % 2 == part), f"{root}/more", "incremental", f"run-{part}")
+    raw = sinks.read_batches(spark, f"{root}/raw").select(
+        F.lit("raw").alias("table"), F.get_json_object("raw_payload", "$.o_orderkey").cast("bigint").alias("o_orderkey"), "batch"
+    )
+    loads = [sinks.read_batches(spark, f"{root}/{t}").select(F.lit(t).alias("table"), "o_orderkey", "batch") for t in ("full", "more")]
+    return raw.unionByName(loads[0]).unionByName(loads[1])
+
+
+@query
+def stable_keys(spark, sf):
+    """Sequential keys of customers: those of one half, then of all, then once more."""
+    customers = table(spark, sf, "customer").select("c_custkey")
+    registry = None
+    for batch in (customers.filter("c_custkey % 2 = 0"), customers, customers):
+        registry = materialize(numbering.stable_numbers(registry, batch, ["c_custkey"], "customer_no"), "stable-keys")
+    return registry
+
+
+def _part_history(spark, sf):
+    """Prices of parts: from 1996, raised from 1998, and none in 2000 for small parts."""
+    part = table(spark, sf, "part").select("p_partkey", "p_size", cents("p_retailprice").alias("price"))
+    year = lambda y: F.to_timestamp(F.lit(f"{y}-01-01 00:00:00"))
+    small = F.col("p_size") < 10
+    made = F.array(
+        F.struct(year(1996).alias("start_at"), year(1998).alias("end_at"), F.col("price").alias("price_then")),
+        F.struct(year(1998).alias("start_at"), F.when(small, year(2000)).alias("end_at"), (F.col("price") + 100).alias("price_then")),
+    )
+    again = F.array(F.struct(year(2001).alias("start_at"), F.lit(None).cast("timestamp").alias("end_at"), (F.col("price") + 300).alias("price_then")))
+    return part.select("p_partkey", F.inline(F.when(small, F.concat(made, again)).otherwise(made)))
+
+
+@query
+def as_of_price(spark, sf):
+    """Every order line with its part's price on the day it was shipped."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"), F.col("l_shipdate").cast("timestamp").alias("shipped")
+    )
+    found = as_of.as_of_lookup(lines, _part_history(spark, sf), ["p_partkey"], "shipped", ["price_then"], "start_at", "end_at", 5_000)
+    return found.select("l_orderkey", "l_linenumber", "p_partkey", F.coalesce("price_then", F.lit(-1)).alias("price_then"))
+
+
 # ---------------------------------------------------------------- landed documents
 
 
