@@ -56,7 +56,11 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
     coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
     sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-    sum(length('<|im_start|>') + length(escaped_role) + 1 + length(escaped) + length('<|im_end|>') + 1)::bigint AS formatted_chars
+    sum(length('<|im_start|>') + length(escaped_role) + 1 + length(escaped) + length('<|im_end|>') + 1)::bigint AS formatted_chars,
+    list_reduce(list_prepend('start', list(role ORDER BY turn NULLS LAST, role, text)), lambda state, role: CASE
+        WHEN state = 'start' AND role IN ('system', 'user') THEN role WHEN state = 'system' AND role = 'user' THEN role
+        WHEN state = 'user' AND role = 'assistant' THEN role WHEN state = 'assistant' AND role = 'user' THEN role
+        ELSE 'refused' END) AS state, state <> 'refused' AS valid
 FROM e GROUP BY conv_id
 """
 

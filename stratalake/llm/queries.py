@@ -99,6 +99,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("learned").cast("long").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "state",
+        "valid",
     )
 
 
