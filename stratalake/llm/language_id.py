@@ -3,14 +3,17 @@
 A text becomes the hashed shares of its letter trigrams (bytes of the lower-cased
 letters, anything else a blank). Linear support vector machines, one against one,
 vote for a family; those that separate the languages of the winning family, one
-against one, vote for the language.
+against one, vote for the language. A family of more than ``FAMILY_SIZE`` members is halved, by the
+direction in which their mean vectors differ most, until no part has more, and
+so are the families; each part is one more step. So every language is learned, and machines
+grow in proportion to the languages and not to their square.
 
 The machines are fitted on a bounded sample of labelled texts (``FIT_ROWS``,
 shared equally among the languages, those of the lowest hashes, each text once
 however often it stands in the table), one group of rows for each pair.
 Prediction covers every whole text.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0;
+Defined results: ties between languages go to the first by name; columns of the names asked for are replaced; a null text, or one without a letter, is ``und`` with score 0;
 with no labelled row every text is ``und``; with one language every other text is
 of it; rows without a language teach nothing; equal texts are judged alike; an
 empty table gives an empty result.
@@ -27,17 +30,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import arrow_rows, giving_back, map_texts, materialize
+from stratalake.llm.common import arrow_rows, giving_back, map_texts, materialize, sized
 
 UNDETERMINED = "und"
 #: At most so many labelled texts fit the machines, or one for each language if there are more languages.
 FIT_ROWS = 4_000
-#: So many languages are learned at most, those with most labelled texts: machines grow with the square of a family.
-FIT_LANGUAGES = 256
+#: So many members of a family are told apart in one step.
+FAMILY_SIZE = 16
 DIMENSIONS = 4096
 #: Rows in a batch for Python while fitting.
 BATCH_ROWS = 1_000
-#: Families by two-letter code. A language that is not listed is a family of its own.
+#: Families by two-letter code. A language that is not listed is a family of its own, while there are few.
 FAMILIES = {
     "germanic": "af da de en fo fy is lb nb nl nn no sv yi",
     "romance": "ca co es fr gl it la lmo oc pms pt rm ro sc scn wa",
@@ -99,13 +102,11 @@ def sample_rows(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     # A text without a letter teaches nothing, so it takes no place.
     rows = rows.where(F.col("text").rlike(r"\p{L}"))
     texts = materialize(rows.select("lang", "_h").distinct(), "lang-texts")
-    counts = texts.groupBy("lang").agg(F.count("_h").alias("_n")).orderBy(F.desc("_n"), "lang").limit(FIT_LANGUAGES)
-    counts = materialize(counts, "lang-counts")
-    each = max(1, fit_rows // max(counts.count(), 1))
+    each = max(1, fit_rows // max(texts.select("lang").distinct().count(), 1))
     order = Window.partitionBy("lang").orderBy("_h")
-    lowest = texts.join(F.broadcast(counts.select("lang")), "lang").withColumn("_rank", F.row_number().over(order))
+    lowest = texts.withColumn("_rank", F.row_number().over(order))
     lowest = materialize(lowest.where(F.col("_rank") <= each).select("lang", "_h"), "lang-lowest")
-    return rows.join(F.broadcast(lowest), ["lang", "_h"]).dropDuplicates(["lang", "_h"]).select("text", "lang")
+    return rows.join(sized(lowest, lowest.count()), ["lang", "_h"]).dropDuplicates(["lang", "_h"]).select("text", "lang")
 
 
 def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,37 +123,108 @@ def _fit_pair(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["side", "x"])
     x = np.stack([np.frombuffer(v, dtype=np.float16) for v in pdf["x"]]).astype(np.float32)
     w, scale = fit_machine(x, np.where(pdf["side"].to_numpy() == first, 1, -1).astype(np.float32))
-    return pd.DataFrame({"level": [level], "first": [first], "second": [second], "w": [w.tobytes()], "scale": [scale]})
+    return pd.DataFrame({"level": [level], "first": [first], "second": [second], "w": [w.astype(np.float16).tobytes()], "scale": [scale]})
+
+
+def halved(members: dict[str, np.ndarray], size: int = FAMILY_SIZE) -> list[list[str]]:
+    """Members (name: mean vector) in groups of at most ``size``, cut again and again where their vectors differ most."""
+    names = sorted(members)
+    if len(names) <= size:
+        return [names]
+    x = np.stack([members[n] for n in names]).astype(np.float64)
+    x -= x.mean(axis=0)
+    # The direction of the largest spread, by power iteration from the member farthest from the middle.
+    axis = x[int((x * x).sum(axis=1).argmax())].copy()
+    for _ in range(20):
+        axis = x.T @ (x @ axis)
+        axis /= max(float(np.sqrt(axis @ axis)), 1e-30)
+    order = np.argsort(x @ axis, kind="stable")
+    first, second = ([names[i] for i in half] for half in np.array_split(order, 2))
+    return [g for half in (first, second) for g in halved({n: members[n] for n in half}, size)]
+
+
+def family_tree(means: dict[str, np.ndarray]) -> dict[str, list[str]]:
+    """What each step chooses from, beginning with "": names of further steps, and languages, from their mean vectors."""
+    families: dict[str, list[str]] = {}
+    for language in sorted(means):
+        families.setdefault(family_of(language), []).append(language)
+    tree: dict[str, list[str]] = {}
+
+    def free(name: str) -> str:
+        while name in tree or name in means or not name:
+            name += "*"
+        return name
+
+    def mean_of(name: str) -> np.ndarray:
+        return np.mean([mean_of(c) for c in tree[name]], axis=0) if name in tree else means[name]
+
+    def arranged(members: list[str]) -> list[str]:
+        while len(members) > FAMILY_SIZE:
+            groups = halved({m: mean_of(m) for m in members})
+            members = []
+            for group in groups:
+                tree[name := free(f"near {group[0]}")] = group
+                members.append(name)
+        return sorted(members)
+
+    known = {f: ls for f, ls in families.items() if f in FAMILIES}
+    top = [ls[0] for f, ls in families.items() if f not in known and len(ls) == 1]
+    for family, languages in families.items():
+        if family in known or len(languages) > 1:
+            name = free(family)
+            tree[name] = []
+            tree[name] = arranged(languages)
+            top.append(name)
+    tree[""] = arranged(top)
+    return tree
 
 
 class Model:
-    """families: languages by family. machines: (level, first, second) -> (weights, scale). Its size is bounded by the sample's."""
-
-    def __init__(self, families: dict[str, list[str]], machines: dict[tuple[str, str, str], tuple[np.ndarray, float]]):
-        self.families, self.machines = families, machines
-        self.keys = list(machines)
-        self.weights = np.stack([machines[k][0] for k in self.keys]) if machines else np.zeros((0, DIMENSIONS + 1), np.float32)
+    """tree: the steps (see :func:`family_tree`). machines: (step, first, second) -> (weights, scale)."""
+
+    def __init__(self, tree: dict[str, list[str]], machines: dict[tuple[str, str, str], tuple[np.ndarray, float]]):
+        self.tree = tree
+        self.families = {name: below for name, below in tree.items() if name}
+        self.keys: dict[str, list[tuple[str, str]]] = {}
+        for step, first, second in machines:
+            self.keys.setdefault(step, []).append((first, second))
+        self.machines = sorted(machines)
+        self.scales = {step: np.array([machines[step, a, b][1] for a, b in keys]) for step, keys in self.keys.items()}
+        # Two bytes a weight, one matrix for each step.
+        self.weights = {step: np.stack([machines[step, a, b][0] for a, b in keys]).astype(np.float16) for step, keys in self.keys.items()}
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         known = [(i, v) for i, t in enumerate(texts) if (v := shares(t)) is not None]
         out = [(UNDETERMINED, 0.0)] * len(texts)
-        if not known or not self.families:
+        if not known or not self.tree.get(""):
             return out
-        margins = np.stack([v for _, v in known]) @ self.weights[:, :-1].T + self.weights[:, -1]
-        for (i, _), row in zip(known, margins):
-            margin = {k: float(m) * self.machines[k][1] for k, m in zip(self.keys, row)}
-            family, sure = self._vote("", sorted(self.families), margin)
-            language, surer = self._vote(family, self.families[family], margin)
-            out[i] = (language, min(sure, surer))
+        x = np.stack([v for _, v in known])
+        todo = [("", np.arange(len(known)), np.ones(len(known)))]
+        while todo:
+            step, rows, sure = todo.pop()
+            if step not in self.tree:
+                for r, s in zip(rows, sure):
+                    out[known[r][0]] = (step, float(s))
+                continue
+            names = self.tree[step]
+            if len(names) == 1:
+                todo.append((names[0], rows, sure))
+                continue
+            w = self.weights[step].astype(np.float32)
+            margins = (x[rows] @ w[:, :-1].T + w[:, -1]) * self.scales[step]
+            votes = [self._vote(names, dict(zip(self.keys[step], m))) for m in margins.tolist()]
+            chosen = np.array([names.index(n) for n, _ in votes])
+            surest = np.minimum(sure, [s for _, s in votes])
+            todo += [(names[c], rows[chosen == c], surest[chosen == c]) for c in np.unique(chosen)]
         return out
 
     @staticmethod
-    def _vote(level: str, names: list[str], margin: dict) -> tuple[str, float]:
+    def _vote(names: list[str], margin: dict[tuple[str, str], float]) -> tuple[str, float]:
         """The name that wins most duels (of equals the one with the larger margins), and the chance it won its closest one."""
         won = dict.fromkeys(names, (0, 0.0))
         closest = dict.fromkeys(names, 30.0)
         for a, b in combinations(names, 2):
-            m = margin.get((level, a, b), 0.0)
+            m = margin.get((a, b), 0.0)
             for name, value in ((a, m), (b, -m)):
                 won[name] = (won[name][0] + (value > 0), won[name][1] + value)
                 closest[name] = min(closest[name], value)
@@ -160,29 +232,37 @@ class Model:
         return best, 1 / (1 + float(np.exp(-max(min(closest[best], 30.0), -30.0))))
 
 
+def _mean(pdf: pd.DataFrame) -> pd.DataFrame:
+    x = np.stack([np.frombuffer(v, dtype=np.float16) for v in sorted(pdf["x"])]).astype(np.float32)
+    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "x": [x.mean(axis=0).astype(np.float16).tobytes()]})
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model from ``labelled`` (text, lang). Machines are fitted in tasks of their own, one for each pair."""
     spark = labelled.sparkSession
     with arrow_rows(spark, BATCH_ROWS):
         vectors = materialize(sample_rows(labelled, fit_rows).mapInPandas(giving_back(_vectors), "lang string, x binary"), "lang-vectors")
-    languages = sorted(r["lang"] for r in vectors.select("lang").distinct().collect())
-    families: dict[str, list[str]] = {}
-    for language in languages:
-        families.setdefault(family_of(language), []).append(language)
-    pairs = [("", a, b, a, x) for a, b in combinations(sorted(families), 2) for x in families[a]]
-    pairs += [("", a, b, b, x) for a, b in combinations(sorted(families), 2) for x in families[b]]
-    pairs += [(f, a, b, x, x) for f, members in families.items() for a, b in combinations(members, 2) for x in (a, b)]
+    found = vectors.groupBy("lang").applyInPandas(_mean, "lang string, x binary").collect()
+    tree = family_tree({r["lang"]: np.frombuffer(r["x"], dtype=np.float16).astype(np.float32) for r in found})
+
+    def languages(name: str) -> list[str]:
+        return [x for c in tree[name] for x in languages(c)] if name in tree else [name]
+
+    pairs = [
+        (step, a, b, side, x)
+        for step, names in tree.items() for a, b in combinations(names, 2) for side in (a, b) for x in languages(side)
+    ]
     if not pairs:
-        return Model(families, {})
+        return Model(tree, {})
     duels = spark.createDataFrame(pairs, "level string, first string, second string, side string, lang string")
     fitted = (
-        vectors.join(F.broadcast(duels), "lang")
+        vectors.join(sized(duels, len(pairs)), "lang")
         .groupBy("level", "first", "second")
         .applyInPandas(_fit_pair, "level string, first string, second string, w binary, scale double")
         .collect()
     )
-    machines = {(r["level"], r["first"], r["second"]): (np.frombuffer(r["w"], dtype=np.float32), r["scale"]) for r in fitted}
-    return Model(families, machines)
+    machines = {(r["level"], r["first"], r["second"]): (np.frombuffer(r["w"], dtype=np.float16), r["scale"]) for r in fitted}
+    return Model(tree, machines)
 
 
 def predict(df: DataFrame, model: Model, column: str = "text", into: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -1,5 +1,9 @@
+import pickle
+import random
 import zlib
 
+import numpy as np
+
 from edge import documents
 
 from conftest import TESTDATA
@@ -34,6 +38,43 @@ def test_hierarchy(spark):
     assert lid.family_of("pt-BR") == "romance" and lid.family_of("tlh") == "tlh"
 
 
+def invented(language, n, rng):
+    """Texts of an invented language: words out of its own few syllables."""
+    own = random.Random(language)
+    syllables = ["".join(own.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(12)]
+    return [" ".join("".join(rng.choices(syllables, k=2)) for _ in range(60)) for _ in range(n)]
+
+
+def test_every_one_of_300_languages_is_learned(spark):
+    rng = random.Random(1)
+    rows = [(t, f"lang{i}") for i in range(300) for t in invented(i, 8, rng)]
+    model = lid.fit(spark.createDataFrame(rows, "text string, lang string"), 1500)
+    assert all(len(below) <= lid.FAMILY_SIZE for below in model.tree.values())
+    below = [x for names in model.tree.values() for x in names]
+    assert len(below) == len(set(below)) and {f"lang{i}" for i in range(300)} <= set(below)
+    assert len(pickle.dumps(model)) < 50 << 20
+    texts = [(t, f"lang{i}") for i in range(300) for t in invented(i, 1, rng)]
+    found = model.predict([t for t, _ in texts])
+    assert sum(p == lang for (p, _), (_, lang) in zip(found, texts)) >= 270
+    assert {p for p, _ in found} >= {f"lang{i}" for i in range(256, 300)} - {lang for (p, _), (_, lang) in zip(found, texts) if p != lang}
+
+
+def test_names_that_clash_with_families(spark):
+    rng = random.Random(2)
+    names = ["germanic", "de", "en", "near de", "romance", "x-a", "x-b"]
+    rows = [(t, lang) for lang in names for t in invented(lang, 6, rng)]
+    model = lid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    found = model.predict([t for t, _ in rows])
+    assert sum(p == lang for (p, _), (_, lang) in zip(found, rows)) >= 0.9 * len(rows)
+
+
+def test_groups_are_bounded_and_whole():
+    rng = np.random.default_rng(3)
+    members = {f"m{i}": rng.normal(size=8) for i in range(101)} | {f"same{i}": np.zeros(8) for i in range(40)}
+    groups = lid.halved(members, 7)
+    assert sorted(x for g in groups for x in g) == sorted(members) and all(1 <= len(g) <= 7 for g in groups)
+
+
 def test_edge_rows(spark):
     docs = documents(spark)
     rows = lid.identify(docs).collect()
