@@ -14,9 +14,12 @@ Leaves and the queries that visit them meet in blocks of bounded size, so a leaf
 that holds a third of all rows is many groups. Scores are cosines of the original
 vectors in double precision.
 
-Defined results: vectors that are null, zero, hold null or non-finite components
-or are not of the most common length take no part, nor do rows without an id; of
-equal scores the smaller id is nearer; rows that share a query's id are its own
+Vectors of different lengths never meet. The most common length has a tree, and so has
+every length of more than ``SAMPLE_ROWS`` vectors; all others are compared exactly
+within their length, which are few rows each.
+
+Defined results: vectors that are null, zero or hold null or non-finite components
+take no part, nor do rows without an id; of equal scores the smaller id is nearer; rows that share a query's id are its own
 row; with fewer candidates than wanted all are returned; an empty table gives an
 empty result.
 """
@@ -26,13 +29,14 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import materialize
+from stratalake.llm.common import materialize, sized
 from stratalake.llm.vector_dedup import scaled, usable
 
 SAMPLE_ROWS = 8_192
@@ -122,10 +126,15 @@ class Tree:
 
 def vectors_of(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """id, v: the rows that take part."""
-    rows = df.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
-    rows = rows.where(F.col("id").isNotNull() & usable("v"))
-    common = rows.groupBy(F.size("v").alias("n")).agg(F.count("id").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (common[0]["n"] if common else 0))
+    rows = df.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{vector_column}`").cast("array<double>").alias("v"))
+    return rows.where(F.col("id").isNotNull() & usable("v"))
+
+
+def lengths_of(rows: DataFrame) -> list[int]:
+    """The most common length, then all others of more than ``SAMPLE_ROWS`` vectors, which bounds their number."""
+    counts = rows.groupBy(F.size("v").alias("n")).agg(F.count("id").alias("c")).orderBy(F.desc("c"), "n")
+    most = [r["n"] for r in counts.limit(1).collect()]
+    return most + [r["n"] for r in counts.where(F.col("c") > SAMPLE_ROWS).collect() if r["n"] not in most]
 
 
 def hash_sample(rows: DataFrame, count: int, wanted: int, salt: int) -> DataFrame:
@@ -180,10 +189,12 @@ def brute_force(rows: DataFrame, queries: pd.DataFrame, k: int) -> DataFrame:
 
 
 class Index:
-    """A tree and the table of all rows with their leaves."""
+    """A tree and the table of all rows of one length with their leaves; of the most common one if none is given."""
 
-    def __init__(self, df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding"):
+    def __init__(self, df: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", length: int | None = None):
         rows = vectors_of(df, id_column, vector_column)
+        length = length if length is not None else next(iter(lengths_of(rows)), 0)
+        rows = rows.where(F.size("v") == length)
         self.count = rows.count()
         sample = hash_sample(rows, self.count, SAMPLE_ROWS, 1).orderBy("id").toPandas() if self.count else pd.DataFrame({"v": []})
         if not len(sample) and self.count:
@@ -258,33 +269,49 @@ class Index:
 
         planned = queries.select("id", "v").dropDuplicates(["id"]).mapInPandas(plan, "id bigint, v array<double>, leaves array<int>")
         planned = materialize(planned, "ann-queries").withColumn("leaf", F.explode("leaves")).drop("leaves")
-        # One row per leaf, and the leaves are bounded by the tree.
-        blocks = (
-            self.rows.groupBy("leaf").agg(F.ceil(F.count("id") / F.lit(ROW_BLOCK)).cast("int").alias("blocks"))
-            .join(planned.groupBy("leaf").agg(F.ceil(F.count("id") / F.lit(QUERY_BLOCK)).cast("int").alias("q_blocks")), "leaf")
-        )
-        blocks = F.broadcast(materialize(blocks, "ann-blocks"))
+        return _in_blocks(self.rows, planned, k)
+
+
+def _in_blocks(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of what meets: ``rows`` and ``asked`` (leaf, id, v) of equal leaf, in blocks of bounded size."""
+    counted = ((rows, ROW_BLOCK, "blocks"), (asked, QUERY_BLOCK, "q_blocks"))
+    sides = [x.groupBy("leaf").agg(F.ceil(F.count("id") / F.lit(size)).cast("int").alias(name)) for x, size, name in counted]
+    blocks = materialize(sides[0].join(sides[1], "leaf"), "ann-blocks")
+    blocks = sized(blocks, blocks.count())
 
-        def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
-            of = F.pmod(F.xxhash64("id", F.lit(3)), F.col(own)).cast("int").alias("own")
-            every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("other")
-            return side.join(blocks, "leaf").select("leaf", "id", "v", of, every)
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        of = F.pmod(F.xxhash64("id", F.lit(3)), F.col(own)).cast("int").alias("own")
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("other")
+        # Both sides may come from one table: new columns tell them apart.
+        own_columns = [F.col(c).alias(c) for c in ("leaf", "id", "v")]
+        return side.join(blocks, "leaf").select(*own_columns, of, every)
 
-        left = dealt(self.rows, "blocks", "q_blocks").withColumnsRenamed({"own": "block", "other": "q_block"})
-        right = dealt(planned, "q_blocks", "blocks").withColumnsRenamed({"own": "q_block", "other": "block"})
+    left = dealt(rows, "blocks", "q_blocks").withColumnsRenamed({"own": "block", "other": "q_block"})
+    right = dealt(asked, "q_blocks", "blocks").withColumnsRenamed({"own": "q_block", "other": "block"})
 
-        def meet(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-            if not len(rows) or not len(asked):
-                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-            return _nearest(asked, rows, k)
+    def meet(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(asked):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+        return _nearest(asked, rows, k)
 
-        keys = ["leaf", "block", "q_block"]
-        return _best(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema), k)
+    keys = ["leaf", "block", "q_block"]
+    schema = "query_id bigint, vec_id bigint, score double"
+    return _best(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema), k)
 
 
 def nearest(
     df: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest rows that were found for each row on whose ``id`` ``is_query`` holds."""
-    index = Index(df, id_column, vector_column)
-    return index.search(index.rows.where(is_query).select("id", "v"), k)
+    rows = vectors_of(df, id_column, vector_column)
+    lengths = lengths_of(rows)
+    found = []
+    for length in lengths or [0]:
+        index = Index(df, id_column, vector_column, length)
+        found.append(index.search(index.rows.where(is_query).select("id", "v"), k))
+    others = rows.where(~F.size("v").isin(lengths or [0])).select(F.size("v").alias("leaf"), "id", "v")
+    if not others.isEmpty():
+        found.append(_in_blocks(others, others.where(is_query).dropDuplicates(["leaf", "id"]), k))
+    if len(found) == 1:
+        return found[0]
+    return _best(reduce(DataFrame.unionByName, [f.drop("rank") for f in found]), k)

@@ -193,6 +193,25 @@ def test_tiny_tables_give_all_there_are(spark, n):
     assert (found.groupby("query_id").size() == min(5, n - 1)).all() and found["query_id"].nunique() == n
 
 
+@pytest.mark.parametrize("sample", [8192, 50])
+def test_vectors_of_every_length_are_searched(spark, monkeypatch, sample):
+    monkeypatch.setattr(ann_tree, "SAMPLE_ROWS", sample)
+    rng = np.random.default_rng(12)
+    lengths = [3] * 120 + [8] * 90 + [5] * 7 + [2] * 2
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=n))]) for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    found = ann_tree.nearest(df, F.col("id") % 3 == 0).toPandas()
+    hits = wanted = 0
+    for i, x in rows[::3]:
+        near = sorted((-cosine(x, y), j) for j, y in rows if j != i and len(y) == len(x))[:5]
+        got = found[found["query_id"] == i].sort_values("rank")["vec_id"].tolist()
+        assert len(got) == len(near)
+        hits, wanted = hits + len({j for _, j in near} & set(got)), wanted + len(near)
+        if len(x) in (5, 2):
+            assert got == [j for _, j in near]
+    assert hits >= 0.9 * wanted
+
+
 def test_visits_go_on_until_enough_rows_are_met():
     x = ann_tree.unit(np.random.default_rng(3).normal(size=(500, 8)))
     tree = ann_tree.Tree(x)
