@@ -2,7 +2,8 @@
 
 A page becomes a tree. What markup names as boilerplate (menus, headers,
 footers, sidebars, notices, adverts, forms, comments of readers, scripts) is cut
-off. Every remaining node gets its composite text density: characters per tag,
+off; a class or id does so only if all its words name a part of that kind, so that
+those that tell the layout or a topic cut nothing, and a form that is wrapped around the page stays. Every remaining node gets its composite text density: characters per tag,
 adjusted by how much of the text is link text. The densities of a node's
 children are summed. The node with the largest sum is the core of the text; the
 lowest density on its path up to the body is the threshold, and further
@@ -13,7 +14,7 @@ a paragraph is never cut within. Densities choose on every page; a named article
 that its short paragraphs stay.
 
 Defined results: a null or empty page, and one without text outside of
-boilerplate, gives an empty text; unclosed and stray tags are repaired as
+boilerplate, gives an empty text; repeated rows give equal texts, and an empty table an empty result; unclosed and stray tags are repaired as
 browsers do; text without any markup is one block. Pages of any length and depth
 are read whole; nothing recurses.
 """
@@ -55,7 +56,17 @@ CUT_WORDS = frozenset(
     "newsletter subscribe subscription signup login social share sharing related recommended pagination pager skip toolbar "
     "form search".split()
 )
+# Words beside them that say what a part is built as. A name with any other word speaks of its content, as "search-algorithms" does.
+PART_WORDS = frozenset(
+    "area aside bar block body bottom box btn button buttons card col column container content desktop el entry floating foot global "
+    "group head holder icon icons inner item items js left line link links list main middle mobile module outer page panel post posts "
+    "primary region right row secondary section site sticky tab text title top unit user view wrap wrapper wp".split()
+)
+# Words that make a name tell the layout, as "has-sidebar" does.
+LAYOUT_WORDS = frozenset("no has have with without not non hide show padding padded margin gap spacing offset width layout".split())
 MAIN_TAGS = frozenset(["article", "main"])
+# A form with so much text, and with so many times the text outside of it, is wrapped around the page.
+FORM_CHARS, FORM_TIMES = 200, 4
 # The name of a run of bare text and inline elements that lies beside blocks.
 RUN = ""
 CLOSES_P = BLOCKS - {"body", "html", "caption", "tbody", "thead", "tfoot", "tr"}
@@ -97,6 +108,16 @@ class Node:
         self.blocky = tag in BLOCKS or tag in CELLS  # or holds such an element
 
 
+def _names_boilerplate(names: str) -> frozenset[str]:
+    """The words of boilerplate in a class or id. Each name in it is judged by all its words."""
+    found = set()
+    for name in names.split():
+        words = set(_WORDS.findall(name))
+        if not words & LAYOUT_WORDS and words <= CUT_WORDS | PART_WORDS:
+            found |= words & CUT_WORDS
+    return frozenset(found)
+
+
 def _is_cut(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     """(boilerplate by its markup, names the article). inside: within an article, where a header belongs to the text."""
     if tag in CUT_TAGS:
@@ -110,8 +131,8 @@ def _is_cut(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
                 cut |= value in CUT_ROLES
                 named |= value in ("main", "article")
             elif name in ("class", "id") and tag not in ("html", "body"):
-                found = CUT_WORDS.intersection(_WORDS.findall(value))
-                cut |= bool(found) and not (tag in MAIN_TAGS and found <= {"header", "side"})
+                found = _names_boilerplate(value)
+                cut |= bool(found) and tag != "main" and not (tag == "article" and found <= {"header", "side"})
         cut |= tag not in ("html", "body") and bool(_HIDDEN.search(attributes.lower()))
     return cut, named and not cut
 
@@ -180,10 +201,36 @@ def parse(page: str) -> Node:
         elif tag not in VOID:
             opened[tag] += 1
             node = child
+    _free_forms(root)
     _wrap_runs(root)
     return root
 
 
+def _text_chars(root: Node) -> int:
+    """Characters of kept text outside of links."""
+    count, stack = 0, [root]
+    while stack:
+        for x in stack.pop().children:
+            if isinstance(x, str):
+                count += len(x.strip())
+            elif not x.cut and x.tag != "a":
+                stack.append(x)
+    return count
+
+
+def _free_forms(root: Node) -> None:
+    """A form that holds nearly all of the page's text is no form of the page, but wrapped around it."""
+    while True:
+        forms = [x for node in _preorder(root) for x in node.children if isinstance(x, Node) and x.cut and x.tag == "form"]
+        if not forms:
+            return
+        largest = max(forms, key=_text_chars)
+        chars = _text_chars(largest)
+        if chars < FORM_CHARS or chars < FORM_TIMES * _text_chars(root):
+            return
+        largest.cut = False
+
+
 def _preorder(root: Node) -> list[Node]:
     out, stack = [], [root]
     while stack:

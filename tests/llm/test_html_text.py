@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from stratalake.llm.html_text import extract, main_text, measure, parse, select
@@ -92,3 +94,88 @@ def test_a_paragraph_is_not_cut_within():
     lines = "<br>".join([LONG] * 30)
     page = f"<div>Bare words before. <span>{lines}</span> And after.</div>"
     assert main_text(page) == " ".join(["Bare words before.", *[LONG.strip()] * 30, "And after."])
+
+
+WRAPS = [
+    '<div class="content has-sidebar">{}</div>', '<div class="layout no-sidebar">{}</div>', '<article class="post no-comments">{}</article>',
+    '<main class="with-banner">{}</main>', '<div class="post side-padding">{}</div>', "<form action=/x>{}</form>", '<div class="plain">{}</div>',
+    '<main class="search">{}</main>',
+]
+
+
+@pytest.mark.parametrize("wrap", WRAPS)
+def test_names_of_layout_cut_nothing(wrap):
+    paragraphs = [f"{i} {LONG}".strip() for i in range(8)]
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    assert main_text(SITE.format(body=wrap.format(body))) == "\n".join(paragraphs)
+
+
+@pytest.mark.parametrize("name", ['id="search-algorithms"', 'class="share-price-table"', 'class="related-work"', 'id="menu-of-the-day"'])
+def test_names_of_topics_cut_nothing(name):
+    part = f"Within. {LONG}".strip()
+    body = f"<article><p>{LONG}</p><section {name}><p>{part}</p></section><p>{LONG}</p></article>"
+    assert part in main_text(SITE.format(body=body)).split("\n")
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["ad", "sidebar", "widget-area", "post-comments", "comment-list", "cookie-notice", "social share-buttons", "site-footer", "newsletter-signup-box", "top-ad x1"],
+)
+def test_names_of_boilerplate_cut(name):
+    body = f"<div><p>{LONG}</p><p>{LONG}</p><div class='{name}'><p>Unwanted. {LONG}</p></div><p>{LONG}</p></div>"
+    assert main_text(SITE.format(body=body)) == "\n".join([LONG.strip()] * 3)
+
+
+def test_a_form_of_the_page_is_cut_even_if_it_is_long():
+    body = f"<article><p>{LONG * 3}</p></article><form><p>Write to us. {LONG * 2}</p><input name=a></form>"
+    assert main_text(SITE.format(body=body)) == (LONG * 3).strip()
+
+
+def plain_densities(node):
+    """Densities and sums by recursion: tag, chars, density, total in page order."""
+    import html
+    import math
+
+    kids = lambda n: [x for x in n.children if not isinstance(x, str) and not x.cut]
+
+    def chars(n):
+        return sum(len(" ".join(html.unescape(x).split())) for x in n.children if isinstance(x, str)) + sum(map(chars, kids(n)))
+
+    def tags(n):
+        return sum((x.tag != "") + tags(x) for x in kids(n))
+
+    def links(n):
+        return (chars(n), 1 + sum(links(x)[1] for x in kids(n))) if n.tag == "a" else tuple(map(sum, zip((0, 0), *map(links, kids(n)))))
+
+    share = links(node)[0] / chars(node) if chars(node) else 0
+
+    def density(n):
+        c, t, (lc, lt) = chars(n), max(tags(n), 1), links(n)
+        if not c or not lc:
+            return c / t
+        return max(0.0, c / t * math.log(max(c / lc * t / max(lt, 1), 1.0)) / math.log(c / max(c - lc, 1) * lc + share * c + math.e))
+
+    def total(n):
+        own = sum(len(x.strip()) for x in n.children if isinstance(x, str)) if n.tag != "a" else 0
+        return own + sum(total(x) if x.tag == "" else density(x) for x in kids(n))
+
+    def walk(n):
+        return [(n.tag, chars(n), density(n), total(n)), *(y for x in kids(n) for y in walk(x))]
+
+    return walk(node)
+
+
+def test_densities_as_by_recursion():
+    rng = random.Random(4)
+
+    def part(depth):
+        tag = rng.choice(["div", "p", "a", "span", "ul", "section", "b", "nav"])
+        inner = "".join(rng.choice([part(depth - 1) if depth else "x", f"word {rng.randint(0, 999)} &amp; ", " "]) for _ in range(rng.randint(0, 5)))
+        return f"<{tag}>{inner}</{tag}>"
+
+    for _ in range(200):
+        root = parse(part(5))
+        got = [(n.tag, n.chars, n.density, n.total) for n in measure(root)]
+        want = plain_densities(root)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert all(abs(a - b) < 1e-9 * max(1, abs(b)) for g, w in zip(got, want) for a, b in zip(g[2:], w[2:]))
