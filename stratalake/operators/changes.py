@@ -216,7 +216,8 @@ def apply_changes(
         raise ValueError(f"unknown delete handling: {delete_handling!r}")
     last = _last_operations(feed, keys, operation_column, sequence_column, delete_codes)
     if target is not None:
-        last = _upsert_newer(_with_flag(target), last, keys, sequence_column)
+        # Written once: three joins read it.
+        last = _upsert_newer(_with_flag(target), materialize(last, "feed-last"), keys, sequence_column)
     if handling == "HARD":
         return last.filter(~F.col("is_deleted")).drop("is_deleted")
     return last

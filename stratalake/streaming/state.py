@@ -92,16 +92,70 @@ def latest_stream(
     return _each_batch(stream, state, checkpoint, step)
 
 
+def _merged_ranges(spark: SparkSession, state: str) -> set[tuple[int, int]]:
+    """(first, last) of the ranges of versions that were merged into one part, complete ones only."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(state).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = fs.globStatus(hadoop.Path(f"{state.rstrip('/')}/_merged/*-*/_SUCCESS")) or []
+    return {tuple(map(int, s.getPath().getParent().getName().split("-"))) for s in found}
+
+
+def _range_path(state: str, first: int, last: int) -> str:
+    return f"{state.rstrip('/')}/_merged/{first:012d}-{last:012d}"
+
+
+def _cover(state: str, done: Sequence[int], ranges: set[tuple[int, int]]) -> list[str]:
+    """Folders that hold each complete version once: the longest merged range from each version on, else the version itself."""
+    longest: dict[int, int] = {}
+    for first, last in ranges:
+        longest[first] = max(last, longest.get(first, 0))
+    paths, reached = [], 0
+    for v in done:
+        if v <= reached:
+            continue
+        reached = longest.get(v, v)
+        paths.append(_range_path(state, v, reached) if reached > v else version_path(state, v))
+    return paths
+
+
+def merge_parts(
+    spark: SparkSession, state: str, keys: Sequence[str], order: Sequence[str] = ARRIVAL_ORDER, fan_in: int = 8
+) -> int:
+    """Merge runs of ``fan_in`` parts of one size into one of the next; the number of merges.
+
+    Ranges are aligned to powers of ``fan_in``, and only those of which every
+    version is complete are merged, so a version that is finished later is never lost.
+    After it a reader opens at most ``fan_in`` - 1 parts of each size: their number grows
+    with the logarithm of the batches. Every row is merged once for each size. A merge that was cut
+    short has no mark and is written again.
+    """
+    if fan_in < 2:
+        raise ValueError("fan_in must be 2 or more")
+    done, merged, size = set(versions(spark, state)), 0, fan_in
+    ranges = _merged_ranges(spark, state)
+    while done and size <= max(done):
+        for first in range(1, max(done) - size + 2, size):
+            span = (first, first + size - 1)
+            whole = range(first, first + size)
+            if span in ranges or not all(v in done for v in whole):
+                continue
+            parts = spark.read.option("mergeSchema", True).parquet(*_cover(state, whole, {r for r in ranges if first <= r[0] and r[1] <= span[1]}))
+            latest_records(parts, keys, order).write.mode("overwrite").parquet(_range_path(state, *span))
+            ranges.add(span)
+            merged += 1
+        size *= fan_in
+    return merged
+
+
 def read_latest(
     spark: SparkSession, state: str, keys: Sequence[str], order: Sequence[str] = ARRIVAL_ORDER
 ) -> DataFrame:
-    """The latest record per key over all batches so far."""
+    """The latest record per key over all complete batches so far, merged parts in place of their batches."""
     done = versions(spark, state)
     if not done:
         raise LookupError(f"no complete batch under {state}")
-    # A version that was never finished may lie between complete ones.
-    parts = spark.read.option("mergeSchema", True).parquet(state).filter(F.col("version").isin(done))
-    return latest_records(parts.drop("version"), keys, order)
+    parts = spark.read.option("mergeSchema", True).parquet(*_cover(state, done, _merged_ranges(spark, state)))
+    return latest_records(parts, keys, order)
 
 
 def compact_latest(

@@ -384,6 +384,17 @@ ORACLE: dict[str, str] = {
     "append_replayed": """
         SELECT "table", o_orderkey, 'run-' || CAST(o_orderkey % 2 AS VARCHAR) AS batch FROM orders
         CROSS JOIN (VALUES ('raw'), ('full'), ('more')) AS t("table") WHERE "table" <> 'full' OR o_orderkey % 2 = 0""",
+    "latest_after_merges": _with("latest_order", final="SELECT id, status, ingestion_timestamp, _source_file FROM latest_order"),
+    "recon_rows": """
+        WITH l AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+        r AS (SELECT l_orderkey, l_linenumber, q + CASE WHEN l_orderkey % 89 = 0 THEN 1 ELSE 0 END AS q FROM l WHERE l_orderkey % 97 <> 0
+              UNION ALL SELECT -l_orderkey, l_linenumber, q FROM l WHERE l_orderkey % 83 = 0),
+        a AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(q)) AS q FROM l GROUP BY 1, 2),
+        b AS (SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(q)) AS q FROM r GROUP BY 1, 2)
+        SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.l_linenumber, b.l_linenumber) AS l_linenumber,
+               CASE WHEN b.n IS NULL THEN 'missing' WHEN a.n IS NULL THEN 'extra' ELSE 'changed' END AS difference,
+               coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows
+        FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber WHERE a.q IS DISTINCT FROM b.q""",
     "stable_keys": """
         SELECT c_custkey, row_number() OVER (ORDER BY c_custkey % 2, c_custkey) AS customer_no FROM customer""",
     "as_of_price": """
@@ -484,3 +495,8 @@ ORACLE: dict[str, str] = {
                      CASE WHEN c_acctbal < 0 THEN 'NOT_EVALUATED' ELSE 'PASSED' END AS s3 FROM customer) c
         LEFT JOIN latest_runs r ON r.job_run_id = CAST(c.c_custkey AS VARCHAR)"""),
 }
+
+# The incremental models end where the full ones do.
+ORACLE["gold_customer_sales_incremental"] = ORACLE["gold_customer_sales"]
+ORACLE["gold_product_sales_incremental"] = ORACLE["gold_product_sales"]
+ORACLE["merge_catalog_table"] = ORACLE["merge_table_type1"]

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.functions import iso_text, json_map
-from stratalake.operators import aggregates, as_of, changes, history, latest, lookup, numbering, observations, quality, reconcile, shape
-from stratalake.plans import audit, gold, medallion, silver, state
+from stratalake.operators import aggregates, as_of, changes, history, latest, lookup, numbering, observations, quality, reconcile, row_reconcile, shape
+from stratalake.plans import audit, gold, incremental, medallion, merge, silver, state
 from stratalake.session import configure, materialize, scratch_path
 from stratalake.sources import config as source_config
 from stratalake.sources import buckets, landing, rescue, sinks
@@ -599,6 +599,64 @@ def as_of_price(spark, sf):
     return found.select("l_orderkey", "l_linenumber", "p_partkey", F.coalesce("price_then", F.lit(-1)).alias("price_then"))
 
 
+@query
+def latest_after_merges(spark, sf):
+    """The latest orders of seven batches, of which runs of two and four were merged."""
+    root = scratch_path(spark, "merged")
+    orders = inputs.bronze_orders(spark, sf).select("id", "status", "ingestion_timestamp", "_source_file")
+    for version in range(1, 8):
+        batch = orders.filter(F.pmod(F.xxhash64("id", "_source_file"), F.lit(7)) == version - 1)
+        sinks.publish(latest.latest_records(batch, ["id"]), root, version)
+    stream_state.merge_parts(spark, root, ["id"], fan_in=2)
+    return stream_state.read_latest(spark, root, ["id"]).select("id", "status", "ingestion_timestamp", "_source_file")
+
+
+@query
+def recon_rows(spark, sf):
+    """Order lines against a copy that lacks some, has other quantities in some, and some more."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("quantity"))
+    key = F.col("l_orderkey")
+    copy = lines.filter(key % 97 != 0).withColumn("quantity", F.when(key % 89 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")))
+    more = lines.filter(key % 83 == 0).withColumn("l_orderkey", -key)
+    return row_reconcile.reconcile_rows(lines, copy.unionByName(more), ["l_orderkey", "l_linenumber"])
+
+
+def _changed_orders(spark, sf):
+    """(lines before, lines after, all lines now): a fifth of the orders is new, another one had other values."""
+    fact = materialize(_models(spark, sf)[2], "fact")
+    fifth = F.pmod(F.col("order_id"), F.lit(5))
+    wrong = {"quantity": F.col("quantity") + 1, "order_date": F.timestamp_add("DAY", F.lit(-5000), F.col("order_date")), "order_total": F.col("order_total") + 7}
+    wrong["customer_sk"], wrong["product_sk"] = F.lit("gone"), F.when(F.col("line_number") == 1, "gone").otherwise(F.col("product_sk"))
+    old = fact.filter(fifth == 0).withColumns(wrong).select(*[F.col(f.name).cast(f.dataType) for f in fact.schema.fields])
+    return fact.filter(fifth > 1).unionByName(old), old, fact.filter(fifth < 2), fact
+
+
+@query
+def gold_customer_sales_incremental(spark, sf):
+    first, old, new, _ = _changed_orders(spark, sf)
+    state_ = materialize(incremental.customer_state(None, None, first), "customer-state")
+    return incremental.customer_sales(incremental.customer_state(state_, old, new), _models(spark, sf)[0])
+
+
+@query
+def gold_product_sales_incremental(spark, sf):
+    first, old, new, fact = _changed_orders(spark, sf)
+    state_ = materialize(incremental.product_state(None, None, first, first), "product-state")
+    return incremental.product_sales(incremental.product_state(state_, old, new, fact), _models(spark, sf)[1])
+
+
+@query
+def merge_catalog_table(spark, sf):
+    """A type 1 merge of catalog tables by their names."""
+    source, target = _merge_sides(spark, sf)
+    root = scratch_path(spark, "catalog")
+    names = [f"{n}_{root[-32:]}" for n in ("merge_source", "merge_target")]
+    merge.publish_table(source, names[0], f"{root}/source")
+    merge.publish_table(target, names[1], f"{root}/target")
+    merge.merge_catalog_tables(spark, *names, f"{root}/target")
+    return spark.table(names[1]).select("business_key", "o_custkey", F.coalesce("status", F.lit("-")).alias("status"))
+
+
 # ---------------------------------------------------------------- landed documents
 
 
