@@ -395,6 +395,9 @@ ORACLE: dict[str, str] = {
                CASE WHEN b.n IS NULL THEN 'missing' WHEN a.n IS NULL THEN 'extra' ELSE 'changed' END AS difference,
                coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows
         FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber WHERE a.q IS DISTINCT FROM b.q""",
+    "large_documents": r"""
+        SELECT o_orderkey AS id, 'a "}{[" \ ' || o_orderpriority AS text, o_custkey AS customer, true AS clean FROM orders
+        UNION ALL SELECT -1, '}', 0, true""",
     "stable_keys": """
         SELECT c_custkey, row_number() OVER (ORDER BY c_custkey % 2, c_custkey) AS customer_no FROM customer""",
     "as_of_price": """

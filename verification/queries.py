@@ -18,6 +18,7 @@ from stratalake.plans import audit, gold, incremental, medallion, merge, silver,
 from stratalake.session import configure, materialize, scratch_path
 from stratalake.sources import config as source_config
 from stratalake.sources import buckets, landing, rescue, sinks
+from stratalake.sources import large_documents as large
 from stratalake.streaming import bronze, state as stream_state
 from verification import inputs
 from verification.inputs import cents, table
@@ -717,6 +718,21 @@ def envelope_records(spark, sf):
     )
 
 
+@query
+def large_documents(spark, sf):
+    """Orders landed as one JSON array, which is read in byte ranges; their texts hold braces, brackets and quotes."""
+    root = scratch_path(spark, "large")
+    text = F.concat(F.lit('a "}{[" \\ '), F.col("o_orderpriority"))
+    order = F.to_json(F.struct(F.col("o_orderkey").alias("id"), text.alias("text"), F.array(F.struct("o_custkey")).alias("list")))
+    line = table(spark, sf, "orders").select(F.concat(order, F.lit(",")).alias("value"))
+    first, last = (spark.createDataFrame([(x,)], "value string") for x in ("[", '{"id": -1, "text": "}", "list": [{"o_custkey": 0}]}]'))
+    first.union(line).union(last).coalesce(1).write.text(root)
+    customer = T.ArrayType(T.StructType([T.StructField("o_custkey", T.LongType())]))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("list", customer)])
+    records = rescue.typed_with_rescue(large.split_large_array(spark, root), schema)
+    return records.select("id", "text", F.col("list")[0]["o_custkey"].alias("customer"), F.col("_rescued_data").isNull().alias("clean"))
+
+
 # ---------------------------------------------------------------- streaming ingestion
 
 
