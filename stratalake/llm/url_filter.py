@@ -5,7 +5,7 @@ the executors. The trees learn from labelled URLs. For the fit a bounded sample
 of them is taken (``FIT_ROWS``), half of either kind, chosen by hash from the
 distinct ones; every other step, the suffix statistics too, covers all rows.
 
-Defined results: a null url, or one without ``://``, has an empty host and path
+Defined results: a url of any length is judged whole; a null url, or one without ``://``, has an empty host and path
 and features of an empty text; repeated rows are judged alike; an empty table
 gives an empty result; without labelled URLs of both kinds there is nothing to
 learn, and the verdict of what no rule decides is ``allow``.
@@ -209,14 +209,17 @@ def fit(labelled: DataFrame, column: str = "url", label: str = "label", fit_rows
 def filter_urls(urls: DataFrame, rules: Sequence[Rule] = RULES, labelled: DataFrame | None = None, column: str = "url") -> DataFrame:
     """``urls`` with host, path, rule, score (probability of block by the trees) and verdict.
 
+    Columns of these names are replaced, but a ``score`` stays and the new one gets a longer name; all others stay, whatever their names.
     Without ``labelled``, the URLs that a rule decides are the labelled ones.
     """
-    ruled = with_rules(urls, rules, column)
+    score = free_name(urls, "score")
+    made = ("host", "path", "rule", "verdict")
+    # Numbered names on the way: the columns of the work in between may stand in the table, too.
+    kept = {f"c{i}": c for i, c in enumerate(c for c in urls.columns if c.lower() not in made)}
+    ruled = with_rules(urls.select(F.col(f"`{column}`").alias("url"), *[F.col(f"`{c}`").alias(k) for k, c in kept.items()]), rules)
     if labelled is None:
-        labelled = ruled.select(F.col(f"`{column}`").alias("url"), (F.col("decided") == BLOCK).cast("int").alias("label"))
-        labelled = labelled.where(F.col("label").isNotNull())
-    model = fit(labelled)
-    score = free_name(ruled, "score")
-    scored = model.score(ruled, column, score)
-    own = F.when(F.col(score) > 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
-    return scored.withColumn("verdict", F.coalesce("decided", own)).drop("decided")
+        labelled = ruled.select("url", (F.col("decided") == BLOCK).cast("int").alias("label")).where(F.col("label").isNotNull())
+    scored = fit(labelled).score(ruled, "url", "score")
+    own = F.when(F.col("score") > 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
+    others = [F.col(k).alias(c) for k, c in kept.items()]
+    return scored.select(*others, "host", "path", "rule", F.col("score").alias(score), F.coalesce("decided", own).alias("verdict"))

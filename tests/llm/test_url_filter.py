@@ -109,3 +109,17 @@ def test_suffix_statistics_are_of_all_rows(spark):
     model = uf.fit(spark.createDataFrame(rows, "url string, label int"), fit_rows=40)
     got = {r["_of"]: (r["_seen"], r["_block_rate"]) for r in model.suffixes.collect()}
     assert got == {"com": (3000, 1501 / 3002), "zz": (500, 501 / 502)}
+
+
+def test_columns_of_any_name_and_very_long_urls(spark):
+    long = "https://x.example.net/" + "a/" * 50_000 + "?q=" + "9" * 100_000
+    rows = [(1, long), (2, None), (3, "https://example.com/de/x"), (4, "https://a.org/"), (4, "https://a.org/")]
+    plain_ = spark.createDataFrame(rows, "page_id long, url string")
+    names = ["decided", "_suffix", "_of", "_seen", "_block_rate", "_url_p", "_url_features", "_f_length", "score", "host", "Verdict", "c0", "a.b"]
+    wide = plain_.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    out = uf.filter_urls(wide)
+    assert out.columns == ["page_id", "url", *[n for n in names if n not in ("host", "Verdict")], "host", "path", "rule", "score_", "verdict"]
+    want = {(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in uf.filter_urls(plain_).collect()}
+    got = out.collect()
+    assert len(got) == 5 and {(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got} == want
+    assert all(r[n] == f"own {n}" for r in got for n in names if n not in ("host", "Verdict"))
