@@ -8,7 +8,7 @@ The draw of the extra copy is a Bernoulli trial with a hash as its seed, so any
 rerun, on any number of machines, draws alike. Of a few seeds a source takes the
 one whose total comes nearest to its target: each seed is as fair as another.
 
-Defined results: a null text or a text of white space counts no words; a null
+Defined results: a text of any length counts whole; a null text or a text of white space counts no words; a null
 source is a source of its own; a source without words gets rate 0; rows that
 share a doc_id share their draw; an empty table gives an empty mix.
 """
@@ -124,10 +124,11 @@ def with_copies(docs: DataFrame, rates: DataFrame) -> DataFrame:
     The rates go to every task if their number is small, which is checked;
     else the join shuffles and adaptive execution splits the hot source.
     """
-    right = rates.withColumnRenamed("source", "_mix_source")
+    of = free_name(docs, "_mix_source")
+    right = rates.withColumnRenamed("source", of)
     return (
-        docs.join(sized(right, rates.count()), F.col("source").eqNullSafe(F.col("_mix_source")), "left")
-        .drop("_mix_source")
+        docs.join(sized(right, rates.count()), F.col("source").eqNullSafe(F.col(of)), "left")
+        .drop(of)
         .withColumn("copies", copies(F.col("doc_id"), F.col("rate"), F.col("seed")))
     )
 
@@ -136,11 +137,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int =
     """The mixed documents: every row of ``docs``, repeated as planned, with its own columns only."""
     _, rates = mixing_plan(docs, weights, max_repeats)
     columns = docs.columns
-    rate, seed = free_name(docs, "_mix_rate"), free_name(docs, "_mix_seed")
-    right = rates.select(F.col("source").alias("_mix_source"), F.col("rate").alias(rate), F.col("seed").alias(seed))
+    of, rate, seed = (free_name(docs, n) for n in ("_mix_source", "_mix_rate", "_mix_seed"))
+    right = rates.select(F.col("source").alias(of), F.col("rate").alias(rate), F.col("seed").alias(seed))
     times = copies(F.col("doc_id"), F.col(rate), F.col(seed))
     return (
-        docs.join(sized(right, rates.count()), F.col("source").eqNullSafe(F.col("_mix_source")))
+        docs.join(sized(right, rates.count()), F.col("source").eqNullSafe(F.col(of)))
         .where(times > 0)
         .withColumn(rate, F.explode(F.array_repeat(F.lit(0), times)))
         .select(*[f"`{c}`" for c in columns])

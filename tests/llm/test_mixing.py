@@ -81,3 +81,12 @@ def test_draw_is_uniform(spark):
     assert 0 <= min(got) and max(got) < 1
     assert abs(sum(got) / len(got) - 0.5) < 0.02
     assert abs(sum(g < 0.2 for g in got) / len(got) - 0.2) < 0.03
+
+
+def test_columns_named_like_helpers_stay(spark):
+    rows = [(i, "a b c", f"s{i % 3}", "own", "own", "own") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _mix_source string, _mix_rate string, _MIX_SEED string")
+    plain_ = docs.select("doc_id", "text", "source")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {tuple(r)[3:] for r in mixed.collect()} == {("own",) * 3}
+    assert sorted(r["doc_id"] for r in mixed.collect()) == sorted(r["doc_id"] for r in mixing.mix(plain_).collect())
