@@ -77,6 +77,32 @@ def test_links_by_brute_force(spark, tile):
     assert sorted(map(tuple, got.collect())) == sorted(plain_links(rows))
 
 
+def test_tiles_that_lie_apart_never_meet(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(6, 24))
+    rows = [(i, [float(x) for x in np.float32(centres[i % 6] + rng.normal(size=24) * 0.05)], 1) for i in range(180)]
+    nodes = vector_dedup.classes(frame(spark, rows), "vec_id", "embedding", "label")
+    coded, of = vector_dedup._coded(nodes, 10)
+    assert coded.count() == 180 and "v" not in coded.columns
+    pairs = vector_dedup._meeting(coded, of, 0.98, 10).groupBy("i", "j").count().collect()
+    tiles = {r["i"] for r in pairs} | {r["j"] for r in pairs}
+    assert len(pairs) < len(tiles) * (len(tiles) + 1) / 4
+    got = vector_dedup.near_duplicates(frame(spark, rows), tile=10)
+    assert sorted(map(tuple, got.collect())) == sorted(plain_links(rows))
+
+
+def test_only_what_bounds_leave_open_is_fetched(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=32))], 1) for i in range(60)]
+    rows += [(100 + i, [float(x) for x in np.float32(np.array(rows[i][1]) + rng.normal(size=32) * 0.2)], 1) for i in range(20)]
+    nodes = vector_dedup.classes(frame(spark, rows), "vec_id", "embedding", "label")
+    meeting = vector_dedup._meeting(*vector_dedup._coded(nodes, 1024), 0.98, 1024)
+    first = meeting.groupBy("i", "j").applyInPandas(vector_dedup._compare(0.98, False), vector_dedup._FOUND)
+    assert 0 < first.where("side IS NOT NULL").count() <= 40
+    got = vector_dedup.near_duplicates(frame(spark, rows))
+    assert sorted(map(tuple, got.collect())) == sorted(plain_links(rows))
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(300, 33)) ** 3
