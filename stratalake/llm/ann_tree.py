@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by cosine: a hierarchical k-means tree, searched best bin first.
 
-The tree is fitted on a bounded sample (``SAMPLE_ROWS``, by hash) and sorts every
-vector into one of ``BRANCHES ** LEVELS`` leaves. A query visits leaves in the order
+The tree is fitted on a bounded sample (``SAMPLE_ROWS`` for each 256 leaves, by hash)
+and sorts every vector into one of its leaves, whose number grows with the square root
+of the rows, from 256 to 4,096 (``levels_for``). A query visits leaves in the order
 in which a priority queue over the nodes yields them, nearest centre first. How
 many it visits is calibrated: for ``CALIBRATION`` queries the true neighbours among
 all rows are computed in one pass, and visits are widened until the share of them
@@ -40,7 +41,9 @@ from stratalake.llm.common import materialize, sized
 from stratalake.llm.vector_dedup import scaled, usable
 
 SAMPLE_ROWS = 8_192
-BRANCHES, LEVELS = 4, 4
+BRANCHES, LEVELS, MOST_LEVELS = 4, 4, 6
+#: Rows up to which ``LEVELS`` do; 16 times as many get a level more, which is four times the leaves.
+ROWS_OF_LEVELS = 1 << 16
 CALIBRATION = 128
 TARGET_RECALL = 0.95
 ROW_BLOCK, QUERY_BLOCK = 2_048, 1_024
@@ -137,10 +140,20 @@ def lengths_of(rows: DataFrame) -> list[int]:
     return most + [r["n"] for r in counts.where(F.col("c") > SAMPLE_ROWS).collect() if r["n"] not in most]
 
 
+def levels_for(count: int) -> int:
+    """Levels of the tree of ``count`` rows."""
+    level = LEVELS
+    while level < MOST_LEVELS and count > ROWS_OF_LEVELS * 16 ** (level - LEVELS):
+        level += 1
+    return level
+
+
 def hash_sample(rows: DataFrame, count: int, wanted: int, salt: int) -> DataFrame:
-    """About ``wanted`` of ``count`` rows, those of the lowest hashed ids."""
+    """About ``wanted`` of ``count`` rows (id, v, ...), those of the lowest hashes; equal rows count once, and twice ``wanted`` is the most."""
     span = 1 << 30
-    return rows.where(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(span)) < F.lit(int(min(1.0, wanted / max(count, 1)) * span)))
+    of = F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(span))
+    low = rows.where(of < F.lit(int(min(1.0, wanted / max(count, 1)) * span))).dropDuplicates(["id", "v"])
+    return low.orderBy(of, "id").limit(2 * wanted)
 
 
 def _top(scores: np.ndarray, ids: np.ndarray, q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,10 +209,12 @@ class Index:
         length = length if length is not None else next(iter(lengths_of(rows)), 0)
         rows = rows.where(F.size("v") == length)
         self.count = rows.count()
-        sample = hash_sample(rows, self.count, SAMPLE_ROWS, 1).orderBy("id").toPandas() if self.count else pd.DataFrame({"v": []})
+        levels = levels_for(self.count)
+        wanted = SAMPLE_ROWS * BRANCHES ** (levels - LEVELS)
+        sample = hash_sample(rows, self.count, wanted, 1).toPandas() if self.count else pd.DataFrame({"v": []})
         if not len(sample) and self.count:
             sample = rows.limit(1).toPandas()
-        self.tree = tree = Tree(unit(stacked(sample["v"]))) if len(sample) else None
+        self.tree = tree = Tree(unit(stacked(sample["v"])), levels=levels) if len(sample) else None
 
         def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -247,9 +262,14 @@ class Index:
             out.append(needed[max(0, math.ceil(target * len(needed)) - 1)] if needed else tree.leaves)
         return out[0], out[1]
 
-    def search(self, queries: DataFrame, k: int = 5, visits: int | None = None) -> DataFrame:
-        """query_id, rank, vec_id, score. ``queries``: id, v, as vectors_of gives them; ``visits`` is calibrated if not given.
+    def crowded(self, held: np.ndarray) -> np.ndarray:
+        """1 for each leaf that holds more than the mean of ``held``, else 0."""
+        return (held > held.mean()).astype(np.int32)
+
+    def search(self, queries: DataFrame, k: int = 5, visits: int | tuple[int, int] | None = None) -> DataFrame:
+        """query_id, rank, vec_id, score. ``queries``: id, v, as vectors_of gives them.
 
+        ``visits``, one number or one each for sparse and crowded leaves, is calibrated on these queries if not given.
         However few the visits, more follow until ``k`` others are met or no leaf is left.
         """
         schema = "query_id bigint, vec_id bigint, score double"
@@ -257,8 +277,10 @@ class Index:
         if tree is None:
             return _best(queries.sparkSession.createDataFrame([], schema), k)
         held = self.held()
-        crowded = (held > held.mean()).astype(np.int32)
-        most = self.calibrate(queries, k, crowded) if visits is None else (visits, visits)
+        crowded = self.crowded(held)
+        if visits is None:
+            visits = self.calibrate(queries, k, crowded)
+        most = visits if isinstance(visits, tuple) else (visits, visits)
 
         def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:

@@ -246,3 +246,34 @@ def test_visits_go_on_until_enough_rows_are_met():
     held[path[9]] = 6
     assert tree.visits(x[0], 2, held, 6) == path[:10] and tree.visits(x[0], 12, held, 6) == path[:12]
     assert tree.visits(x[0], 2, held, 7) == path
+
+
+def test_samples_are_bounded_where_ids_repeat(spark):
+    rows = [(7, [float(i), 1.0]) for i in range(600)] + [(8, [2.0, 3.0])] * 600
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = ann_tree.hash_sample(df, 1200, 50, 1).collect()
+    assert 10 <= len(got) <= 100 and len({(r["id"], *r["v"]) for r in got}) == len(got)
+    assert sorted(map(str, ann_tree.hash_sample(df.repartition(5), 1200, 50, 1).collect())) == sorted(map(str, got))
+    assert ann_tree.hash_sample(df, 1200, 1, 1).count() <= 2
+
+
+def test_leaves_grow_with_the_rows(spark, monkeypatch):
+    assert [ann_tree.levels_for(n) for n in (0, 1 << 16, (1 << 16) + 1, 1 << 20, (1 << 20) + 1, 1 << 40)] == [4, 4, 5, 5, 6, 6]
+    monkeypatch.setattr(ann_tree, "ROWS_OF_LEVELS", 4)
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    index = ann_tree.Index(df)
+    queries = index.rows.where("id % 50 = 0").select("id", "v")
+    found = {(r["query_id"], r["vec_id"]) for r in index.search(queries).collect()}
+    true = ann_tree.brute_force(index.rows.select("id", "v"), queries.toPandas(), 5).select("query_id", "vec_id").collect()
+    assert sum(tuple(r) in found for r in true) >= 0.9 * len(true)
+
+
+def test_recall_of_queries_that_were_not_calibrated_on(spark):
+    index = ann_tree.Index(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"))
+    held = index.held()
+    visits = index.calibrate(index.rows.where("id % 50 = 0").select("id", "v"), 5, index.crowded(held))
+    others = index.rows.where("id % 50 = 25").select("id", "v")
+    found = {(r["query_id"], r["vec_id"]) for r in index.search(others, 5, visits).collect()}
+    true = ann_tree.brute_force(index.rows.select("id", "v"), others.toPandas(), 5).select("query_id", "vec_id").collect()
+    print("recall of held-out queries", sum(tuple(r) in found for r in true) / len(true), len(true) // 5, visits, index.tree.leaves)
+    assert sum(tuple(r) in found for r in true) >= 0.9 * len(true)
