@@ -2,7 +2,7 @@
 
 The words of each source are counted, targets are derived from weights, and a
 source's repetition rate is its target over its size. A document is emitted
-floor(rate) times, plus once more if a hash of its id falls below the fraction.
+floor(rate) times, plus once more if a hash of its id and text falls below the fraction.
 
 The draw of the extra copy is a Bernoulli trial with a hash as its seed, so any
 rerun, on any number of machines, draws alike. Of a few seeds a source takes the
@@ -10,7 +10,7 @@ one whose total comes nearest to its target: each seed is as fair as another.
 
 Defined results: a text of any length counts whole; a null text or a text of white space counts no words; a null
 source is a source of its own; a source without words gets rate 0; rows that
-share a doc_id share their draw; an empty table gives an empty mix.
+share a doc_id draw apart if their texts differ, and rows alike in both share their draw; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -36,9 +36,14 @@ def words(text: Column) -> Column:
     return whole_number(F.regexp_count(text, F.lit(WORD)))
 
 
-def draw(doc_id: Column, seed: Column) -> Column:
-    """A number in [0, 1) that depends on the document's id and the seed alone."""
-    key = F.concat_ws(":", seed.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def fingerprint(text: Column) -> Column:
+    """A hash of a text; null counts as empty. It tells rows without an id, or of equal ids, apart."""
+    return F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 16)
+
+
+def draw(doc_id: Column, seed: Column, mark: Column | None = None) -> Column:
+    """A number in [0, 1) that depends on the document's id, the fingerprint of its text and the seed alone."""
+    key = F.concat_ws(":", seed.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("") if mark is None else mark)
     return F.conv(F.substring(F.md5(key), 1, _DIGITS), 16, 10).cast("double") / float(16**_DIGITS)
 
 
@@ -86,7 +91,7 @@ def with_seeds(docs: DataFrame, rates: DataFrame, n_sources: int, seeds: int = S
     fraction = F.col("rate") - F.floor("rate")
     joined = docs.join(sized(rates.withColumnRenamed("source", "_s"), n_sources), F.col("source").eqNullSafe(F.col("_s")))
     extra = [
-        F.sum(F.when(draw(F.col("doc_id"), F.lit(k)) < fraction, F.col("size")).otherwise(F.lit(0))).alias(f"_x{k}")
+        F.sum(F.when(draw(F.col("doc_id"), F.lit(k), F.col("fingerprint")) < fraction, F.col("size")).otherwise(F.lit(0))).alias(f"_x{k}")
         for k in range(seeds)
     ]
     sums = joined.groupBy("source").agg(F.max("target").alias("_t"), F.sum(F.floor("rate") * F.col("size")).alias("_f"), *extra)
@@ -104,22 +109,22 @@ def mixing_plan(
 ) -> tuple[DataFrame, DataFrame]:
     """(sizes, rates) of ``docs`` with columns doc_id, text, source.
 
-    sizes: doc_id, source, size, one row per document, written once because
+    sizes: doc_id, source, size, fingerprint, one row per document, written once because
     three steps read it; the texts are read a single time. rates: source,
     source_size, weight, target, rate, seed, one row per source.
     """
-    sizes = materialize(docs.select("doc_id", "source", words(F.col("text")).alias("size")), "mix-sizes")
+    sizes = materialize(docs.select("doc_id", "source", words(F.col("text")).alias("size"), fingerprint(F.col("text")).alias("fingerprint")), "mix-sizes")
     rates = materialize(with_targets(source_sizes(sizes, weights), max_repeats), "mix-rates")
     return sizes, materialize(with_seeds(sizes, rates, rates.count(), seeds), "mix-seeds")
 
 
-def copies(doc_id: Column, rate: Column, seed: Column) -> Column:
+def copies(doc_id: Column, rate: Column, seed: Column, mark: Column) -> Column:
     """How often a document is emitted."""
-    return (F.floor(rate) + F.when(draw(doc_id, seed) < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))).cast("int")
+    return (F.floor(rate) + F.when(draw(doc_id, seed, mark) < rate - F.floor(rate), F.lit(1)).otherwise(F.lit(0))).cast("int")
 
 
 def with_copies(docs: DataFrame, rates: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, source and any other columns) with the columns of ``rates`` and copies.
+    """``docs`` (doc_id, source, fingerprint and any other columns) with the columns of ``rates`` and copies.
 
     The rates go to every task if their number is small, which is checked;
     else the join shuffles and adaptive execution splits the hot source.
@@ -129,7 +134,7 @@ def with_copies(docs: DataFrame, rates: DataFrame) -> DataFrame:
     return (
         docs.join(sized(right, rates.count()), F.col("source").eqNullSafe(F.col(of)), "left")
         .drop(of)
-        .withColumn("copies", copies(F.col("doc_id"), F.col("rate"), F.col("seed")))
+        .withColumn("copies", copies(F.col("doc_id"), F.col("rate"), F.col("seed"), F.col("fingerprint")))
     )
 
 
@@ -139,7 +144,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int =
     columns = docs.columns
     of, rate, seed = (free_name(docs, n) for n in ("_mix_source", "_mix_rate", "_mix_seed"))
     right = rates.select(F.col("source").alias(of), F.col("rate").alias(rate), F.col("seed").alias(seed))
-    times = copies(F.col("doc_id"), F.col(rate), F.col(seed))
+    times = copies(F.col("doc_id"), F.col(rate), F.col(seed), fingerprint(F.col("text")))
     return (
         docs.join(sized(right, rates.count()), F.col("source").eqNullSafe(F.col(of)))
         .where(times > 0)

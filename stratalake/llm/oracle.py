@@ -5,7 +5,7 @@ from __future__ import annotations
 from stratalake.llm.mixing import MAX_REPEATS, SEEDS, WEIGHTS, WORD
 from stratalake.llm.queries import HOSTILE
 
-_DRAW = "('0x' || substr(md5('{k}:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint::double / 4503599627370496.0"
+_DRAW = "('0x' || substr(md5('{k}:' || coalesce(doc_id::varchar, '') || ':' || mark), 1, 13))::bigint::double / 4503599627370496.0"
 _EXTRA = ", ".join(
     f"sum(CASE WHEN {_DRAW.format(k=k)} < rate - floor(rate) THEN size ELSE 0 END) AS x{k}" for k in range(SEEDS)
 )
@@ -14,7 +14,8 @@ _SEED_DRAW = "CASE seed " + " ".join(f"WHEN {k} THEN {_DRAW.format(k=k)}" for k
 
 OP1 = f"""
 WITH d AS (
-    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::bigint AS size FROM documents
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::bigint AS size,
+        substr(md5(coalesce(text, '')), 1, 16) AS mark FROM documents
 ), s AS (
     SELECT source, sum(size)::bigint AS source_size FROM d GROUP BY source
 ), w AS (

@@ -90,3 +90,16 @@ def test_columns_named_like_helpers_stay(spark):
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and {tuple(r)[3:] for r in mixed.collect()} == {("own",) * 3}
     assert sorted(r["doc_id"] for r in mixed.collect()) == sorted(r["doc_id"] for r in mixing.mix(plain_).collect())
+
+
+def test_rows_without_ids_or_of_equal_ids_draw_apart(spark):
+    rows = [(None if i % 2 else 7, f"w{i} b c d", f"s{i % 3}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes, rates = mixing.mixing_plan(docs)
+    targets = {r["source"]: r["target"] for r in rates.collect()}
+    assert any(t % 1200 for t in targets.values())
+    taken = mixing.mix(docs).groupBy("source").agg(F.sum(mixing.words(F.col("text"))).alias("n"))
+    for r in taken.collect():
+        assert abs(r["n"] - targets[r["source"]]) <= 0.1 * targets[r["source"]]
+    planned = mixing.with_copies(sizes, rates).agg(F.sum("copies")).first()[0]
+    assert mixing.mix(docs.repartition(5)).count() == planned
