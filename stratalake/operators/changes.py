@@ -243,7 +243,8 @@ def apply_changes_with_tombstones(
         graves = tombstones.withColumn("is_deleted", F.lit(True))
         known = graves if known is None else known.unionByName(graves, allowMissingColumns=True)
     if known is not None:
-        state = _upsert_newer(known, state, keys, sequence_column)
+        # Written once: three joins read it.
+        state = _upsert_newer(known, materialize(state, "feed-last"), keys, sequence_column)
     state = materialize(state, "feed-state")
     alive = state.filter(~F.col("is_deleted")).drop("is_deleted")
     return alive, state.filter("is_deleted").select(*keys, sequence_column)

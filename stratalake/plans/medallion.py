@@ -40,7 +40,9 @@ def run_batch(
     Each model is written once and read back by the next, so nothing upstream
     is computed twice and a lost executor costs at most the current model. The
     fact's rules are counted while it is written; a failing fact stays
-    unpublished and stops the batch.
+    unpublished and stops the batch. A replay of ``batch`` writes the same
+    versions again; the audit keeps a row for every attempt, of which the
+    newest per ``job_run_id`` counts.
     """
 
     def published(name: str, df: DataFrame, rules=None) -> DataFrame:

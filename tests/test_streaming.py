@@ -181,6 +181,14 @@ def test_a_whole_batch(spark, tmp_path):
     failure = spark.read.parquet(str(tmp_path / "job_execution")).filter("job_run_id = 'job-2'").first()
     assert (failure.status, failure.failure_stage, failure.failure_type) == ("FAILED", "fact_order", "ExpectationFailed")
 
+    before = rows(layers.order_kpis, "order_id", "order_total", "units_sold")
+    again = medallion.run_batch(spark, *args, str(tmp_path), 1, "job-1")
+    assert rows(again.order_kpis, "order_id", "order_total", "units_sold") == before
+    attempts = spark.read.parquet(str(tmp_path / "job_execution"))
+    assert attempts.filter("job_run_id = 'job-1'").count() == 2
+    newest = latest_records(attempts, ["job_run_id"], ["end_time", "run_id"])
+    assert rows(newest, "job_run_id", "status") == [("job-1", "SUCCESS"), ("job-2", "FAILED")]
+
 
 def test_a_new_checkpoint_goes_on_after_the_old_versions(spark, tmp_path):
     schema = "k int, v string, ingestion_timestamp bigint, _source_file string"
