@@ -3,8 +3,8 @@
 1. Every text becomes its sorted array of hashed shingles, a bitmap signature of
    about as many bits, and a 128-bit name of the whole set. Texts of equal sets
    are one class from here on.
-2. Shingles are counted into a fixed number of buckets, which gives all sets the
-   same order, rarest first. By the threshold, two linked sets share one of their
+2. Shingles are counted into buckets, more of them the more shingles there are,
+   which gives all sets the same order, rarest first. By the threshold, two linked sets share one of their
    first few shingles in that order, so only those become tile keys.
 3. A tile is a shingle and a band of sizes. A size can link only to its own and
    the neighbouring band.
@@ -46,9 +46,12 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import arrow_rows, discard, giving_back, materialize, sized
 from stratalake.llm.components import components
 
-BUCKETS = 1 << 17
-#: A bucket with so many times the mean count is hot: its shingles skip the search for single ones.
-HOT = 8
+#: Buckets have so many shingles each on average, as long as there are neither fewer nor more than so many (powers of
+#: two) of them. A task sends one row for each bucket that it meets, and the driver holds one number for each.
+BUCKET_SHINGLES, BUCKET_BITS = 4_096, (17, 22)
+#: A bucket with so many times the mean count, or with so many shingles, is hot: its shingles skip the search for single
+#: ones, where all rows of a shingle meet in one task.
+HOT, HOT_ROWS = 8, 1 << 22
 MEMO_WORDS = 100_000
 #: A tile with more pairs to compare than this is compared inside tasks, in blocks of so many rows, by signatures of
 #: so many bits for each shingle.
@@ -134,30 +137,41 @@ def shingle_sets(docs: DataFrame, width: int, id_column: str, text_column: str)
     return materialize(made.withColumn("rid", F.monotonically_increasing_id()), "shingle-sets")
 
 
+def bucket_bits(total: int) -> int:
+    """The logarithm of the number of buckets for ``total`` shingles."""
+    least, most = BUCKET_BITS
+    return min(max((total // BUCKET_SHINGLES).bit_length(), least), most)
+
+
 def bucket_counts(sets: DataFrame) -> np.ndarray:
-    """Shingles by bucket, over all sets: a fixed number of counts."""
+    """Shingles by bucket, over all sets."""
+    bits = bucket_bits(sets.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
+        total = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
             joined = np.frombuffer(b"".join(batch["shingles"]), dtype=np.uint64)
-            total += np.bincount(_bucket(joined), minlength=BUCKETS)
+            total += np.bincount(_bucket(joined, bits), minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "c": total[at]})
 
     counted = sets.select("shingles").mapInPandas(giving_back(run), "bucket int, c bigint").groupBy("bucket").agg(F.sum("c").alias("c")).toPandas()
-    out = np.zeros(BUCKETS, dtype=np.int64)
+    out = np.zeros(1 << bits, dtype=np.int64)
     out[counted["bucket"].to_numpy(dtype=np.int64)] = counted["c"].to_numpy(dtype=np.int64)
     return out
 
 
-def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(47)).astype(np.int64)
+def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def hot_buckets(counts: np.ndarray) -> np.ndarray:
+    return counts > min(HOT * max(1.0, counts.mean()), HOT_ROWS)
 
 
 def tile_keys(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     """sh, band, node, n, hot: the first shingles of each set, rarest bucket first."""
-    hot = counts > HOT * max(1.0, counts.mean())
+    hot, bits = hot_buckets(counts), len(counts).bit_length() - 1
     schema = pa.schema([("sh", pa.int64()), ("band", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("hot", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +180,7 @@ def tile_keys(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
             picked = []
             for s in batch.column("shingles"):
                 h = np.frombuffer(s.as_buffer(), dtype=np.uint64)
-                picked.append(h[np.lexsort((h, counts[_bucket(h)]))[: prefix_length(len(h), percent)]])
+                picked.append(h[np.lexsort((h, counts[_bucket(h, bits)]))[: prefix_length(len(h), percent)]])
             if not picked:
                 continue
             sizes = batch.column("n").to_numpy()
@@ -178,7 +192,7 @@ def tile_keys(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                     pa.array(np.repeat(band(sizes, percent), each)),
                     pa.array(np.repeat(nodes, each)),
                     pa.array(np.repeat(sizes, each).astype(np.int32)),
-                    pa.array(hot[_bucket(keys)]),
+                    pa.array(hot[_bucket(keys, bits)]),
                 ],
                 schema=schema,
             )

@@ -133,3 +133,27 @@ def test_bands_and_prefixes():
             low, high = nj.band(np.array([n, most]), percent)
             assert 0 <= high - low <= 1
             assert 1 <= nj.prefix_length(n, percent) <= n
+
+
+def test_buckets_grow_with_the_shingles():
+    assert [nj.bucket_bits(n) for n in (0, 10**8, 10**10, 10**14)] == [17, 17, 22, 22]
+    counts = np.full(1 << 17, nj.HOT_ROWS, dtype=np.int64)
+    counts[5] += 1
+    # One bucket is beyond what a task may hold, though no more than others.
+    assert np.flatnonzero(nj.hot_buckets(counts)).tolist() == [5]
+    assert np.flatnonzero(nj.hot_buckets(np.r_[np.ones(99, dtype=np.int64), 900])).tolist() == [99]
+
+
+@pytest.mark.parametrize("bits", [3, 12])
+def test_the_number_of_buckets_changes_nothing(spark, monkeypatch, bits):
+    monkeypatch.setattr(nj, "BUCKET_BITS", (bits, bits))
+    rng = random.Random(bits)
+    base = [f"w{k}" for k in range(30)]
+    check(spark, [(i, " ".join(mutated(rng, base, rng.choice([0, 1, 1, 8])))) for i in range(60)])
+
+
+def test_every_bucket_beyond_a_task_is_hot(spark, monkeypatch):
+    monkeypatch.setattr(nj, "HOT_ROWS", 0)
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(30)]
+    check(spark, [(i, " ".join(mutated(rng, base, rng.choice([0, 1, 1, 8])))) for i in range(60)])
