@@ -22,7 +22,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -77,14 +77,22 @@ def shares(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray | None:
     return np.sqrt(counts / len(hashed)).astype(np.float32)
 
 
+def matrix_of(vectors: Iterable[bytes], rows: int, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Vectors of two-byte numbers as rows, each followed by a 1. The matrix is the only copy that is made."""
+    out = np.ones((rows, dimensions + 1), dtype=np.float32)
+    for row, v in zip(out, vectors):
+        row[:-1] = np.frombuffer(v, dtype=np.float16)
+    return out
+
+
 def fit_machine(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 150) -> tuple[np.ndarray, float]:
     """Weights (the last one is the offset) and scale of a linear support vector machine with squared hinge loss.
 
-    y: 1 or -1; both kinds weigh the same. Accelerated gradient steps of a fixed
-    length, so equal rows in equal order give equal weights. scale turns margins
-    into log odds: 4 at the median margin.
+    The last column of x is 1 (see :func:`matrix_of`). y: 1 or -1; both kinds
+    weigh the same. Accelerated gradient steps of a fixed length, so equal rows in
+    equal order give equal weights. scale turns margins into log odds: 4 at the
+    median margin.
     """
-    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
     weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
     w = v = np.zeros(x.shape[1], dtype=np.float32)
     step = 1 / (penalty + 4.0)  # rows have length sqrt(2) and weights sum to 1
@@ -121,8 +129,7 @@ def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _fit_pair(pdf: pd.DataFrame) -> pd.DataFrame:
     first, second, level = pdf["first"].iloc[0], pdf["second"].iloc[0], pdf["level"].iloc[0]
     pdf = pdf.sort_values(["side", "x"])
-    x = np.stack([np.frombuffer(v, dtype=np.float16) for v in pdf["x"]]).astype(np.float32)
-    w, scale = fit_machine(x, np.where(pdf["side"].to_numpy() == first, 1, -1).astype(np.float32))
+    w, scale = fit_machine(matrix_of(pdf["x"], len(pdf)), np.where(pdf["side"].to_numpy() == first, 1, -1).astype(np.float32))
     return pd.DataFrame({"level": [level], "first": [first], "second": [second], "w": [w.astype(np.float16).tobytes()], "scale": [scale]})
 
 
@@ -233,8 +240,8 @@ class Model:
 
 
 def _mean(pdf: pd.DataFrame) -> pd.DataFrame:
-    x = np.stack([np.frombuffer(v, dtype=np.float16) for v in sorted(pdf["x"])]).astype(np.float32)
-    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "x": [x.mean(axis=0).astype(np.float16).tobytes()]})
+    x = np.stack([np.frombuffer(v, dtype=np.float16) for v in sorted(pdf["x"])])
+    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "x": [x.mean(axis=0, dtype=np.float32).astype(np.float16).tobytes()]})
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:

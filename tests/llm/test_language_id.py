@@ -121,3 +121,9 @@ def test_a_language_of_copies_is_learned(spark):
     copies = spark.createDataFrame([(f"le petit chat de la maison est dans le jardin {k}", "fr") for k in "abc"] * 3000, "text string, lang string")
     model = lid.fit(given.unionByName(copies), 200)
     assert model.families["romance"] == ["es", "fr"]
+
+
+def test_matrix_has_the_vectors_and_a_one():
+    x = np.arange(12, dtype=np.float16).reshape(3, 4)
+    assert lid.matrix_of([v.tobytes() for v in x], 3, 4).tolist() == [[*v, 1.0] for v in x.tolist()]
+    assert lid.matrix_of([], 0, 4).shape == (0, 5)
