@@ -65,8 +65,8 @@ def merges_of(tokens: list[bytes]) -> np.ndarray:
 class Encoder:
     """Encodes pieces of text. Built once per task."""
 
-    def __init__(self, tokens: list[bytes], merges: np.ndarray):
-        self.tokens = tokens
+    def __init__(self, tokens: list[bytes], merges: np.ndarray, memo_pairs: int = MEMO_PAIRS):
+        self.tokens, self.memo_pairs = tokens, memo_pairs
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.lengths = [len(t) for t in tokens]
         self.left, self.right = merges[:, 0].tolist(), merges[:, 1].tolist()
@@ -93,7 +93,7 @@ class Encoder:
         """Whether merging can leave ``first`` and ``second`` next to each other."""
         found = self.fits.get((first, second))
         if found is None:
-            if len(self.fits) >= MEMO_PAIRS:
+            if len(self.fits) >= self.memo_pairs:
                 self.fits.clear()
             found = self.fits[first, second] = self._compatible(first, second)
         return found
@@ -175,10 +175,12 @@ class _Memo(dict):
         return packed
 
 
-def text_encoder(tokens: list[bytes], merges: np.ndarray, pattern: str, memo_pieces: int = MEMO_PIECES) -> Callable[[str | None], bytes]:
+def text_encoder(
+    tokens: list[bytes], merges: np.ndarray, pattern: str, memo_pieces: int = MEMO_PIECES, memo_pairs: int = MEMO_PAIRS
+) -> Callable[[str | None], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers."""
     find = regex.compile(pattern).findall
-    ids_of = _Memo(Encoder(tokens, merges), memo_pieces).__getitem__
+    ids_of = _Memo(Encoder(tokens, merges, memo_pairs), memo_pieces).__getitem__
 
     def encode(text: str | None) -> bytes:
         return b"".join(map(ids_of, find(text))) if text else b""
@@ -195,14 +197,19 @@ def decode(packed: bytes, tokens: list[bytes]) -> bytes:
 
 
 def encode_texts(
-    df: DataFrame, path: str, pattern: str, column: str = "text", into: str = "ids", memo_pieces: int = MEMO_PIECES
-) -> DataFrame:
-    """``df`` with the ids of ``column`` in ``into``, an array of int. One pass; no row is moved."""
+    df: DataFrame, path: str, pattern: str, column: str = "text", into: str = "ids", memo_pieces: int = MEMO_PIECES,
+    memo_pairs: int = MEMO_PAIRS,
+) -> DataFrame:
+    """``df`` with the ids of ``column`` in ``into``, an array of int. One pass; no row is moved.
+
+    A task remembers the ids of ``memo_pieces`` pieces and, of ``memo_pairs`` pairs
+    of tokens, whether they can be neighbours. Fewer take less memory and more time.
+    """
     tokens = read_ranks(path)
     merges = merges_of(tokens)
 
     def of():
-        encode = text_encoder(tokens, merges, pattern, memo_pieces)
+        encode = text_encoder(tokens, merges, pattern, memo_pieces, memo_pairs)
         return lambda texts: [(unpack(encode(text)).astype(np.int32),) for text in texts]
 
     return map_texts(df, column, {into: "array<int>"}, of)

@@ -96,3 +96,10 @@ def test_edge_rows(spark):
         assert r["tokens"] == REFERENCE.encode_ordinary(r["text"] or "")
     assert byte_bpe.encode_texts(docs, PATH, P.PATTERN).columns.count("ids") == 1
     assert byte_bpe.round_trip(docs.limit(0), PATH, P.PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("pairs", [0, 1, 7])
+def test_few_remembered_pairs_change_nothing(pairs):
+    few = byte_bpe.text_encoder(TOKENS, MERGES, P.PATTERN, 1, pairs)
+    for text in ("unbelievable internationalisation xyzzyqqjj", "Donaudampfschifffahrtsgesellschaft", "a" * 500, "日本語のテキスト"):
+        assert few(text) == ENCODE(text)
