@@ -18,8 +18,8 @@ from stratalake.llm.common import free_name, materialize, sized, table
 
 #: Rows in a batch for Python. All stages run in the same executors, one after another, so each keeps its batches small.
 BATCH_ROWS = 300
-#: Pieces whose ids a task of the last stage remembers.
-MEMO_PIECES = 50_000
+#: Pieces whose ids, and pairs of tokens whose compatibility, a task of the last stage remembers.
+MEMO_PIECES, MEMO_PAIRS = 50_000, 20_000
 #: Near duplicates: five words, a similarity of 0.8 or more.
 WIDTH, PERCENT = 5, 80
 
@@ -88,7 +88,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
     texts = docs.select("doc_id", "lang", "source", "text")
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    made = byte_bpe.encode_texts(texts, vocabulary, public_tokenizers.PATTERN, memo_pieces=MEMO_PIECES)
+    made = byte_bpe.encode_texts(texts, vocabulary, public_tokenizers.PATTERN, memo_pieces=MEMO_PIECES, memo_pairs=MEMO_PAIRS)
     return made.select("doc_id", "lang", "source", F.size("ids").alias("n_tokens"), "ids")
 
 
