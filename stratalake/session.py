@@ -75,6 +75,17 @@ def partitions_for(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
     return max(configured, min(MAX_PARTITIONS, -(-scanned_bytes(df) // target_bytes)))
 
 
+def tasks_for(target_bytes: int, *inputs: DataFrame) -> int:
+    """Tasks of which each sees about ``target_bytes`` of the files read, and at least one for every core where so many are configured.
+
+    For an explicit ``repartition``, whose tasks adaptive execution leaves as they are: where it
+    merges them, it goes by compressed bytes, and a task's memory may be fifty times of that.
+    """
+    spark = inputs[0].sparkSession
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(least, min(MAX_PARTITIONS, -(-sum(map(scanned_bytes, inputs)) // target_bytes)))
+
+
 @contextlib.contextmanager
 def sized_shuffles(*inputs: DataFrame) -> Iterator[int]:
     """Raise the session's shuffle partitions to what the largest input needs, for the jobs that run inside.

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.session import materialize
 from stratalake.sources import large_documents, rescue
 
 SPLIT = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
@@ -76,3 +77,25 @@ def test_a_document_larger_than_a_value_may_be(spark, tmp_path):
     got = large_documents.split_large_array(spark, str(tmp_path))
     ids = got.select(F.get_json_object("record", "$.id").cast("int").alias("id"), F.length(F.get_json_object("record", "$.body")).alias("n"))
     assert ids.agg(F.count("*"), F.count_distinct("id"), F.min("n"), F.max("n")).first()[:] == (10_000, 10_000, 15_000, 15_000)
+
+
+def test_windows_hold_units_of_a_range(spark, tmp_path, monkeypatch):
+    """One range of 300 records in units of 8 pieces: no window holds the range, and the records are the same."""
+    monkeypatch.setattr(large_documents, "UNIT_PIECES", 8)
+    rows = records(4, 300)
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    read = spark.read.option("lineSep", "}").text(str(tmp_path))
+    sizes = large_documents._pieces(read).groupBy("file", "block").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 8 and sizes.count() > 40
+    assert found(spark, tmp_path) == {"a.json": rows}
+
+
+def test_tasks_grow_with_the_text(spark, tmp_path, monkeypatch):
+    """A task sorts so many bytes of text, whatever adaptive execution would merge."""
+    (tmp_path / "a.json").write_text(json.dumps(records(5, 300)))
+    monkeypatch.setattr(large_documents, "TASK_BYTES", 500)
+    made = []
+    monkeypatch.setattr(large_documents, "materialize", lambda df, label: made.append((label, df.rdd.getNumPartitions())) or materialize(df, label))
+    assert large_documents.split_large_array(spark, str(tmp_path)).count() == 300
+    wanted = -(-(tmp_path / "a.json").stat().st_size // 500)
+    assert wanted > 20 and dict(made)["json-states"] == dict(made)["json-placed"] == wanted
