@@ -1,6 +1,6 @@
 """Scalar expressions shared by the operators."""
 
-from stratalake.functions.keys import composite_key, hash_key, record_hash
+from stratalake.functions.keys import composite_key, hash_key, packed, packed_max, record_hash, unpacked
 from stratalake.functions.values import (
     iso_text,
     json_map,
@@ -17,6 +17,9 @@ from stratalake.functions.values import (
 __all__ = [
     "composite_key",
     "hash_key",
+    "packed",
+    "packed_max",
+    "unpacked",
     "record_hash",
     "iso_text",
     "json_map",

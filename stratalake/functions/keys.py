@@ -30,6 +30,28 @@ def composite_key(*parts: str | Column, separator: str = "|") -> Column:
     return F.sha2(F.concat_ws(separator, *[as_column(p).cast("string") for p in parts]), 256)
 
 
+def _is_hex(text: Column) -> Column:
+    return F.coalesce(F.lower(F.hex(F.unhex(text))) == text, F.lit(False))
+
+
+def packed(key: str | Column) -> Column:
+    """A text key as a struct that takes half the room while it travels, if it is hex digits as surrogate keys are; any other text stays as it is."""
+    text = as_column(key)
+    return F.struct(F.when(_is_hex(text), F.unhex(text)).alias("bytes"), F.when(~_is_hex(text), text).alias("text"))
+
+
+def unpacked(key: str | Column) -> Column:
+    key = as_column(key)
+    return F.coalesce(F.lower(F.hex(key["bytes"])), key["text"])
+
+
+def packed_max(key: str | Column) -> Column:
+    """``max`` of a text key whose values travel packed: hex digits order as their bytes do."""
+    text = as_column(key)
+    greatest = F.max(F.when(_is_hex(text), F.unhex(text)))
+    return F.greatest(F.lower(F.hex(greatest)), F.max(F.when(~_is_hex(text), text)))
+
+
 def record_hash(columns: Sequence[str]) -> Column:
     """SHA-256 over a JSON rendering that keeps NULLs and field names apart.
 

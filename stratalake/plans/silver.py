@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions import composite_key, hash_key, to_amount, to_day, to_instant
+from stratalake.functions import composite_key, hash_key, packed, to_amount, to_day, to_instant, unpacked
 from stratalake.operators.history import END, START, scd2_from_snapshot, scd2_view
 from stratalake.operators.latest import ARRIVAL_ORDER, latest_records
 from stratalake.operators.lookup import lookup_key
@@ -96,8 +96,10 @@ def fact_order(
     )
     # An order without lines is dropped before it travels to the lookup.
     orders = orders.filter(F.size("products") > 0)
+    # The customer's key goes along with every line to the lookup of its product.
     lines = (
         lookup_key(orders, customers, "customer_id", "customer_sk")
+        .withColumn("customer_sk", packed("customer_sk"))
         .select("*", F.posexplode("products").alias("_position", "_line"))
         .withColumn("line_number", (F.col("_position") + 1).cast("int"))
         .withColumn("product_id", F.col("_line.productId"))
@@ -110,7 +112,7 @@ def fact_order(
             composite_key("order_id", "line_number").alias("order_sk"),
             "order_id",
             "line_number",
-            "customer_sk",
+            unpacked("customer_sk").alias("customer_sk"),
             "customer_id",
             "product_sk",
             "product_id",

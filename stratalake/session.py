@@ -22,10 +22,14 @@ SQL_SETTINGS = {
 }
 
 
+# Of written tables: surrogate keys are hex digits, which the default leaves as they are.
+COMPRESSION = "zstd"
 # Bounds what the driver keeps per shuffle.
 MAX_PARTITIONS = 100_000
 # Paths given out by scratch_path.
 _SCRATCH: list[str] = []
+# The planner's estimate for rows of unknown size is the largest number there is.
+UNKNOWN_BYTES = 1 << 60
 # What one task should get to see.
 TARGET_BYTES = 128 << 20
 
@@ -79,11 +83,14 @@ def tasks_for(target_bytes: int, *inputs: DataFrame) -> int:
     """Tasks of which each sees about ``target_bytes`` of the files read, and at least one for every core where so many are configured.
 
     For an explicit ``repartition``, whose tasks adaptive execution leaves as they are: where it
-    merges them, it goes by compressed bytes, and a task's memory may be fifty times of that.
+    merges them, it goes by compressed bytes, and a task's memory may be fifty times of that. Rows that
+    are not read from files, whose size nobody knows, get the configured number.
     """
     spark = inputs[0].sparkSession
-    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return max(least, min(MAX_PARTITIONS, -(-sum(map(scanned_bytes, inputs)) // target_bytes)))
+    configured, read = int(spark.conf.get("spark.sql.shuffle.partitions")), sum(map(scanned_bytes, inputs))
+    if read >= UNKNOWN_BYTES:
+        return configured
+    return max(min(configured, spark.sparkContext.defaultParallelism), min(MAX_PARTITIONS, -(-read // target_bytes)))
 
 
 @contextlib.contextmanager
@@ -154,7 +161,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._scratch = path
     return table

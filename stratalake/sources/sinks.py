@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.quality import observe_rules, observed_failures, raise_failures
+from stratalake.session import COMPRESSION
 
 EMPTY_SCHEMA = T.StructType([T.StructField("ingestion_timestamp", T.TimestampType())])
 
@@ -95,11 +96,11 @@ def publish(
     """
     path = version_path(root, version)
     if not rules:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*partition_by).parquet(path)
         return path
     spark = df.sparkSession
     observed, observation = observe_rules(df, rules)
-    writer = observed.write.mode("overwrite").partitionBy(*partition_by)
+    writer = observed.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*partition_by)
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     raise_failures(observed_failures(observation, rules))
     hadoop = spark._jvm.org.apache.hadoop.fs
