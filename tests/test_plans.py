@@ -1,5 +1,6 @@
 """The shape of plans, where it decides whether an operator scales."""
 
+import os
 import re
 
 import pytest
@@ -158,3 +159,12 @@ def test_merge_reads_its_sides_once_each(spark):
     _, metrics = changes.run_merge(orders, orders, "TYPE1")
     # The metrics read the classified rows that were written, and count the target.
     assert plan(metrics).count("orders.parquet") == 1
+
+
+def test_order_documents_are_put_together_in_tasks_of_so_many_bytes(spark, monkeypatch):
+    """Adaptive execution merges no tasks of a count that is given."""
+    bytes_ = sum(os.path.getsize(f"{SF}/{t}.parquet") for t in ("orders", "lineitem"))
+    monkeypatch.setattr(inputs, "TASK_BYTES", 4096)
+    wanted = -(-bytes_ // 4096)
+    assert wanted > 20 and inputs.orders_with_lines(spark, SF).rdd.getNumPartitions() == wanted
+    assert inputs.orders_with_lines(spark, SF).count() == inputs.table(spark, SF, "orders").count()

@@ -8,7 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.session import tasks_for
+
 PAGE_SIZE = 2
+# Bytes of the order tables' files that one task puts together; in its memory they are fifty times as many.
+TASK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -23,7 +27,8 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     """l_orderkey, products: every line of the order, by line number, part and quantity."""
     line = F.struct("l_linenumber", F.col("l_partkey").alias("productId"), F.col("l_quantity").cast("bigint").alias("quantity"))
     product = F.array_sort(F.collect_list(line))
-    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    return lines.repartition(tasks_for(TASK_BYTES, lines, orders), "l_orderkey").groupBy("l_orderkey").agg(
         F.transform(product, lambda x: F.struct(x["productId"].alias("productId"), x["quantity"].alias("quantity"))).alias("products")
     )
 
@@ -32,8 +37,9 @@ def orders_with_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their products array; empty for an order without lines."""
     lines = order_lines(spark, sf)
     empty = F.array().cast(lines.schema["products"].dataType)
+    orders = table(spark, sf, "orders")
     return (
-        table(spark, sf, "orders")
+        orders.repartition(tasks_for(TASK_BYTES, table(spark, sf, "lineitem"), orders), "o_orderkey")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .withColumn("products", F.coalesce("products", empty))
         .drop("l_orderkey")
