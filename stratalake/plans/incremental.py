@@ -14,7 +14,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stratalake.functions import packed, unpacked
 from stratalake.operators.observations import of_keys
 from stratalake.plans import gold
 from stratalake.session import materialize
@@ -41,7 +43,12 @@ def maintain(state: DataFrame | None, delta: DataFrame, base: DataFrame, model:
     """The state after ``delta`` (rows with a sign). ``base``: all rows as they are now, read for touched groups and for ``again`` only.
 
     A group without rows is gone. A sum over NULLs only is NULL, also after its last value was taken back.
+    Text keys travel packed, as they go along with every row.
     """
+    texts = [k for k in model.keys if delta.schema[k].dataType == T.StringType()]
+    pack = lambda df: df.withColumns({k: packed(k) for k in texts})
+    delta, base, state = pack(delta), pack(base), None if state is None else pack(state)
+    unpack = lambda df: df.withColumns({k: unpacked(k) for k in texts})
     sign = F.col(_SIGN)
     moved = [F.sum(sign * F.col(c)).alias(f"_d_{n}") for n, c in model.sums.items()]
     counted = [F.sum(F.when(F.col(c).isNotNull(), sign).otherwise(0)).alias(f"_dn_{n}") for n, c in model.sums.items()]
@@ -58,12 +65,14 @@ def maintain(state: DataFrame | None, delta: DataFrame, base: DataFrame, model:
         columns.append(values.alias(f"_n_{n}"))
     updated = made.select(*columns).filter(F.col(_ROWS) > 0)
     if model.again:
-        fresh = of_keys(base, diff, model.keys, "left_semi").groupBy(*model.keys).agg(*[e.alias(n) for n, e in model.again.items()])
+        # Without a state all rows came, so every group is touched.
+        rows = base if state is None else of_keys(base, diff, model.keys, "left_semi")
+        fresh = rows.groupBy(*model.keys).agg(*[e.alias(n) for n, e in model.again.items()])
         updated = _joined(updated, fresh, model.keys, "").select(*updated.columns, *model.again)
     if state is None:
-        return updated
+        return unpack(updated)
     rest = of_keys(state, diff, model.keys, "left_anti")
-    return rest.unionByName(updated.select(*[F.col(f.name).cast(f.dataType) for f in state.schema.fields]))
+    return unpack(rest.unionByName(updated.select(*[F.col(f.name).cast(f.dataType) for f in state.schema.fields])))
 
 
 def _joined(rows: DataFrame, more: DataFrame | None, keys: Sequence[str], prefix: str = "_old_") -> DataFrame:

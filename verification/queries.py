@@ -622,26 +622,29 @@ def recon_rows(spark, sf):
     return row_reconcile.reconcile_rows(lines, copy.unionByName(more), ["l_orderkey", "l_linenumber"])
 
 
-def _changed_orders(spark, sf):
-    """(lines before, lines after, all lines now): a fifth of the orders is new, another one had other values."""
-    fact = materialize(_models(spark, sf)[2], "fact")
+def _changed_orders(spark, sf, *columns):
+    """(lines before, lines after, all lines now), of ``columns``: a fifth of the orders is new, another one had other values."""
+    fact = materialize(_models(spark, sf)[2].select("order_id", "line_number", *columns), "fact")
     fifth = F.pmod(F.col("order_id"), F.lit(5))
     wrong = {"quantity": F.col("quantity") + 1, "order_date": F.timestamp_add("DAY", F.lit(-5000), F.col("order_date")), "order_total": F.col("order_total") + 7}
-    wrong["customer_sk"], wrong["product_sk"] = F.lit("gone"), F.when(F.col("line_number") == 1, "gone").otherwise(F.col("product_sk"))
+    wrong["customer_sk"] = F.lit("gone")
+    if "product_sk" in columns:
+        wrong["product_sk"] = F.when(F.col("line_number") == 1, "gone").otherwise(F.col("product_sk"))
+    wrong = {c: v for c, v in wrong.items() if c in columns}
     old = fact.filter(fifth == 0).withColumns(wrong).select(*[F.col(f.name).cast(f.dataType) for f in fact.schema.fields])
     return fact.filter(fifth > 1).unionByName(old), old, fact.filter(fifth < 2), fact
 
 
 @query
 def gold_customer_sales_incremental(spark, sf):
-    first, old, new, _ = _changed_orders(spark, sf)
+    first, old, new, _ = _changed_orders(spark, sf, *gold.ORDER_LEVEL, "quantity")
     state_ = materialize(incremental.customer_state(None, None, first), "customer-state")
     return incremental.customer_sales(incremental.customer_state(state_, old, new), _models(spark, sf)[0])
 
 
 @query
 def gold_product_sales_incremental(spark, sf):
-    first, old, new, fact = _changed_orders(spark, sf)
+    first, old, new, fact = _changed_orders(spark, sf, "product_sk", "product_id", "quantity", "order_date")
     state_ = materialize(incremental.product_state(None, None, first, first), "product-state")
     return incremental.product_sales(incremental.product_state(state_, old, new, fact), _models(spark, sf)[1])
 
