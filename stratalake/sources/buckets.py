@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.changes import scd1_upsert
-from stratalake.operators.observations import apply_late
+from stratalake.operators.observations import last_observations, of_keys, versions_of
 from stratalake.session import materialize
 from stratalake.sources.sinks import publish, version_path, versions
 
@@ -62,17 +62,18 @@ def rewrite_buckets(
     batch: str,
     step: Callable[[DataFrame | None, DataFrame], DataFrame],
     buckets: int = BUCKETS,
+    written: bool = False,
 ) -> int:
     """Apply ``step(stored rows of the touched buckets, batch rows)``, whose result takes these buckets' place; how many they are.
 
-    The batch is written once, so that what decides which buckets are touched is what gets applied.
+    The batch is written once, so that what decides which buckets are touched is what gets applied; ``written``: it is already.
     """
     spark = batch_rows.sparkSession
     if applied(spark, root, batch):
         return 0
     version, where, fixed = manifest(spark, root)
     buckets = fixed or buckets
-    rows = materialize(batch_rows, "bucket-batch")
+    rows = batch_rows if written else materialize(batch_rows, "bucket-batch")
     touched = sorted(r[0] for r in rows.select(bucket_of(keys, buckets)).distinct().collect())
     if not touched:
         return 0
@@ -104,16 +105,23 @@ def late_history_buckets(
     from the observations as they then are, so a run that ended between the two is made good by its replay.
     """
 
+    spark, observed = rows.sparkSession, f"{root}/observations"
+    if applied(spark, observed, batch) and applied(spark, f"{root}/versions", batch):
+        return 0
+    rows = materialize(rows, "bucket-batch")
+
     def observe(stored: DataFrame | None, new: DataFrame) -> DataFrame:
-        return apply_late(None, stored, new, keys, tracked, sequence)[1]
+        # The touched buckets are written whole, so that rows of other keys need not be told apart: the last of one is itself.
+        return last_observations(new if stored is None else stored.unionByName(new, allowMissingColumns=True), keys, sequence)
 
-    observed = f"{root}/observations"
-    rewrite_buckets(rows, observed, keys, batch, observe, buckets)
-    _, _, fixed = manifest(rows.sparkSession, observed)
+    rewrite_buckets(rows, observed, keys, batch, observe, buckets, written=True)
+    _, _, fixed = manifest(spark, observed)
 
     def version(stored: DataFrame | None, new: DataFrame) -> DataFrame:
         touched = sorted(r[0] for r in new.select(bucket_of(keys, fixed)).distinct().collect())
-        known = read_buckets(rows.sparkSession, observed, touched)
-        return apply_late(stored, known, new, keys, tracked, sequence)[0]
+        known = read_buckets(spark, observed, touched)
+        # The batch is among what was observed: nothing is merged again.
+        renewed = versions_of(of_keys(known, new, keys, "left_semi"), keys, tracked, sequence)
+        return renewed if stored is None else of_keys(stored, new, keys, "left_anti").unionByName(renewed, allowMissingColumns=True)
 
-    return rewrite_buckets(rows, f"{root}/versions", keys, batch, version, fixed or buckets)
+    return rewrite_buckets(rows, f"{root}/versions", keys, batch, version, fixed or buckets, written=True)

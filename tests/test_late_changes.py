@@ -255,3 +255,16 @@ def test_as_of_lookup(spark, most):
         want.append((f, k, t, hit[0] if hit else None))
     assert rows(found, "f", "k", "t", "v") == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
     assert any(w[3] for w in want)
+
+
+def test_a_batch_for_buckets_is_written_once_and_merged_once(spark, tmp_path, monkeypatch):
+    rng, root, args = random.Random(7), str(tmp_path / "h"), (["k"], ["s"], ["t", "n"])
+    log = [(rng.choice(["a", "b", None]), rng.randint(1, 40), rng.choice(["x", "y"]), i, False) for i in range(90)]
+    written, merged = [], []
+    monkeypatch.setattr(buckets, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+    monkeypatch.setattr(buckets, "last_observations", lambda *a: merged.append(1) or observations.last_observations(*a))
+    for name, part in (("late", log[50:]), ("early", log[:50]), ("late", log[50:])):
+        buckets.late_history_buckets(spark.createDataFrame(part, LOG), root, *args, name, 4)
+    assert written == ["bucket-batch"] * 2 and len(merged) == 2
+    want = observations.apply_late(None, None, spark.createDataFrame(log, LOG), *args)[0]
+    assert rows(buckets.read_buckets(spark, f"{root}/versions"), *want.columns) == rows(want, *want.columns)
